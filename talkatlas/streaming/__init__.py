@@ -1,0 +1,7 @@
+"""No stage of the analysis is a streaming operator.
+
+The work is a finite batch.  The narrow stages (``operators.prepare``,
+``operators.facets``, ``operators.embed``) use no shuffle, action or ordering,
+so they also accept a DataFrame from ``spark.readStream``; the test-suite runs
+one of them that way.
+"""
