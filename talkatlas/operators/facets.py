@@ -60,7 +60,7 @@ _PRIVACY = (
     "subjects plainly. Give no personal data and no proper nouns: no names, "
     "places, telephone numbers or e-mail addresses."
 )
-_SHOWN = "Below is a conversation between a user and an AI assistant.\n\n"
+SHOWN = "Below is a conversation between a user and an AI assistant.\n\n"
 _EXAMPLES = (
     "<examples>\n"
     "The user asked for help with planning a vegetable garden.\n"
@@ -83,22 +83,29 @@ def _batched_instructions() -> str:
     return "\n".join(lines)
 
 
-def batched_prompt(conversation: Column) -> Column:
-    """One prompt that asks for all four facets."""
-    return F.concat(F.lit(_SHOWN), conversation, F.lit(_batched_instructions()))
+BATCHED_TAIL = _batched_instructions()
 
 
-def facet_prompt(conversation: Column, spec: FacetSpec) -> Column:
-    """The prompt for a single facet; the question stands before and after."""
+def facet_tail(spec: FacetSpec) -> str:
+    """What follows the conversation; the question stands before and after the rules."""
     question = f"<question> {spec.question} </question>"
     opening = f' Begin with "{spec.opening}".' if spec.opening else ""
-    rest = (
+    return (
         f"\n\nYour task is to answer {question} about this conversation. {_PRIVACY}\n\n"
         + (_EXAMPLES if spec.with_examples else "")
         + f"What is your answer to {question}? {spec.rule}{opening} "
         "Write only the answer, in English, as <answer> ... </answer>."
     )
-    return F.concat(F.lit(_SHOWN), conversation, F.lit(rest))
+
+
+def batched_prompt(conversation: Column) -> Column:
+    """One prompt that asks for all four facets."""
+    return F.concat(F.lit(SHOWN), conversation, F.lit(BATCHED_TAIL))
+
+
+def facet_prompt(conversation: Column, spec: FacetSpec) -> Column:
+    """The prompt for a single facet."""
+    return F.concat(F.lit(SHOWN), conversation, F.lit(facet_tail(spec)))
 
 
 def parse_facets(answer: Column) -> list[Column]:

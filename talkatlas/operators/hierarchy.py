@@ -81,7 +81,7 @@ def group_clusters(points: DataFrame, params: HierarchyParams | None = None) ->
     points = checkpointed(points)
     n_clusters = points.count()
     labels = points.select("cluster_id", F.col("cluster_id").alias("label"))
-    merges = _merge_rounds(points, p.linkage, p.distance_threshold)
+    merges = _merge_rounds(points, n_clusters, p.linkage, p.distance_threshold)
     if p.n_parents is not None and merges:
         merges = _lowest(merges, n_clusters - p.n_parents)
     for merged in merges:
@@ -89,7 +89,7 @@ def group_clusters(points: DataFrame, params: HierarchyParams | None = None) ->
         labels = labels.join(moves, "label", "left").select(
             "cluster_id", F.coalesce("kept", "label").alias("label")
         )
-    return _numbered_by_smallest_child(checkpointed(labels))
+    return _numbered_by_smallest_child(labels)
 
 
 def _numbered_by_smallest_child(labels: DataFrame) -> DataFrame:
@@ -102,12 +102,15 @@ def _numbered_by_smallest_child(labels: DataFrame) -> DataFrame:
     return labels.join(numbers, "label").select("cluster_id", "parent_id")
 
 
-def _merge_rounds(points: DataFrame, linkage: str, threshold: float | None) -> list[DataFrame]:
+def _merge_rounds(
+    points: DataFrame, n_clusters: int, linkage: str, threshold: float | None
+) -> list[DataFrame]:
     """Merges ``(kept, gone, height, round)``, one table per round.
 
     The state is the table of group pairs with the sum, count, least and
     greatest of the distances between their clusters; a merge adds up the rows
-    of the two groups, so the table shrinks with every round.
+    of the two groups, so the table shrinks with every round.  The merges of a
+    round and the pairs that are left are stored together.
     """
     gap = {"average": F.col("total") / F.col("n"), "single": F.col("lo"), "complete": F.col("hi")}
     pairs = checkpointed(
@@ -122,14 +125,23 @@ def _merge_rounds(points: DataFrame, linkage: str, threshold: float | None) -> l
             F.col("distance").alias("hi"),
         )
     )
+    pair_columns = pairs.columns
     rounds: list[DataFrame] = []
-    while True:
+    n_merged = 0
+    while n_merged < n_clusters - 1:
         merged = _mutual_pairs(pairs.withColumn("gap", gap[linkage]), threshold)
-        merged = checkpointed(merged.withColumn("round", F.lit(len(rounds))))
-        if merged.isEmpty():
-            return rounds
+        left = _merge_pairs(pairs, merged)
+        state = checkpointed(left.unionByName(merged, allowMissingColumns=True))
+        merged = state.where(F.col("kept").isNotNull()).select(
+            "kept", "gone", "height", F.lit(len(rounds)).alias("round")
+        )
+        found = merged.count()
+        if not found:
+            break
+        n_merged += found
         rounds.append(merged)
-        pairs = checkpointed(_merge_pairs(pairs, merged))
+        pairs = state.where(F.col("kept").isNull()).select(*pair_columns)
+    return rounds
 
 
 def _mutual_pairs(pairs: DataFrame, threshold: float | None) -> DataFrame:

@@ -24,7 +24,7 @@ FALLBACK_SUMMARY_START = (
     "This cluster differed from nearby groups by emphasizing: "
 )
 
-_INSTRUCTIONS = (
+INSTRUCTIONS = (
     "You will see a group of related statements. Describe what they have in common "
     "and what sets them apart from the statements of other groups.\n\n"
     "Write a description of two sentences in the past tense that fits this group and "
@@ -37,7 +37,7 @@ _INSTRUCTIONS = (
     "<name> [short name] </name>\n\n"
     "Requirements for the name:\n"
 )
-_CLOSING = (
+CLOSING = (
     "\n\nCompare both lists with care, and write nothing besides the two tags."
 )
 
@@ -47,14 +47,14 @@ def cluster_prompt(
 ) -> Column:
     """The naming prompt from arrays of inside and outside statements."""
     return F.concat(
-        F.lit(f"{_INSTRUCTIONS}<criteria>\n{criteria}\n</criteria>\n\nThe statements:\n<answers>\n"),
+        F.lit(f"{INSTRUCTIONS}<criteria>\n{criteria}\n</criteria>\n\nThe statements:\n<answers>\n"),
         text.statement_block(answers),
         F.lit(
             "\n</answers>\n\nStatements from nearby groups that do NOT belong to this one:\n"
             "<contrastive_answers>\n"
         ),
         text.statement_block(contrastive),
-        F.lit(f"\n</contrastive_answers>{_CLOSING}"),
+        F.lit(f"\n</contrastive_answers>{CLOSING}"),
     )
 
 

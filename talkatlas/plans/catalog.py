@@ -30,7 +30,7 @@ from talkatlas.sources import tables
 # conversation outgrows a row.
 RECORD_TURNS = 64
 LLOYD_STEPS = 5
-THRESHOLD = 0.9
+THRESHOLD = 0.8
 KNN = 10
 BIN_WIDTH = 0.1
 LANGUAGES = ("de", "en", "es", "fr")
@@ -108,7 +108,7 @@ def decode_turns(spark, sf_dir):
 
 def decode_bad_input(spark, sf_dir):
     """Damaged records, one kind of damage per remainder of the id."""
-    payload = F.concat(F.lit('{"turns":[{"role":"user","text":"'), F.md5("text"), F.lit('"}]}'))
+    payload = F.concat(F.lit('{"turns":[{"role":"user","text":"Oh, '), F.md5("text"), F.lit('"}]}'))
     plain = F.regexp_replace(F.base64(payload.cast("binary")), "\\s", "")
     bad_bytes = F.concat(F.unhex(F.lit("FF")), payload.cast("binary"))
     kinds = [
@@ -163,7 +163,7 @@ def facet_prompts(spark, sf_dir):
     return (
         _documents_xml(spark, sf_dir)
         .select("id", listed.alias("p"))
-        .select("id", "p.kind", F.md5("p.prompt").alias("hash"), F.length("p.prompt").alias("length"))
+        .select("id", "p.kind", F.md5("p.prompt").alias("hash"), F.length("p.prompt").cast("bigint").alias("length"))
     )
 
 
