@@ -6,6 +6,8 @@ whole texts and add no shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -45,6 +47,15 @@ def strip(col: Column) -> Column:
     return F.btrim(col, F.lit(WHITESPACE))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used.
+
+    A plain expression is copied to each place that mentions it; a lambda
+    variable is not.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _kept_base64_length(symbols: Column) -> Column:
     """Length of base64 data in front of the padding that ends it.
 
@@ -70,6 +81,25 @@ def _kept_base64_length(symbols: Column) -> Column:
     return F.aggregate(runs, start, step, finish)
 
 
+def _padded_base64(symbols: Column) -> Column:
+    """Base64 symbols with exact padding; null when they are incomplete."""
+
+    def plain(body: Column) -> Column:
+        pads = F.length(symbols) - F.length(body)
+        fill = F.length(body) % 4
+        whole = (fill == 0) | ((fill == 2) & (pads >= 2)) | ((fill == 3) & (pads >= 1))
+        # The walk over runs is needed only for the rare text with an inner "=".
+        return F.when(F.contains(body, F.lit("=")), _kept_base64_length(symbols)).otherwise(
+            F.when(whole, F.length(body))
+        )
+
+    def pad(kept: Column) -> Column:
+        data = F.substring(F.replace(symbols, F.lit("="), F.lit("")), F.lit(1), kept)
+        return F.rpad(data, (kept + 3) - (kept + 3) % 4, F.lit("="))
+
+    return let(let(F.rtrim(symbols, F.lit("=")), plain), pad)
+
+
 def decode_base64(encoded: Column) -> Column:
     """Base64 text to UTF-8 text; the empty string on null or on any failure.
 
@@ -78,19 +108,10 @@ def decode_base64(encoded: Column) -> Column:
     padding is checked here first.
     """
     stripped = strip(encoded)
-    symbols = F.regexp_replace(stripped, "[^A-Za-z0-9+/=]", "")
-    data = F.replace(symbols, F.lit("="), F.lit(""))
-    body = F.rtrim(symbols, F.lit("="))
-    pads = F.length(symbols) - F.length(body)
-    fill = F.length(body) % 4
-    plain_ok = (fill == 0) | ((fill == 2) & (pads >= 2)) | ((fill == 3) & (pads >= 1))
-    # The walk over runs is needed only for the rare text with an inner "=".
-    kept = F.when(
-        F.contains(body, F.lit("=")), _kept_base64_length(symbols)
-    ).otherwise(F.when(plain_ok, F.length(body)))
-    kept = F.when(stripped.rlike(r"\A[\x00-\x7F]*\z"), kept)
-    padded = F.rpad(F.substring(data, F.lit(1), kept), (kept + 3) - (kept + 3) % 4, F.lit("="))
-    raw = F.try_to_binary(padded, F.lit("base64"))
+    # In ASCII text a character is one byte.
+    ascii_only = F.when(F.length(stripped) == F.octet_length(stripped), stripped)
+    symbols = F.regexp_replace(ascii_only, "[^A-Za-z0-9+/=]+", "")
+    raw = F.try_to_binary(let(symbols, _padded_base64), F.lit("base64"))
     return F.coalesce(F.try_validate_utf8(raw.cast("string")), F.lit(""))
 
 
@@ -105,7 +126,7 @@ def parse_turns(json_text: Column) -> Column:
         f"ARRAY<STRUCT<turns: {TURNS_TYPE}>>",
         {"allowSingleQuotes": "false"},
     )
-    turns = F.when(F.size(wrapped) == 1, F.get(wrapped, F.lit(0))["turns"])
+    turns = let(wrapped, lambda w: F.when(F.size(w) == 1, F.get(w, F.lit(0))["turns"]))
     return F.coalesce(turns, F.array().cast(TURNS_TYPE))
 
 
@@ -162,10 +183,14 @@ def statement_block(lines: Column) -> Column:
     return F.array_join(F.filter(F.transform(lines, strip), lambda s: s != ""), "\n")
 
 
+def words(col: Column) -> Column:
+    """Lower-case words in reading order."""
+    return F.regexp_extract_all(F.lower(col), F.lit(TOKEN_PATTERN), F.lit(0))
+
+
 def tokens(col: Column) -> Column:
-    """Lower-case tokens in reading order, without the stop words."""
-    words = F.regexp_extract_all(F.lower(col), F.lit(TOKEN_PATTERN), F.lit(0))
-    return F.filter(words, lambda w: ~w.isin(*STOP_WORDS))
+    """Words in reading order, without the stop words."""
+    return F.filter(words(col), lambda w: ~w.isin(*STOP_WORDS))
 
 
 def concern_score(col: Column) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from talkatlas.checks import require_columns
 from talkatlas.functions import vectors
-from talkatlas.runtime import checkpointed, is_small, join_small, row_blocks, with_last
+from talkatlas.runtime import stored, is_small, join_small, row_blocks, with_last
 
 
 def choose_k(n_rows: int, k_min: int = 3, k_max: int = 40) -> int:
@@ -221,7 +221,7 @@ def _lloyd_on_tables(df, start, iterations, id_col, vector_col) -> DataFrame:
     for _ in range(iterations):
         rows = assign_nearest(df, current, id_col, vector_col, keep_vector=True)
         moved = centroids(rows).withColumnsRenamed({"n": "moved_n", "centroid": "moved"})
-        current = checkpointed(
+        current = stored(
             current.join(moved, "cluster_id", "left").select(
                 "cluster_id",
                 F.coalesce("moved_n", F.lit(0)).alias("n"),

@@ -18,7 +18,7 @@ from talkatlas.checks import require_columns
 from talkatlas.functions import vectors
 from talkatlas.operators.cluster import centroid_blocks, centroids, labelled
 from talkatlas.params import NamingParams
-from talkatlas.runtime import checkpointed, is_small, top_n_per_group
+from talkatlas.runtime import stored, is_small, top_n_per_group
 
 # Picked rows hold an id and three small fields: this many are safe to broadcast.
 MAX_PICKS = 200_000
@@ -188,7 +188,7 @@ def example_bundles(
     """
     p = params or NamingParams()
     require_columns(df, p.text_col, p.cluster_col, id_col, vector_col)
-    picks = checkpointed(example_rows(df, p, id_col, vector_col, cluster_ids))
+    picks = stored(example_rows(df, p, id_col, vector_col, cluster_ids))
     rows = with_texts(picks, df, p.text_col, id_col)
 
     def collected(kind: str, field: str):

@@ -22,7 +22,7 @@ from talkatlas.checks import require_columns
 from talkatlas.functions import vectors
 from talkatlas.operators.cluster import centroid_blocks, centroids
 from talkatlas.params import HierarchyParams
-from talkatlas.runtime import checkpointed
+from talkatlas.runtime import stored
 
 
 def centroid_distances(points: DataFrame) -> DataFrame:
@@ -78,20 +78,41 @@ def group_clusters(points: DataFrame, params: HierarchyParams | None = None) ->
     p = params or HierarchyParams()
     if p.n_parents is None and p.distance_threshold is None:
         return points.select("cluster_id", F.lit(0).alias("parent_id"))
-    points = checkpointed(points)
+    points = stored(points)
     n_clusters = points.count()
-    labels = points.select("cluster_id", F.col("cluster_id").alias("label"))
     merges = _merge_rounds(points, n_clusters, p.linkage, p.distance_threshold)
-    if p.n_parents is not None and merges:
-        merges = _lowest(merges, n_clusters - p.n_parents)
-    for merged in merges:
-        moves = merged.select(F.col("gone").alias("label"), "kept")
-        labels = labels.join(moves, "label", "left").select(
-            "cluster_id", F.coalesce("kept", "label").alias("label")
-        )
+    labels = points.select("cluster_id", F.col("cluster_id").alias("label"))
+    if merges:
+        every = merges[0]
+        for merged in merges[1:]:
+            every = every.unionByName(merged)
+        if p.n_parents is not None:
+            lowest = every.orderBy("height", "round", "kept")
+            every = lowest.limit(max(n_clusters - p.n_parents, 0))
+        labels = _last_labels(points, every, len(merges))
     return _numbered_by_smallest_child(labels)
 
 
+def _last_labels(points: DataFrame, merges: DataFrame, n_rounds: int) -> DataFrame:
+    """``(cluster_id, label)`` after all merges.
+
+    Each cluster points to the group it went into, at most one step per round.
+    Joining the table to itself doubles the steps taken.
+    """
+    steps = merges.select(F.col("gone").alias("cluster_id"), "kept")
+    links = stored(
+        points.join(steps, "cluster_id", "left").select(
+            "cluster_id", F.coalesce("kept", "cluster_id").alias("label")
+        )
+    )
+    for _ in range(n_rounds.bit_length()):
+        ahead = links.select(F.col("cluster_id").alias("label"), F.col("label").alias("next"))
+        links = stored(
+            links.join(ahead, "label").select("cluster_id", F.col("next").alias("label"))
+        )
+    return links
+
+
 def _numbered_by_smallest_child(labels: DataFrame) -> DataFrame:
     # A group's label is its smallest cluster id, so labels sort like smallest
     # children.  The unpartitioned window sees one row per parent.
@@ -113,7 +134,7 @@ def _merge_rounds(
     round and the pairs that are left are stored together.
     """
     gap = {"average": F.col("total") / F.col("n"), "single": F.col("lo"), "complete": F.col("hi")}
-    pairs = checkpointed(
+    pairs = stored(
         centroid_distances(points).select(
             "a",
             "b",
@@ -131,7 +152,7 @@ def _merge_rounds(
     while n_merged < n_clusters - 1:
         merged = _mutual_pairs(pairs.withColumn("gap", gap[linkage]), threshold)
         left = _merge_pairs(pairs, merged)
-        state = checkpointed(left.unionByName(merged, allowMissingColumns=True))
+        state = stored(left.unionByName(merged, allowMissingColumns=True))
         merged = state.where(F.col("kept").isNotNull()).select(
             "kept", "gone", "height", F.lit(len(rounds)).alias("round")
         )
@@ -196,15 +217,6 @@ def _merge_pairs(pairs: DataFrame, merged: DataFrame) -> DataFrame:
     )
 
 
-def _lowest(rounds: list[DataFrame], keep: int) -> list[DataFrame]:
-    """The ``keep`` lowest merges of the full tree, still split by round."""
-    every = rounds[0]
-    for merged in rounds[1:]:
-        every = every.unionByName(merged)
-    lowest = checkpointed(every.orderBy("height", "round", "kept").limit(max(keep, 0)))
-    return [lowest.where(F.col("round") == i) for i in range(len(rounds))]
-
-
 def hierarchy_table(groups: DataFrame) -> DataFrame:
     """``(parent_id, child_cluster_ids)``, children ascending."""
     return groups.groupBy("parent_id").agg(

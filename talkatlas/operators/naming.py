@@ -6,13 +6,14 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from talkatlas.checks import require_columns
 from talkatlas.functions import text
 from talkatlas.operators.complete import Completer, complete
 from talkatlas.operators.examples import example_bundles
 from talkatlas.params import DEFAULT_CRITERIA, NamingParams
-from talkatlas.runtime import checkpointed, join_small, top_n_per_group
+from talkatlas.runtime import stored, join_small, top_n_per_group
 
 # The texts of a name and a summary made from token counts.
 FALLBACK_NAME_START = "Summarize"
@@ -65,13 +66,19 @@ def top_tokens(statements: DataFrame, n: int = FALLBACK_TOKENS) -> DataFrame:
     then at the earlier place in its text.
     """
     require_columns(statements, "cluster_id", "rank", "text")
+    # Stop words are left out after the explode, and the outer form keeps the
+    # optimiser from splitting each text a second time to look for empty lists.
     words = statements.select(
         "cluster_id",
         F.col("rank").alias("row_rank"),
-        F.posexplode(text.tokens(F.col("text"))).alias("place", "token"),
-    )
+        F.posexplode_outer(text.words(F.col("text"))).alias("place", "token"),
+    ).where(F.col("token").isNotNull() & ~F.col("token").isin(*text.STOP_WORDS))
+    # Rank and place as one number: a struct would turn the hash aggregation
+    # into one that sorts all words.
+    wide = "bigint" if isinstance(statements.schema["rank"].dataType, T.IntegerType) else "decimal(28,0)"
+    first = F.col("row_rank").cast(wide) * F.lit(2**31) + F.col("place")
     counts = words.groupBy("cluster_id", "token").agg(
-        F.count("*").alias("count"), F.min(F.struct("row_rank", "place")).alias("first")
+        F.count("*").alias("count"), F.min(first).alias("first")
     )
     order = [F.desc("count"), F.asc("first"), F.asc("token")]
     return top_n_per_group(counts, "cluster_id", order, n).drop("first")
@@ -126,7 +133,7 @@ def name_bundles(
     )
     asked = prompts.select("cluster_id", F.col("prompt").alias("question"))
     # Stored, so that the answers are not asked for again by later readers.
-    answers = checkpointed(complete(asked, "question", completer_factory, max_tasks))
+    answers = stored(complete(asked, "question", completer_factory, max_tasks))
     statements = bundles.select(
         "cluster_id", F.posexplode("in_texts").alias("rank", "text")
     )
@@ -173,7 +180,7 @@ def name_clusters(
     prompt and the raw answer.  ``select("cluster_id", "summary", "name")`` is
     the table to join back; ``audit_table`` the record of what was asked.
     """
-    bundles = checkpointed(example_bundles(df, params, id_col, vector_col, cluster_ids))
+    bundles = stored(example_bundles(df, params, id_col, vector_col, cluster_ids))
     named = name_bundles(bundles, completer_factory, criteria, max_tasks)
     return named.select(
         "cluster_id",

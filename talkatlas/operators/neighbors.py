@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from talkatlas.checks import require_columns
 from talkatlas.functions import vectors
-from talkatlas.runtime import checkpointed, salt_count, top_n_per_group
+from talkatlas.runtime import stored, salt_count, top_n_per_group
 
 MAX_PIVOTS = 1024
 MAX_HOT_KEYS = 10_000
@@ -47,12 +47,12 @@ def nearest_neighbors(
         F.col(id_col).alias("id"), F.col(vector_col).alias("embedding")
     )
     id_type = source.schema["id"].dataType
-    keys = checkpointed(
+    keys = stored(
         source.mapInArrow(
             _content_keys(metric), T.StructType([source.schema["id"], T.StructField("key", T.StringType())])
         )
     )
-    groups = checkpointed(_copy_groups(keys.where(F.col("key").isNotNull()), k))
+    groups = stored(_copy_groups(keys.where(F.col("key").isNotNull()), k))
     distinct = source.join(
         groups.select(F.get("ids", F.lit(0)).alias("id"), "ids"), "id"
     )
@@ -127,7 +127,7 @@ def _spread_join(keys: DataFrame, lists: DataFrame) -> DataFrame:
     """
     limit = max(keys.count() // MAX_HOT_KEYS, 1000)
     salts = salt_count(keys.sparkSession)
-    lists = checkpointed(lists)
+    lists = stored(lists)
     hot = lists.where(F.col("copies") > limit).select("key", F.lit(True).alias("hot"))
     rows = keys.join(F.broadcast(hot), "key", "left")
     rows = rows.withColumn(
@@ -154,7 +154,7 @@ def _search(distinct: DataFrame, k: int, metric: str, block_rows: int) -> DataFr
     in_cells = T.StructType(
         [T.StructField("cell", T.IntegerType()), T.StructField("reach", T.DoubleType()), *distinct.schema]
     )
-    queries = checkpointed(
+    queries = stored(
         distinct.select("id", "embedding", "ids").mapInArrow(_assign_cells(shared, metric), _ordered(in_cells))
     )
     radius, sizes, theta = _cell_bounds(queries, pivots, k)

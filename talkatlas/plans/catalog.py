@@ -23,7 +23,7 @@ from talkatlas.operators import (
 )
 from talkatlas.params import HierarchyParams, NamingParams, ProjectionParams
 from talkatlas.plans.stubs import stub_facet_completer, stub_naming_completer
-from talkatlas.runtime import checkpointed, shared_dir
+from talkatlas.runtime import stored, shared_dir
 from talkatlas.sources import tables
 
 # A raw record holds at most this many consecutive turns, so that no
@@ -328,7 +328,7 @@ def named_rows(spark, sf_dir):
     rows = _rows(spark, sf_dir)
     words = rows.select("cluster_id", F.col("id").alias("rank"), F.col("request").alias("text"))
     names = naming.fallback_names(words.where(F.col("cluster_id") % 2 == 0))
-    return naming.attach_names(rows.select("id", "cluster_id"), checkpointed(names))
+    return naming.attach_names(rows.select("id", "cluster_id"), stored(names))
 
 
 def alignment_check(spark, sf_dir):
@@ -404,12 +404,12 @@ def head_n(spark, sf_dir):
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations to named clusters: every stage once."""
-    found = checkpointed(facets_batched(spark, sf_dir))
-    embedded = checkpointed(embed.embed(found, embed.hashing_encoder(64)))
+    found = stored(facets_batched(spark, sf_dir))
+    embedded = stored(embed.embed(found, embed.hashing_encoder(64)))
     labels, k = cluster.fit_kmeans(embedded)
-    rows = checkpointed(found.join(embedded, "id").join(labels, "id"))
+    rows = stored(found.join(embedded, "id").join(labels, "id"))
     names = naming.name_clusters(rows, stub_naming_completer)
-    named = naming.attach_names(rows, checkpointed(names), bound=k)
+    named = naming.attach_names(rows, stored(names), bound=k)
     return named.select(*found.columns, "cluster_id", "summary", "name")
 
 

@@ -1,8 +1,9 @@
-"""Shared building blocks: bounded collects, small joins, top-n, checkpoints."""
+"""Shared building blocks: bounded collects, small joins, top-n, stored tables."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -29,24 +30,31 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` stored in the shared folder, with its lineage cut."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back, with its lineage cut.
+
+    Later steps read only the columns they need, and losing an executor does
+    not bring back the work before.  A table is preferred to ``checkpoint()``
+    also because the latter carries the constraints of the old plan along, and
+    in a loop these grow until planning takes longer than the work.
+    """
+    path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def row_blocks(df: DataFrame, key: str, block_rows: int = SMALL_ROWS) -> Iterator[list]:
     """All rows of a table that is usually small, as lists of bounded size.
 
     A table of at most ``block_rows`` rows comes in one list.  A larger one is
-    checkpointed, split by key hash and handed out one part at a time, so the
+    stored, split by key hash and handed out one part at a time, so the
     driver never holds more than one part.
     """
     rows = df.limit(block_rows + 1).collect()
     if len(rows) <= block_rows:
         yield sorted(rows, key=lambda r: r[key])
         return
-    df = checkpointed(df)
+    df = stored(df)
     # Twice as many parts as needed leaves room for an uneven hash.
     parts = 2 * -(-df.count() // block_rows)
     part = F.pmod(F.xxhash64(key), F.lit(parts))
