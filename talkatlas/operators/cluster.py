@@ -141,8 +141,7 @@ def fit_kmeans(
     """K-means labels as ``(id, cluster_id)``, and the k that was used.
 
     ``df`` should be a stored table: the fit passes over it many times.
-    Clusters are numbered by size, the largest first, then by their smallest
-    member id.
+    Clusters are numbered by size, the largest first.
     """
     require_columns(df, id_col, vector_col)
     rows = df.where(F.col(vector_col).isNotNull()).select(
@@ -162,8 +161,14 @@ def fit_kmeans(
 
 
 def renumbered(labels: DataFrame, bound: int | None = None) -> DataFrame:
-    """Number clusters by size, largest first, then by smallest member id."""
-    stats = labels.groupBy("cluster_id").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    """Number clusters by size, largest first, then by smallest hash of a member id.
+
+    The hash is a number, which the aggregation keeps in place; the smallest
+    text would make it sort all rows.
+    """
+    stats = labels.groupBy("cluster_id").agg(
+        F.count("*").alias("n"), F.min(F.xxhash64("id")).alias("first")
+    )
     # One row per cluster is left here, so the unpartitioned window is small.
     order = Window.orderBy(F.desc("n"), "first")
     numbers = stats.select("cluster_id", (F.row_number().over(order) - 1).alias("number"))

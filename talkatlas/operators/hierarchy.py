@@ -22,7 +22,7 @@ from talkatlas.checks import require_columns
 from talkatlas.functions import vectors
 from talkatlas.operators.cluster import centroid_blocks, centroids
 from talkatlas.params import HierarchyParams
-from talkatlas.runtime import stored
+from talkatlas.runtime import join_small, stored
 
 
 def centroid_distances(points: DataFrame) -> DataFrame:
@@ -151,7 +151,7 @@ def _merge_rounds(
     n_merged = 0
     while n_merged < n_clusters - 1:
         merged = _mutual_pairs(pairs.withColumn("gap", gap[linkage]), threshold)
-        left = _merge_pairs(pairs, merged)
+        left = _merge_pairs(pairs, merged, n_clusters)
         state = stored(left.unionByName(merged, allowMissingColumns=True))
         merged = state.where(F.col("kept").isNotNull()).select(
             "kept", "gone", "height", F.lit(len(rounds)).alias("round")
@@ -183,13 +183,13 @@ def _mutual_pairs(pairs: DataFrame, threshold: float | None) -> DataFrame:
     )
 
 
-def _merge_pairs(pairs: DataFrame, merged: DataFrame) -> DataFrame:
+def _merge_pairs(pairs: DataFrame, merged: DataFrame, n_clusters: int) -> DataFrame:
     moves = merged.select(
         F.explode(F.array("kept", "gone")).alias("group"), F.col("kept").alias("to"), "height"
     )
     for side in ("a", "b"):
         pairs = (
-            pairs.join(moves.withColumnRenamed("group", side), side, "left")
+            join_small(pairs, moves.withColumnRenamed("group", side), side, bound=n_clusters)
             .withColumn(side, F.coalesce("to", side))
             .withColumn(f"height_{side}", F.coalesce("height", f"height_{side}"))
             .drop("to", "height")

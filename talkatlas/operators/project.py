@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import asdict
 
 import numpy as np
@@ -22,33 +22,50 @@ from talkatlas.params import ProjectionParams
 from talkatlas.runtime import row_blocks, with_last
 
 
-def project(
-    df: DataFrame,
-    params: ProjectionParams | None = None,
-    id_col: str = "id",
-    vector_col: str = "embedding",
-) -> DataFrame:
-    """``(id, coords)``: principal components of the embeddings.
+def fit_projection(
+    df: DataFrame, params: ProjectionParams | None = None, vector_col: str = "embedding"
+) -> Callable[[DataFrame], DataFrame]:
+    """Fit principal components; the result adds ``coords`` to rows with a vector.
 
     Under the cosine metric the vectors are scaled to length one first.  The
     sign of a component is chosen so that its largest loading is positive.
     """
-    require_columns(df, id_col, vector_col)
+    require_columns(df, vector_col)
     p = params or ProjectionParams()
-    rows = df.where(F.col(vector_col).isNotNull()).select(
-        id_col, array_to_vector(F.col(vector_col)).alias("features")
-    )
-    if len(rows.take(2)) < 2:
+
+    def prepared(rows: DataFrame) -> DataFrame:
+        rows = rows.where(F.col(vector_col).isNotNull())
+        rows = rows.withColumn("_raw", array_to_vector(F.col(vector_col)))
+        if p.metric == "cosine":
+            return Normalizer(p=2.0, inputCol="_raw", outputCol="_v").transform(rows)
+        return rows.withColumn("_v", F.col("_raw"))
+
+    sample = prepared(df.select(vector_col))
+    if len(sample.take(2)) < 2:
         raise ValueError("a projection needs at least two rows")
-    if p.metric == "cosine":
-        scale = Normalizer(p=2.0, inputCol="features", outputCol="unit")
-        rows = scale.transform(rows).select(id_col, F.col("unit").alias("features"))
-    model = PCA(k=p.n_components, inputCol="features", outputCol="pc").fit(rows)
+    model = PCA(k=p.n_components, inputCol="_v", outputCol="_pc").fit(sample)
     loadings = model.pc.toArray()
-    signs = np.where(loadings[np.abs(loadings).argmax(axis=0), range(p.n_components)] < 0, -1.0, 1.0)
-    coords = vector_to_array("pc")
-    oriented = F.array(*[coords[i] * F.lit(float(s)) for i, s in enumerate(signs)])
-    return model.transform(rows).select(id_col, oriented.alias("coords"))
+    largest = loadings[np.abs(loadings).argmax(axis=0), range(p.n_components)]
+    signs = np.where(largest < 0, -1.0, 1.0).tolist()
+
+    def add_coords(rows: DataFrame) -> DataFrame:
+        scores = vector_to_array("_pc")
+        oriented = F.array(*[scores[i] * F.lit(s) for i, s in enumerate(signs)])
+        projected = model.transform(prepared(rows)).withColumn("coords", oriented)
+        return projected.drop("_raw", "_v", "_pc")
+
+    return add_coords
+
+
+def project(
+    df: DataFrame,
+    params: ProjectionParams | None = None,
+    id_col: str = "id",
+    vector_col: str = "embedding",
+) -> DataFrame:
+    """``(id, coords)``: the projected vectors."""
+    require_columns(df, id_col, vector_col)
+    return fit_projection(df, params, vector_col)(df.select(id_col, vector_col)).drop(vector_col)
 
 
 def project_and_merge(
@@ -60,18 +77,20 @@ def project_and_merge(
     y_col: str = "y",
     cache_dir: str | None = None,
 ) -> DataFrame:
-    """The rows with two coordinate columns; ``cache_dir`` keeps and reuses them."""
+    """The rows with two coordinate columns; ``cache_dir`` keeps and reuses them.
+
+    Without a cache the columns are added in place, so nothing is shuffled.
+    """
     p = params or ProjectionParams()
     if p.n_components < 2:
         raise ValueError("two coordinate columns need at least two components")
+    require_columns(df, id_col, vector_col)
     if cache_dir is None:
-        coords = project(df, p, id_col, vector_col)
+        rows = fit_projection(df, p, vector_col)(df)
     else:
-        coords = cached_projection(df, p, cache_dir, id_col, vector_col)
-    coords = coords.select(
-        id_col, F.get("coords", F.lit(0)).alias(x_col), F.get("coords", F.lit(1)).alias(y_col)
-    )
-    return df.join(coords, id_col)
+        rows = df.join(cached_projection(df, p, cache_dir, id_col, vector_col), id_col)
+    axes = {x_col: F.get("coords", F.lit(0)), y_col: F.get("coords", F.lit(1))}
+    return rows.withColumns(axes).drop("coords")
 
 
 def input_digest(df: DataFrame, id_col: str = "id", vector_col: str = "embedding") -> DataFrame:

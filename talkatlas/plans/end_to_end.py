@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from talkatlas.checks import require_aligned
 from talkatlas.operators import cluster, facets, hierarchy, naming, prepare, project
 from talkatlas.operators.complete import Completer
 from talkatlas.operators.embed import Encoder, embed
@@ -41,6 +41,7 @@ def analyse(
     )
     found = found.drop("error")
     vectors = write_table(embed(found, encoder_factory, p.text_col), f"{out_dir}/embeddings")
+    require_aligned(found, vectors)
     labels, used_k = cluster.fit_kmeans(vectors, k)
     rows = write_table(
         found.join(vectors, "id").join(labels, "id"), f"{out_dir}/clustered"
@@ -52,8 +53,5 @@ def analyse(
         f"{out_dir}/cluster_names",
     )
     write_hierarchy(hierarchy.build_hierarchy(rows, hierarchy_params), f"{out_dir}/hierarchy")
-    result = naming.attach_names(rows, named, bound=used_k)
-    coords = project.project(vectors, projection_params).select(
-        "id", F.get("coords", F.lit(0)).alias("x"), F.get("coords", F.lit(1)).alias("y")
-    )
-    return write_table(result.drop("embedding").join(coords, "id"), f"{out_dir}/named_rows")
+    projected = project.project_and_merge(rows, projection_params).drop("embedding")
+    return write_table(naming.attach_names(projected, named, bound=used_k), f"{out_dir}/named_rows")
