@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator, Sequence
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +18,23 @@ from talkatlas.functions.vectors import list_column, unit_rows
 Encoder = Callable[[Sequence[str]], np.ndarray]
 
 
+class _Buckets(dict):
+    """Token to bucket; a token is hashed when it is first seen."""
+
+    def __init__(self, dim: int) -> None:
+        super().__init__()
+        self.dim = dim
+
+    def __missing__(self, token: str) -> int:
+        digest = hashlib.md5(token.encode()).hexdigest()
+        self[token] = place = int(digest[:8], 16) % self.dim
+        return place
+
+    def forget_if_large(self) -> None:
+        if len(self) > 1_000_000:
+            self.clear()
+
+
 def hashing_encoder(dim: int = 64) -> Callable[[], Encoder]:
     """Factory of a model-free encoder: hashed token counts of length one.
 
@@ -28,16 +44,15 @@ def hashing_encoder(dim: int = 64) -> Callable[[], Encoder]:
 
     def factory() -> Encoder:
         word = re.compile("[a-z0-9]+")
-
-        @lru_cache(maxsize=100_000)
-        def bucket(token: str) -> int:
-            return int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % dim
+        buckets = _Buckets(dim)
 
         def encode(texts: Sequence[str]) -> np.ndarray:
             counts = np.zeros((len(texts), dim))
             for row, content in enumerate(texts):
-                buckets = [bucket(t) for t in word.findall(content.lower())]
-                counts[row] = np.bincount(buckets, minlength=dim) if buckets else 0
+                found = word.findall(content.lower())
+                places = np.fromiter(map(buckets.__getitem__, found), np.int64, len(found))
+                counts[row] = np.bincount(places, minlength=dim)
+            buckets.forget_if_large()
             return unit_rows(counts)
 
         return encode

@@ -24,6 +24,7 @@ from talkatlas.runtime import stored, salt_count, top_n_per_group
 
 MAX_PIVOTS = 1024
 MAX_HOT_KEYS = 10_000
+MIN_HOT_COPIES = 1000
 
 
 def nearest_neighbors(
@@ -122,10 +123,10 @@ def _copy_groups(keys: DataFrame, k: int) -> DataFrame:
 def _spread_join(keys: DataFrame, lists: DataFrame) -> DataFrame:
     """Every row with the list of its vector; frequent vectors are salted.
 
-    A key counts as frequent above one part in ``MAX_HOT_KEYS`` of all rows, so
-    there are at most that many of them to broadcast.
+    A key counts as frequent from ``MIN_HOT_COPIES`` rows and from one part in
+    ``MAX_HOT_KEYS`` of all rows, so there are at most that many to broadcast.
     """
-    limit = max(keys.count() // MAX_HOT_KEYS, 1000)
+    limit = max(keys.count() // MAX_HOT_KEYS, MIN_HOT_COPIES)
     salts = salt_count(keys.sparkSession)
     lists = stored(lists)
     hot = lists.where(F.col("copies") > limit).select("key", F.lit(True).alias("hot"))

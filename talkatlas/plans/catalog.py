@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkatlas.checks import alignment_report
-from talkatlas.functions import text
+from talkatlas.functions import text, vectors
 from talkatlas.operators import (
     cluster,
     embed,
@@ -23,7 +23,7 @@ from talkatlas.operators import (
 )
 from talkatlas.params import HierarchyParams, NamingParams, ProjectionParams
 from talkatlas.plans.stubs import stub_facet_completer, stub_naming_completer
-from talkatlas.runtime import stored, shared_dir
+from talkatlas.runtime import join_small, shared_dir, stored
 from talkatlas.sources import tables
 
 # A raw record holds at most this many consecutive turns, so that no
@@ -87,9 +87,9 @@ def _by_language(spark, sf_dir):
     )
 
 
-def _long(df: DataFrame, *keys: str, column: str = "centroid") -> DataFrame:
-    """One row per vector component, rounded for comparison."""
-    return df.select(*keys, F.posexplode(column).alias("pos", "v")).select(
+def _long(df: DataFrame, *keys: str) -> DataFrame:
+    """One row per centroid component, rounded for comparison."""
+    return df.select(*keys, F.posexplode("centroid").alias("pos", "v")).select(
         *keys, "pos", _rounded("v").alias("value")
     )
 
@@ -398,6 +398,43 @@ def facets_csv_roundtrip(spark, sf_dir):
     return tables.read_facets_csv(spark, path)
 
 
+def embeddings_roundtrip(spark, sf_dir):
+    rows = _vectors(spark, sf_dir).select(F.col("id").cast("string").alias("id"), "embedding")
+    path = f"{shared_dir(spark)}/embeddings-{uuid.uuid4().hex}"
+    tables.write_table(rows, path)
+    stored_rows = tables.read_embeddings(spark, path)
+    values = stored_rows.select("id", F.posexplode("embedding").alias("pos", "value"))
+    return values.withColumn("value", F.col("value").cast("double"))
+
+
+def names_jsonl_roundtrip(spark, sf_dir):
+    path = f"{shared_dir(spark)}/names-{uuid.uuid4().hex}"
+    tables.write_cluster_names(fallback_names(spark, sf_dir), f"{path}-csv", f"{path}-jsonl")
+    return tables.read_cluster_names(spark, f"{path}-jsonl")
+
+
+def projection_cached(spark, sf_dir):
+    """The second call reads what the first has stored."""
+    rows = _vectors(spark, sf_dir).select("id", "embedding")
+    folder = f"{shared_dir(spark)}/projection-{uuid.uuid4().hex}"
+    project.cached_projection(rows, ProjectionParams(), folder)
+    merged = project.project_and_merge(rows, cache_dir=folder)
+    return merged.select("id", _rounded("x").alias("x"), _rounded("y").alias("y"))
+
+
+def vector_distances(spark, sf_dir):
+    """The distance expressions, between each row and the centroid of its cluster."""
+    rows = _vectors(spark, sf_dir)
+    points = stored(cluster.centroids(rows)).drop("n")
+    joined = join_small(rows, points, "cluster_id", "inner")
+    pair = (F.col("embedding"), F.col("centroid"))
+    return joined.select(
+        "id",
+        F.round(vectors.euclidean(*pair), 6).alias("euclidean"),
+        F.round(vectors.cosine_distance(*pair), 6).alias("cosine"),
+    )
+
+
 def head_n(spark, sf_dir):
     return prepare.first_rows(_documents_xml(spark, sf_dir), 100).select("id", "conversation_xml")
 
@@ -455,6 +492,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         cluster_separation,
         xml_csv_roundtrip,
         facets_csv_roundtrip,
+        embeddings_roundtrip,
+        names_jsonl_roundtrip,
+        projection_cached,
+        vector_distances,
         head_n,
         flagship,
     )

@@ -11,7 +11,12 @@ from talkatlas.operators import cluster, facets, hierarchy, naming, prepare, pro
 from talkatlas.operators.complete import Completer
 from talkatlas.operators.embed import Encoder, embed
 from talkatlas.params import HierarchyParams, NamingParams, ProjectionParams
-from talkatlas.sources.tables import write_hierarchy, write_table
+from talkatlas.sources.tables import (
+    write_audit_texts,
+    write_cluster_names,
+    write_hierarchy,
+    write_table,
+)
 
 
 def analyse(
@@ -52,6 +57,8 @@ def analyse(
         ),
         f"{out_dir}/cluster_names",
     )
+    write_cluster_names(named, f"{out_dir}/cluster_names_csv", f"{out_dir}/cluster_names_jsonl")
+    write_audit_texts(named, f"{out_dir}/naming_texts")
     write_hierarchy(hierarchy.build_hierarchy(rows, hierarchy_params), f"{out_dir}/hierarchy")
     projected = project.project_and_merge(rows, projection_params).drop("embedding")
     return write_table(naming.attach_names(projected, named, bound=used_k), f"{out_dir}/named_rows")

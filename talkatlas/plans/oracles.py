@@ -440,5 +440,14 @@ def oracle_sql() -> dict[str, str]:
         "facets_csv_roundtrip": f"""WITH {FACETS}
             SELECT id, nullif(request, '') AS request, language, task,
               CASE WHEN concerning <> '3' THEN concerning END AS concerning FROM facets""",
+        "embeddings_roundtrip": """
+            SELECT vec_id::VARCHAR AS id, unnest(range(len(embedding)))::INTEGER AS pos,
+              unnest(embedding)::DOUBLE AS value FROM embeddings""",
+        "names_jsonl_roundtrip": f"WITH {LANGUAGE_TEXTS}, {_tokens('texts')} SELECT * FROM fallback",
+        "projection_cached": f"""WITH RECURSIVE {PROJECTION}
+            SELECT id, round(x, 6) + 0.0 AS x, round(y, 6) + 0.0 AS y FROM coords""",
+        "vector_distances": f"""WITH {VECTORS}
+            SELECT id, round(list_distance(v, c), 6) AS euclidean, round(list_cosine_distance(v, c), 6) AS cosine
+            FROM e JOIN cent USING (cluster_id)""",
         "head_n": f"WITH {XML} SELECT id, conversation_xml FROM xml ORDER BY id LIMIT 100",
     }

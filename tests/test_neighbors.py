@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_cluster import vector_table
 
+from talkatlas.operators import neighbors
 from talkatlas.operators.neighbors import nearest_neighbors
 
 
@@ -35,7 +36,9 @@ def clumped():
 
 
 @pytest.mark.parametrize(("metric", "block_rows"), [("cosine", 2048), ("cosine", 12), ("euclidean", 12)])
-def test_agrees_with_comparing_everything(spark, metric, block_rows):
+def test_agrees_with_comparing_everything(spark, metric, block_rows, monkeypatch):
+    # Low enough for the copies to count as frequent.
+    monkeypatch.setattr(neighbors, "MIN_HOT_COPIES", 10)
     values = clumped()
     df = vector_table(spark, values).drop("cluster_id")
     rows = nearest_neighbors(df, 4, metric, block_rows=block_rows).orderBy("id", "rank").collect()
