@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 # Screening by matrix product is only trusted up to this relative error; what
 # it cannot decide is computed again row by row.
 SCREEN_TOLERANCE = 1e-9
+# Pairs of vectors that are compared exactly in one go.
+PAIR_SLICE = 20_000
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -76,12 +78,40 @@ def nearest_point(rows: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.
     sq, slack = squared_screen(rows, points)
     best = sq.argmin(axis=1)
     near = sq <= (sq[np.arange(len(rows)), best] + 2 * slack)[:, None]
-    for i in np.flatnonzero(near.sum(axis=1) > 1):
-        close = np.flatnonzero(near[i])
-        best[i] = close[exact_distance(points[close], rows[i]).argmin()]
+    tied = np.flatnonzero(near.sum(axis=1) > 1)
+    if len(tied):
+        least = np.full(len(tied), np.inf)
+        for point in np.flatnonzero(near[tied].any(axis=0)):
+            asked = np.flatnonzero(near[tied, point])
+            gap = exact_distance(rows[tied[asked]], points[point])
+            nearer = gap < least[asked]
+            least[asked[nearer]] = gap[nearer]
+            best[tied[asked[nearer]]] = point
     return best, exact_distance(rows, points[best])
 
 
+def nearest_rows(
+    queries: np.ndarray, rows: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each query its ``k`` nearest rows: query index, row index, distance.
+
+    Equal distances go to the earlier row.
+    """
+    sq, slack = squared_screen(queries, rows)
+    limit = np.partition(sq, k - 1, axis=1)[:, k - 1] if len(rows) > k else np.full(len(queries), np.inf)
+    query, row = np.nonzero(sq <= (limit + 2 * slack)[:, None])
+    gap = np.empty(len(query))
+    for start in range(0, len(query), PAIR_SLICE):
+        part = slice(start, start + PAIR_SLICE)
+        gap[part] = exact_distance(rows[row[part]], queries[query[part]])
+    order = np.lexsort((row, gap, query))
+    query, row, gap = query[order], row[order], gap[order]
+    # Place within the query: queries are sorted, so count from their first entry.
+    place = np.arange(len(query)) - np.searchsorted(query, query)
+    kept = place < k
+    return query[kept], row[kept], gap[kept]
+
+
 def first_k(table: pa.Table, k: int, keys: list[tuple[str, str]]) -> pa.Table:
     """The first ``k`` rows under the sort keys, in no particular order."""
     if table.num_rows <= k:

@@ -286,25 +286,15 @@ def _compare_blocks(k: int, metric: str):
         right = right.sort_by("id")
         queries = _in_space(column, metric)
         rows = _in_space(right["embedding"].combine_chunks(), metric)
-        sq, slack = vectors.squared_screen(queries, rows)
-        asked, taken, gaps = [], [], []
-        for q in range(len(queries)):
-            limit = np.partition(sq[q], k)[k] if len(rows) > k + 1 else np.inf
-            close = np.flatnonzero(sq[q] <= limit + 2 * slack[q])
-            gap = vectors.exact_distance(rows[close], queries[q])
-            # Rows are sorted by id, so a stable sort settles equal distances.
-            order = np.argsort(gap, kind="stable")[: k + 1]
-            asked.append(np.full(len(order), q))
-            taken.append(close[order])
-            gaps.append(gap[order])
-        distance = np.concatenate(gaps)
+        # Rows are sorted by id, so equal distances go by id.
+        asked, taken, distance = vectors.nearest_rows(queries, rows, k + 1)
         if metric == "cosine":
             distance = 0.5 * distance * distance
         return pa.table(
             {
-                "qid": left["id"].take(pa.array(np.concatenate(asked))),
+                "qid": left["id"].take(pa.array(asked)),
                 "distance": distance,
-                "ids": right["ids"].take(pa.array(np.concatenate(taken))),
+                "ids": right["ids"].take(pa.array(taken)),
             }
         )
 
