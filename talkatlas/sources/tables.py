@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from talkatlas import schemas
 from talkatlas.checks import require_columns
 from talkatlas.operators.naming import audit_table
+from talkatlas.runtime import stored
 
 _CSV = {"header": "true", "quote": '"', "escape": '"'}
 # Texts keep their outer spaces; by default the writer trims them.
@@ -68,7 +69,8 @@ def read_embeddings(spark: SparkSession, path: str) -> DataFrame:
 def write_cluster_names(names: DataFrame, csv_path: str, json_path: str) -> None:
     """The name table as CSV and as JSON lines."""
     require_columns(names, "cluster_id", "summary", "name")
-    table = names.select("cluster_id", "summary", "name")
+    # Stored first, so that the names are worked out once for both files.
+    table = stored(names.select("cluster_id", "summary", "name"))
     write_csv(table, csv_path)
     table.write.mode("overwrite").option("ignoreNullFields", "false").json(json_path)
 
