@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
 
@@ -16,20 +15,32 @@ SMALL_ROWS = 4096
 def shared_dir(spark: SparkSession) -> str:
     """The checkpoint folder of the session, which all executors share.
 
-    It comes from ``spark.checkpoint.dir``.  Only a local session that names
-    none gets a temporary one.
+    It comes from ``spark.checkpoint.dir``.  Where that is unset, a folder in
+    the session's warehouse is used, which is on storage shared by all
+    executors as well.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            shared = tempfile.mkdtemp(prefix="talkatlas-")
-        context.setCheckpointDir(shared)
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{warehouse}/_work")
     return context.getCheckpointDir()
 
 
+def write_stored(df: DataFrame, path: str) -> None:
+    """Write ``df`` as parquet and let its shuffle files go at once.
+
+    What follows reads the table, so the shuffle files behind it are of no more
+    use, and without this they would pile up until the driver collects garbage.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, "false")
+    conf.set(key, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(key, before)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back, with its lineage cut.
 
@@ -39,7 +50,7 @@ def stored(df: DataFrame) -> DataFrame:
     in a loop these grow until planning takes longer than the work.
     """
     path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    write_stored(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
