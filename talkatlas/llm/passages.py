@@ -26,11 +26,11 @@ Symbols = Callable[[pa.Array, Powers], tuple[np.ndarray, np.ndarray]]
 
 
 def split(codes: np.ndarray, offsets: np.ndarray, window: int, gram: int, powers: Powers):
-    """Row, first symbol, number of windows, anchor and content hash of each passage."""
+    """Row, first symbol, offset of the anchor, number of windows, anchor and content hash of each passage."""
     n = len(codes)
     if n < window:
         none = np.zeros(0, np.int64)
-        return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return none, none, none, none, none.astype(np.uint64), none.astype(np.uint64)
     sums = prefix_sums(codes, powers)
     down = powers(n + 1)[1]
     grams = mix((sums[gram:] - sums[:-gram]) * down[: n - gram + 1])
@@ -54,7 +54,8 @@ def split(codes: np.ndarray, offsets: np.ndarray, window: int, gram: int, powers
     start, end = whole[first], whole[last] + window
     passage = mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
     rows = row[start]
-    return rows, start - offsets[rows], last - first + 1, grams[anchors[first]], passage
+    at = anchors[first]
+    return rows, start - offsets[rows], at - start, last - first + 1, grams[at], passage
 
 
 def with_tag(docs: DataFrame) -> DataFrame:
@@ -65,11 +66,15 @@ def with_tag(docs: DataFrame) -> DataFrame:
 
 
 def start_of(place: Column) -> Column:
-    return F.shiftright(place, 24)
+    return F.shiftright(place, 32)
 
 
 def tag_of(place: Column) -> Column:
-    return F.shiftright(place, 8).bitwiseAND(F.lit(0xFFFF)).cast("int")
+    return F.shiftright(place, 16).bitwiseAND(F.lit(0xFFFF)).cast("int")
+
+
+def offset_of(place: Column) -> Column:
+    return F.shiftright(place, 8).bitwiseAND(F.lit(0xFF)).cast("int")
 
 
 def windows_of(place: Column) -> Column:
@@ -79,7 +84,8 @@ def windows_of(place: Column) -> Column:
 def occurrences(docs: DataFrame, symbols: Symbols, window: int, gram: int) -> DataFrame:
     """``doc_id, place, anchor, passage`` for every passage of every row.
 
-    ``place`` packs the first symbol, the tag of the row and the number of windows.
+    ``place`` packs the first symbol, the tag of the row, the offset of the
+    anchor and the number of windows.
     """
     if not 0 < gram <= window or window - gram + 1 > 255:
         raise ValueError("a passage can have at most 255 windows")
@@ -88,9 +94,9 @@ def occurrences(docs: DataFrame, symbols: Symbols, window: int, gram: int) -> Da
         powers = Powers()
         for part in slices(batches, "text"):
             codes, offsets = symbols(part.column("text"), powers)
-            row, start, count, anchor, passage = split(codes, offsets, window, gram, powers)
+            row, start, offset, count, anchor, passage = split(codes, offsets, window, gram, powers)
             tag = part.column("tag").to_numpy()[row].astype(np.int64)
-            place = (start << 24) | (tag << 8) | count
+            place = (start << 32) | (tag << 16) | (offset << 8) | count
             arrays = [place, anchor.view(np.int64), passage.view(np.int64)]
             ids = part.column("doc_id").take(pa.array(row))
             names = ["doc_id", "place", "anchor", "passage"]
@@ -135,14 +141,15 @@ def with_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def bodies(docs: DataFrame, table: DataFrame, full: DataFrame, symbols, bounds, window: int) -> DataFrame:
     """The text of each distinct passage, read at its first place.
 
-    ``anchor, passage, n, first, step, code, body``.  An anchor in ``full`` has
-    too many different passages for one task.  Its passages come as single
+    ``doc_id, tag, start, offset, anchor, passage, n, step, code, body``.  An anchor
+    in ``full`` has too many different passages for one task.  Its passages come as single
     windows instead, with ``step`` and the window's hash ``code``, no body.
     """
     marked = table.join(full.withColumn("full", F.lit(True)), "anchor", "left")
     place = F.col("first.place")
     entry = F.struct(
         start_of(place).alias("start"),
+        offset_of(place).alias("offset"),
         windows_of(place).alias("windows"),
         "anchor", "passage", "n", F.coalesce("full", F.lit(False)).alias("full"),
     )
@@ -177,17 +184,17 @@ def bodies(docs: DataFrame, table: DataFrame, full: DataFrame, symbols, bounds,
             none = np.zeros(len(whole), np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("doc_id").take(pa.array(row[order])),
+                    *(part.column(c).take(pa.array(row[order])) for c in ("doc_id", "tag")),
                     pa.array(field["start"][order]),
-                    *(pa.array(field[c][order]) for c in ("anchor", "passage", "n")),
+                    *(pa.array(field[c][order]) for c in ("offset", "anchor", "passage", "n")),
                     pa.array(np.concatenate([none, step]).astype(np.int32)),
                     pa.array(np.concatenate([none, code.view(np.int64)])),
                     pa.array(body + [None] * len(again), pa.binary()),
                 ],
-                ["doc_id", "start", "anchor", "passage", "n", "step", "code", "body"],
+                ["doc_id", "tag", "start", "offset", "anchor", "passage", "n", "step", "code", "body"],
             )
 
-    schema = "doc_id long, start long, anchor long, passage long, n long, step int, code long, body binary"
+    schema = "doc_id long, tag int, start long, offset int, anchor long, passage long, n long, step int, code long, body binary"
     rows = with_texts(docs.select("doc_id", "text"), wanted).where("wanted IS NOT NULL").drop("row")
     return stored(rows.mapInArrow(run, schema))
 
