@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkatlas.llm import language, simhash, substrings, suffixes
+from talkatlas.llm import decontaminate, language, mixing, simhash, substrings, suffixes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,17 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.drawn(_table(spark, sf_dir, "documents"))
+    taken = F.col("size") * F.size("draws")
+    return rows.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+
+
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return decontaminate.contaminated(docs, items)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -39,7 +50,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_language_id,
         op3_suffix_array_dedup,
         op4_simhash_near_dedup,
+        op5_source_mixing,
+        op7_benchmark_decontamination,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_source_mixing": mixing.ORACLE}

@@ -63,15 +63,15 @@ def _entries() -> Column:
     it gives the other, so this half of the Hamming ball of radius one finds
     every pair.
     """
-    keys = []
-    for segment in (0, 1):
-        half = _half(F.col("fp"), segment)
-        bits = F.filter(F.sequence(F.lit(0), F.lit(31)), lambda i, h=half: F.getbit(h, i) == 1)
-        near = F.transform(bits, lambda i, h=half: h - F.call_function("shiftleft", F.lit(1).cast("long"), i))
-        tag = F.lit(segment << 32).cast("long")
-        keys.append(F.array(F.struct((half + tag).alias("bucket"), F.lit(True).alias("own"))))
-        keys.append(F.transform(near, lambda k, t=tag: F.struct((k + t).alias("bucket"), F.lit(False).alias("own"))))
-    return F.explode(F.concat(*keys))
+    return F.explode(F.concat(*_segment_entries(0), *_segment_entries(1)))
+
+
+def _segment_entries(segment: int) -> list[Column]:
+    half, tag = _half(F.col("fp"), segment), F.lit(segment << 32).cast("long")
+    bits = F.filter(F.sequence(F.lit(0), F.lit(31)), lambda i: F.getbit(half, i) == 1)
+    near = F.transform(bits, lambda i: half - F.call_function("shiftleft", F.lit(1).cast("long"), i))
+    own = F.array(F.struct((half + tag).alias("bucket"), F.lit(True).alias("own")))
+    return [own, F.transform(near, lambda k: F.struct((k + tag).alias("bucket"), F.lit(False).alias("own")))]
 
 
 def _divided(rows: DataFrame) -> DataFrame:
