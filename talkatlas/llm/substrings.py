@@ -20,7 +20,7 @@ GRAM = 8
 # Words of one index.  An anchor stays in one index, so this is a lower bound where one is larger.
 SHARD_WORDS = 1 << 18
 # An anchor with more different passages than this is counted window by window.
-ANCHOR_PASSAGES = 20_000
+ANCHOR_PASSAGES = 2_000
 
 
 def _words(column: pa.Array, powers: Powers):

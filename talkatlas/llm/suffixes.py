@@ -18,7 +18,7 @@ GRAM = 24
 # Bytes of one bucket.  An anchor stays in one bucket, so this is a lower bound where one is larger.
 BUCKET_BYTES = 4 << 20
 # An anchor with more different passages than this is compared window by window.
-ANCHOR_PASSAGES = 40_000
+ANCHOR_PASSAGES = 2_000
 
 
 def _bytes(column: pa.Array, powers: Powers):
