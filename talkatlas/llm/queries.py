@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkatlas.llm import decontaminate, language, mixing, simhash, substrings, suffixes, vectors
+from talkatlas.llm import chat, decontaminate, language, mixing, quality, simhash, substrings, suffixes, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,11 +38,20 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chat.with_probe(spark, _table(spark, sf_dir, "conversations"))
+    return chat.digests(chat.conversations(rows))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return decontaminate.contaminated(docs, items)
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
@@ -55,9 +64,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_suffix_array_dedup,
         op4_simhash_near_dedup,
         op5_source_mixing,
+        op6_chat_formatting,
         op7_benchmark_decontamination,
+        op8_quality_classifier,
         op9_embedding_near_dedup,
     )
 }
 
-ORACLES: dict[str, str] = {"op5_source_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op5_source_mixing": mixing.ORACLE, "op6_chat_formatting": chat.ORACLE}
