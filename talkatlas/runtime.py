@@ -51,7 +51,16 @@ def stored(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
     write_stored(df, path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_path = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete what ``stored`` has written, once nothing that reads it is left to run."""
+    context = table.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(table.stored_path)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def row_blocks(df: DataFrame, key: str, block_rows: int = SMALL_ROWS) -> Iterator[list]:
