@@ -53,16 +53,34 @@ def _grams(codes: np.ndarray, rows: np.ndarray, size: int, salt: int) -> tuple[n
     return gram[inside], row[:count][inside]
 
 
+# Distances at which words are compared with themselves.
+LAGS = (1, 2, 3, 4)
+
+
+def _repeats(codes: np.ndarray, rows: np.ndarray, lag: int) -> tuple[np.ndarray, np.ndarray]:
+    """One code per row for the share of words that return after ``lag`` words, in powers of two."""
+    count = len(rows) - 1
+    row = np.repeat(np.arange(count), np.diff(rows))
+    if len(codes) <= lag:
+        return codes[:0], row[:0]
+    again = (codes[lag:] == codes[:-lag]) & (row[lag:] == row[:-lag])
+    share = np.bincount(row[lag:], again, count) / np.maximum(np.diff(rows), 1)
+    level = np.floor(np.log2(np.maximum(share, 2.0**-9))).astype(np.int64) + 9
+    return mix((level + 100 * lag + 20_000).astype(np.uint64)), np.arange(count)
+
+
 def slots(column: pa.Array, powers: Powers, bits: int = SLOT_BITS) -> tuple[np.ndarray, np.ndarray]:
     """The distinct slots of each text, row after row, and the offsets of the rows.
 
-    Words and pairs of words, and one to three word shapes in a row.
+    Words and pairs of words, one to three word shapes in a row, and how many
+    words return at short distances.
     """
     data, offsets = text_bytes(column)
     starts, ends, rows = word_bounds(data, offsets)
     words = word_codes(data, starts, ends, powers)
     shapes, shape_rows = _shapes(data, offsets, powers)
     found = [_grams(words, rows, n, n) for n in (1, 2)] + [_grams(shapes, shape_rows, n, 10 + n) for n in (1, 2, 3)]
+    found += [_repeats(words, rows, lag) for lag in LAGS]
     keys = [(row << bits) | (gram >> np.uint64(64 - bits)).astype(np.int64) for gram, row in found]
     keys = np.unique(np.concatenate(keys))
     return keys & ((1 << bits) - 1), np.searchsorted(keys >> bits, np.arange(len(column) + 1))
