@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talkatlas.llm.columns import Powers, mix, prefix_sums, slices
-from talkatlas.runtime import stored
+from talkatlas.runtime import discard, stored
 
 # Symbols of a text column: a 64-bit code per symbol, and the offsets of the rows.
 Symbols = Callable[[pa.Array, Powers], tuple[np.ndarray, np.ndarray]]
@@ -107,8 +107,13 @@ def occurrences(docs: DataFrame, symbols: Symbols, window: int, gram: int) -> Da
 
 def recurring(found: DataFrame) -> DataFrame:
     """The passages whose anchor occurs more than once; no other window can recur."""
+    found = stored(found)
     anchors = stored(found.groupBy("anchor").count().where("count > 1").select("anchor"))
-    return stored(found.join(anchors, "anchor", "left_semi"))
+    kept = stored(found.join(anchors, "anchor", "left_semi"))
+    # The table of all passages is the largest of all.
+    discard(found)
+    discard(anchors)
+    return kept
 
 
 def distinct(found: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from talkatlas.llm import passages
 from talkatlas.llm.columns import Powers, slices, text_bytes, word_bounds, word_codes
 from talkatlas.llm.fm_index import FMIndex
-from talkatlas.runtime import stored
+from talkatlas.runtime import discard, stored
 
 WINDOW = 35
 GRAM = 8
@@ -72,8 +72,7 @@ def _indexed(window: int):
 
 def recurring_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """``doc_id, tag, spans``: the word intervals of each row that recurring windows cover."""
-    found = stored(passages.occurrences(docs, _words, window, gram))
-    found = passages.recurring(found)
+    found = passages.recurring(passages.occurrences(docs, _words, window, gram))
     table = passages.distinct(found)
     full = passages.full_anchors(table, ANCHOR_PASSAGES)
     read = passages.bodies(docs, table, full, _words, _bounds, window)
@@ -88,6 +87,7 @@ def recurring_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     split = F.flatten(F.transform(step, lambda s: F.array(s, s + F.lit(window))))
     single = single.join(totals, "code", "left_semi").groupBy("anchor", "passage").agg(split.alias("spans"))
     spans = stored(spans.unionByName(single))
+    discard(read)
     return passages.spans_by_row(found.join(spans, ["anchor", "passage"]).select("doc_id", "place", "spans"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from talkatlas.llm import passages
 from talkatlas.llm.columns import Powers, byte_codes, slices, text_bytes
-from talkatlas.runtime import stored
+from talkatlas.runtime import discard, stored
 
 WINDOW = 100
 GRAM = 24
@@ -167,8 +167,7 @@ def _sorted_buckets(window: int, gram: int):
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """``doc_id, tag, spans``: the byte intervals of each row whose windows also start earlier."""
-    found = stored(passages.occurrences(docs, _bytes, window, gram))
-    found = passages.recurring(found)
+    found = passages.recurring(passages.occurrences(docs, _bytes, window, gram))
     table = passages.distinct(found)
     # An anchor with one passage has nothing to compare: its windows differ from each other.
     several = stored(table.groupBy("anchor").count().where("count > 1").select("anchor"))
@@ -191,6 +190,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     single = single.join(least, "code").where("place > least").groupBy("anchor", "passage").agg(split.alias("spans"))
     spans = spans.unionByName(single)
     table = stored(table.drop("n").join(spans, ["anchor", "passage"], "left"))
+    discard(read)
     joined = found.join(table, ["anchor", "passage"])
     at_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("place") == F.col("first.place"))
     whole_span = F.array(F.lit(0), passages.windows_of(F.col("place")) + F.lit(window - 1))
