@@ -107,9 +107,8 @@ def decode_base64(encoded: Column) -> Column:
     ASCII is rejected.  Spark's own decoder accepts unpadded input, so the
     padding is checked here first.
     """
-    stripped = strip(encoded)
     # In ASCII text a character is one byte.
-    ascii_only = F.when(F.length(stripped) == F.octet_length(stripped), stripped)
+    ascii_only = let(strip(encoded), lambda s: F.when(F.length(s) == F.octet_length(s), s))
     symbols = F.regexp_replace(ascii_only, "[^A-Za-z0-9+/=]+", "")
     raw = F.try_to_binary(let(symbols, _padded_base64), F.lit("base64"))
     return F.coalesce(F.try_validate_utf8(raw.cast("string")), F.lit(""))
@@ -118,16 +117,21 @@ def decode_base64(encoded: Column) -> Column:
 def parse_turns(json_text: Column) -> Column:
     """The ``turns`` array of a JSON object; an empty array on any failure.
 
-    The object is parsed as the only element of an array, because the parser
-    would otherwise ignore whatever follows a complete object.
+    The parser stops at the end of the first complete value and ignores what
+    follows.  So the object is parsed as the first of two elements, and the
+    second, which names a hash of the text, has to be found behind it.  A text
+    that closes the array early hides that element, and none can contain its
+    own hash.
     """
-    wrapped = F.from_json(
-        F.concat(F.lit("["), json_text, F.lit("]")),
-        f"ARRAY<STRUCT<turns: {TURNS_TYPE}>>",
-        {"allowSingleQuotes": "false"},
-    )
-    turns = let(wrapped, lambda w: F.when(F.size(w) == 1, F.get(w, F.lit(0))["turns"]))
-    return F.coalesce(turns, F.array().cast(TURNS_TYPE))
+
+    def checked(text: Column) -> Column:
+        ends = F.concat(F.lit("["), text, F.lit(',{"end":"'), F.md5(text.cast("binary")), F.lit('"}]'))
+        schema = f"ARRAY<STRUCT<turns: {TURNS_TYPE}, end: STRING>>"
+        read = F.from_json(ends, schema, {"allowSingleQuotes": "false"})
+        whole = lambda w: (F.size(w) == 2) & (F.get(w, F.lit(1))["end"] == F.md5(text.cast("binary")))
+        return let(read, lambda w: F.when(whole(w), F.get(w, F.lit(0))["turns"]))
+
+    return F.coalesce(let(json_text, checked), F.array().cast(TURNS_TYPE))
 
 
 def decode_turns(encoded: Column) -> Column:
@@ -188,11 +192,6 @@ def words(col: Column) -> Column:
     return F.regexp_extract_all(F.lower(col), F.lit(TOKEN_PATTERN), F.lit(0))
 
 
-def tokens(col: Column) -> Column:
-    """Words in reading order, without the stop words."""
-    return F.filter(words(col), lambda w: ~w.isin(*STOP_WORDS))
-
-
 def concern_score(col: Column) -> Column:
     """The concern text as an integer from 1 to 5, else null."""
     score = strip(col).try_cast("int")

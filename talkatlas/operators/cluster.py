@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from talkatlas.checks import require_columns
 from talkatlas.functions import vectors
-from talkatlas.runtime import stored, is_small, join_small, row_blocks, with_last
+from talkatlas.runtime import is_small, row_blocks, stored, with_last
 
 
 def choose_k(n_rows: int, k_min: int = 3, k_max: int = 40) -> int:
@@ -85,9 +85,13 @@ def assign_nearest(
     id_col: str = "id",
     vector_col: str = "embedding",
     keep_vector: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """``(id, cluster_id, distance)`` of the nearest centroid; ties to the lower id.
 
+    Columns in ``keep`` come along.  Rows without a vector have no cluster and
+    are left out.
+
     The centroids travel to the tasks, so no row is shuffled.  More centroids
     than fit one block are passed over block by block, in the same stage.
     """
@@ -98,14 +102,15 @@ def assign_nearest(
         F.lit(None).cast("int").alias("cluster_id"),
         F.lit(None).cast("double").alias("distance"),
         F.col(vector_col).alias("embedding"),
+        *keep,
     )
     for (ids, matrix), last in with_last(centroid_blocks(points)):
         # The vectors return from the tasks only where they are needed again.
-        names = result.columns[:3] if last and not keep_vector else result.columns
+        names = [c for c in result.columns if keep_vector or not last or c != "embedding"]
         shared = df.sparkSession.sparkContext.broadcast((ids, matrix))
         schema = T.StructType([result.schema[c] for c in names])
         result = result.mapInArrow(_nearest_in_block(shared, names), schema)
-    return result if keep_vector else result.select(id_col, "cluster_id", "distance")
+    return result if keep_vector else result.select(id_col, "cluster_id", "distance", *keep)
 
 
 def _nearest_in_block(shared, names: list[str]):
@@ -119,13 +124,10 @@ def _nearest_in_block(shared, names: list[str]):
             old_label = batch.column(1).fill_null(2**31 - 1).to_numpy(zero_copy_only=False)
             old_gap = batch.column(2).fill_null(np.inf).to_numpy(zero_copy_only=False)
             keep = (old_gap < gap) | ((old_gap == gap) & (old_label < label))
-            columns = [
-                batch.column(0),
-                pa.array(np.where(keep, old_label, label), pa.int32()),
-                pa.array(np.where(keep, old_gap, gap), pa.float64()),
-                batch.column(3),
-            ]
-            yield pa.RecordBatch.from_arrays(columns[: len(names)], names=names)
+            columns = dict(zip(batch.schema.names, batch.columns, strict=True))
+            columns["cluster_id"] = pa.array(np.where(keep, old_label, label), pa.int32())
+            columns["distance"] = pa.array(np.where(keep, old_gap, gap), pa.float64())
+            yield pa.RecordBatch.from_arrays([columns[c] for c in names], names=names)
 
     return run
 
@@ -137,43 +139,36 @@ def fit_kmeans(
     id_col: str = "id",
     vector_col: str = "embedding",
     max_iter: int = 300,
+    keep: Sequence[str] = (),
 ) -> tuple[DataFrame, int]:
-    """K-means labels as ``(id, cluster_id)``, and the k that was used.
+    """K-means labels as ``(id, cluster_id)`` and the columns in ``keep``, and the k that was used.
 
     ``df`` should be a stored table: the fit passes over it many times.
-    Clusters are numbered by size, the largest first.
+    Clusters are numbered by size, the largest first, equal ones by their
+    centers.  Rows without a vector keep a null label.
     """
     require_columns(df, id_col, vector_col)
-    rows = df.where(F.col(vector_col).isNotNull()).select(
-        F.col(id_col).alias("id"), array_to_vector(F.col(vector_col)).alias("features")
-    )
+    rows = df.where(F.col(vector_col).isNotNull())
+    rows = rows.withColumn("_features", array_to_vector(F.col(vector_col)))
     n_rows = rows.count()
     if n_rows == 0:
         raise ValueError("no rows to cluster")
     k = choose_k(n_rows) if k is None else k
     k = min(k, n_rows)
-    if k < 2:
-        return rows.select(F.col("id").alias(id_col), F.lit(0).alias("cluster_id")), 1
-    model = KMeans(k=k, seed=random_state, maxIter=max_iter, tol=1e-4).fit(rows)
-    labels = model.transform(rows).select("id", F.col("prediction").alias("cluster_id"))
-    labels = renumbered(labels, bound=k)
-    return labels.select(F.col("id").alias(id_col), "cluster_id"), k
-
-
-def renumbered(labels: DataFrame, bound: int | None = None) -> DataFrame:
-    """Number clusters by size, largest first, then by smallest hash of a member id.
-
-    The hash is a number, which the aggregation keeps in place; the smallest
-    text would make it sort all rows.
-    """
-    stats = labels.groupBy("cluster_id").agg(
-        F.count("*").alias("n"), F.min(F.xxhash64("id")).alias("first")
+    label = F.lit(0)
+    if k > 1:
+        estimator = KMeans(featuresCol="_features", predictionCol="_place", k=k, seed=random_state)
+        model = estimator.setMaxIter(max_iter).setTol(1e-4).fit(rows)
+        # k numbers and centers, on the driver: rows are labelled in one pass.
+        sizes, points = model.summary.clusterSizes, [c.tolist() for c in model.clusterCenters()]
+        order = sorted(range(len(points)), key=lambda i: (-sizes[i], points[i]))
+        rows = model.transform(rows)
+        label = F.element_at(F.lit([order.index(i) for i in range(len(points))]), F.col("_place") + 1)
+    labels = rows.select(id_col, label.cast("int").alias("cluster_id"), *keep)
+    missing = df.where(F.col(vector_col).isNull()).select(
+        id_col, F.lit(None).cast("int").alias("cluster_id"), *keep
     )
-    # One row per cluster is left here, so the unpartitioned window is small.
-    order = Window.orderBy(F.desc("n"), "first")
-    numbers = stats.select("cluster_id", (F.row_number().over(order) - 1).alias("number"))
-    numbered = join_small(labels, numbers, "cluster_id", "inner", bound=bound)
-    return numbered.select("id", F.col("number").alias("cluster_id"))
+    return labels.unionByName(missing), max(k, 1)
 
 
 def lloyd(

@@ -59,7 +59,9 @@ def complete(
             return [a for a, _ in answers], [e for _, e in answers]
 
         with ThreadPoolExecutor(calls_in_flight) as pool:
-            for batch in batches:
+            # A slice at a time, so that neither prompts nor answers of a whole batch are held.
+            size = max(4 * calls_in_flight, 16)
+            for batch in (b.slice(at, size) for b in batches for at in range(0, b.num_rows, size)):
                 prompts = batch.column(prompt_col).to_pylist()
                 answers = list(pool.map(ask_row, prompts))
                 columns = [batch.column(c) for c in kept]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,8 @@ from talkatlas.checks import require_columns
 from talkatlas.functions.vectors import list_column, unit_rows
 
 Encoder = Callable[[Sequence[str]], np.ndarray]
+# Texts that an encoder gets at once.
+ENCODED_ROWS = 256
 
 
 class _Buckets(dict):
@@ -47,13 +50,12 @@ def hashing_encoder(dim: int = 64) -> Callable[[], Encoder]:
         buckets = _Buckets(dim)
 
         def encode(texts: Sequence[str]) -> np.ndarray:
-            counts = np.zeros((len(texts), dim))
-            for row, content in enumerate(texts):
-                found = word.findall(content.lower())
-                places = np.fromiter(map(buckets.__getitem__, found), np.int64, len(found))
-                counts[row] = np.bincount(places, minlength=dim)
+            found = [word.findall(content.lower()) for content in texts]
+            lengths = np.fromiter(map(len, found), np.int64, len(found))
+            places = np.fromiter(map(buckets.__getitem__, chain.from_iterable(found)), np.int64, lengths.sum())
+            places += np.repeat(np.arange(len(texts)) * dim, lengths)
             buckets.forget_if_large()
-            return unit_rows(counts)
+            return unit_rows(np.bincount(places, minlength=len(texts) * dim).reshape(-1, dim).astype(np.float64))
 
         return encode
 
@@ -65,24 +67,33 @@ def embed(
     encoder_factory: Callable[[], Encoder],
     text_col: str = "request",
     id_col: str = "id",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """``(id, embedding)`` of one text column; a missing text counts as empty.
 
+    Columns in ``keep`` come along, so that no join is needed to put them back.
+
     ``encoder_factory`` runs once per task, so a model is loaded once and then
     used batch by batch.  The encoder gets a list of texts and returns a matrix.
     """
     require_columns(df, text_col, id_col)
     schema = T.StructType(
-        [df.schema[id_col], T.StructField("embedding", T.ArrayType(T.FloatType()))]
+        [
+            df.schema[id_col],
+            T.StructField("embedding", T.ArrayType(T.FloatType())),
+            *(df.schema[c] for c in keep),
+        ]
     )
 
     def encode_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder_factory()
         for batch in batches:
-            if batch.num_rows:
-                vectors = np.asarray(encode(batch.column(1).to_pylist()))
-                columns = [batch.column(0), list_column(vectors, pa.float32())]
-                yield pa.RecordBatch.from_arrays(columns, names=[id_col, "embedding"])
-
-    texts = df.select(id_col, F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+            for start in range(0, batch.num_rows, ENCODED_ROWS):
+                part = batch.slice(start, ENCODED_ROWS)
+                vectors = np.asarray(encode(part.column(1).to_pylist()))
+                columns = [part.column(0), list_column(vectors, pa.float32()), *part.columns[2:]]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text")
+    texts = df.select(id_col, text, *keep)
     return texts.mapInArrow(encode_all, schema)

@@ -24,7 +24,8 @@ class FacetSpec:
     rule: str = ""
 
 
-# The tags and their order are the contract with the parser; the wording is free.
+# The tags, their order and the two openings, which the results
+# build on.  The wording is free.
 FACET_SPECS = (
     FacetSpec(
         "request",
@@ -56,16 +57,14 @@ FACET_SPECS = (
 FACET_KEYS = tuple(spec.key for spec in FACET_SPECS)
 
 _PRIVACY = (
-    "Be descriptive, assume neither good nor bad intent, and name sensitive "
-    "subjects plainly. Give no personal data and no proper nouns: no names, "
-    "places, telephone numbers or e-mail addresses."
+    "Replace anything that could point to a person or a place by a general word. "
+    "Report what was said, without judging it."
 )
 SHOWN = "Below is a conversation between a user and an AI assistant.\n\n"
 _EXAMPLES = (
     "<examples>\n"
-    "The user asked for help with planning a vegetable garden.\n"
-    "The user asked how to repair a leaking washing machine.\n"
-    "The user asked how to make a dangerous substance.\n"
+    "compare two phone contracts and say which is cheaper over a year\n"
+    "find out why a unit test passes alone but fails in the suite\n"
     "</examples>\n\n"
 )
 
@@ -133,9 +132,12 @@ def extract_facets_one_by_one(
     completer_factory: Callable[[], Completer],
     max_tasks: int | None = None,
     calls_in_flight: int = 1,
+    keep_error: bool = False,
 ) -> DataFrame:
     """The same table with four calls per row, one per facet.
 
+    With ``keep_error`` an array holds the error of each call, null where it went well.
+
     The four prompts of a row travel as one array, so no shuffle is needed to
     bring the answers back together.
     """
@@ -149,12 +151,14 @@ def extract_facets_one_by_one(
         max_tasks,
         calls_in_flight,
     )
+    errors = [F.col("error").alias("errors")] if keep_error else []
     return answers.select(
         "id",
         *[
             text.tag_text(F.get("raw", F.lit(i)), "answer").alias(key)
             for i, key in enumerate(FACET_KEYS)
         ],
+        *errors,
     )
 
 

@@ -26,21 +26,15 @@ FALLBACK_SUMMARY_START = (
 )
 
 INSTRUCTIONS = (
-    "You will see a group of related statements. Describe what they have in common "
-    "and what sets them apart from the statements of other groups.\n\n"
-    "Write a description of two sentences in the past tense that fits this group and "
-    "not the contrasting statements. Then write a name of at most ten words that fits "
-    "most of the statements and is specific enough to act on: 'Debug a failing web "
-    "server' says more than 'Help with computers'. Assume neither good nor bad intent, "
-    "and name harmful or sensitive subjects plainly.\n\n"
-    "Answer in this form:\n"
-    "<summary> [two sentences] </summary>\n"
-    "<name> [short name] </name>\n\n"
-    "Requirements for the name:\n"
-)
-CLOSING = (
-    "\n\nCompare both lists with care, and write nothing besides the two tags."
+    "Label one group of a clustering.\n\n"
+    "Output exactly two lines:\n"
+    "<summary> what the members share, as two sentences </summary>\n"
+    "<name> a label for a list of groups </name>\n\n"
+    "The label has to hold for the first list below, the members, and to fail for the "
+    "second, rows of other groups. Prefer the concrete topic over the broad "
+    "field. The label also meets these criteria:\n"
 )
+CLOSING = "\n\nNow output the two lines."
 
 
 def cluster_prompt(
@@ -116,6 +110,7 @@ def name_bundles(
     completer_factory: Callable[[], Completer],
     criteria: str | None = None,
     max_tasks: int | None = None,
+    calls_in_flight: int = 1,
 ) -> DataFrame:
     """Name clusters from their example bundles.
 
@@ -132,8 +127,10 @@ def name_bundles(
         ),
     )
     asked = prompts.select("cluster_id", F.col("prompt").alias("question"))
-    # Stored, so that the answers are not asked for again by later readers.
-    answers = stored(complete(asked, "question", completer_factory, max_tasks))
+    # Few rows with a costly call each: they are spread over all tasks.  Stored,
+    # so that the answers are not asked for again by later readers.
+    tasks = max_tasks or asked.sparkSession.sparkContext.defaultParallelism
+    answers = stored(complete(asked, "question", completer_factory, tasks, calls_in_flight))
     statements = bundles.select(
         "cluster_id", F.posexplode("in_texts").alias("rank", "text")
     )
@@ -173,6 +170,7 @@ def name_clusters(
     vector_col: str = "embedding",
     cluster_ids: Sequence[int] | None = None,
     max_tasks: int | None = None,
+    calls_in_flight: int = 1,
 ) -> DataFrame:
     """Name all clusters, or those in ``cluster_ids``, in one plan.
 
@@ -181,7 +179,7 @@ def name_clusters(
     the table to join back; ``audit_table`` the record of what was asked.
     """
     bundles = stored(example_bundles(df, params, id_col, vector_col, cluster_ids))
-    named = name_bundles(bundles, completer_factory, criteria, max_tasks)
+    named = name_bundles(bundles, completer_factory, criteria, max_tasks, calls_in_flight)
     return named.select(
         "cluster_id",
         "summary",

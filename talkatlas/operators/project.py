@@ -80,15 +80,18 @@ def project_and_merge(
     """The rows with two coordinate columns; ``cache_dir`` keeps and reuses them.
 
     Without a cache the columns are added in place, so nothing is shuffled.
+    Rows without a vector keep null coordinates.
     """
     p = params or ProjectionParams()
     if p.n_components < 2:
         raise ValueError("two coordinate columns need at least two components")
     require_columns(df, id_col, vector_col)
     if cache_dir is None:
+        missing = df.where(F.col(vector_col).isNull())
         rows = fit_projection(df, p, vector_col)(df)
+        rows = rows.unionByName(missing.withColumn("coords", F.lit(None).cast("array<double>")))
     else:
-        rows = df.join(cached_projection(df, p, cache_dir, id_col, vector_col), id_col)
+        rows = df.join(cached_projection(df, p, cache_dir, id_col, vector_col), id_col, "left")
     axes = {x_col: F.get("coords", F.lit(0)), y_col: F.get("coords", F.lit(1))}
     return rows.withColumns(axes).drop("coords")
 

@@ -26,13 +26,11 @@ from talkatlas.plans.stubs import stub_facet_completer, stub_naming_completer
 from talkatlas.runtime import join_small, shared_dir, stored
 from talkatlas.sources import tables
 
-# A raw record holds at most this many consecutive turns, so that no
-# conversation outgrows a row.
-RECORD_TURNS = 64
 LLOYD_STEPS = 5
 THRESHOLD = 0.8
 KNN = 10
 BIN_WIDTH = 0.1
+DIM = 64
 LANGUAGES = ("de", "en", "es", "fr")
 
 
@@ -41,18 +39,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The turn table as raw records with base64 JSON content."""
+    """The turn table as raw records with base64 JSON content, one per conversation."""
     turns = _table(spark, sf_dir, "conversations")
-    record = F.floor(F.col("turn") / F.lit(RECORD_TURNS))
     turn = F.struct("turn", "role", "text")
-    folded = turns.groupBy("conv_id", record.alias("part")).agg(
-        F.array_sort(F.collect_list(turn)).alias("turns")
-    )
+    folded = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
     bare = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
     content = F.to_json(F.struct(bare.alias("turns")))
     day = F.lpad((F.col("conv_id") % 28 + 1).cast("string"), 2, "0")
     return folded.select(
-        F.concat_ws("-", "conv_id", "part").alias("id"),
+        F.col("conv_id").cast("string").alias("id"),
         F.concat(F.lit("2025-01-"), day, F.lit("T00:00")).alias("created_dttm"),
         F.when(F.col("conv_id") % 3 != 0, F.concat(F.lit('Q&A "'), "conv_id", F.lit('"'))).alias("title"),
         F.lit("chat").alias("tags"),
@@ -76,14 +71,22 @@ def _texts(spark, sf_dir):
     )
 
 
+def _language_number():
+    found = F.array_position(F.lit(list(LANGUAGES)), F.col("lang"))
+    return F.coalesce(found, F.lit(0)).cast("int").alias("cluster_id")
+
+
 def _rows(spark, sf_dir):
-    return _vectors(spark, sf_dir).join(_texts(spark, sf_dir), "id")
+    """All documents with a hash embedding, clustered by language."""
+    docs = _table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"), F.col("text").alias("request"), _language_number()
+    )
+    return stored(embed.embed(docs, embed.hashing_encoder(DIM), keep=("request", "cluster_id")))
 
 
 def _by_language(spark, sf_dir):
-    number = F.coalesce(F.array_position(F.lit(list(LANGUAGES)), F.col("lang")), F.lit(0))
     return _table(spark, sf_dir, "documents").select(
-        number.cast("int").alias("cluster_id"), F.col("doc_id").alias("rank"), "text"
+        _language_number(), F.col("doc_id").alias("rank"), "text"
     )
 
 
@@ -108,20 +111,25 @@ def decode_turns(spark, sf_dir):
 
 def decode_bad_input(spark, sf_dir):
     """Damaged records, one kind of damage per remainder of the id."""
-    payload = F.concat(F.lit('{"turns":[{"role":"user","text":"Oh, '), F.md5("text"), F.lit('"}]}'))
+    turn = F.struct(F.lit("user").alias("role"), F.concat(F.lit("Oh, "), "text").alias("text"))
+    payload = F.to_json(F.struct(F.array(turn).alias("turns")))
+    # Spaces at the end bring all lengths to one remainder, so that all need padding.
+    payload = F.concat(payload, F.repeat(F.lit(" "), F.pmod(1 - F.octet_length(payload), F.lit(3)).cast("int")))
     plain = F.regexp_replace(F.base64(payload.cast("binary")), "\\s", "")
     bad_bytes = F.concat(F.unhex(F.lit("FF")), payload.cast("binary"))
     kinds = [
         F.rtrim(plain, F.lit("=")),
-        F.concat(F.lit(" \n"), F.substring(plain, 1, 9), F.lit("!\n*"), F.substring(plain, 10, 999)),
+        F.concat(F.lit(" \n"), F.substring(plain, 1, 9), F.lit("!\n*"), F.substr(plain, F.lit(10))),
         F.base64(bad_bytes),
         F.base64(F.concat(payload, F.lit(" junk")).cast("binary")),
         F.base64(F.concat(F.lit("["), payload, F.lit("]")).cast("binary")),
         F.concat(plain, F.lit("é")),
         F.lit(None).cast("string"),
-        F.concat(F.substring(plain, 1, 2), F.lit("="), F.substring(plain, 3, 999)),
+        F.concat(F.substring(plain, 1, 2), F.lit("="), F.substr(plain, F.lit(3))),
         F.concat(plain, F.lit("QUJD")),
         plain,
+        F.base64(F.concat(payload, F.lit("]")).cast("binary")),
+        F.base64(F.concat(payload, F.lit("}] junk")).cast("binary")),
     ]
     kind = F.col("doc_id") % len(kinds)
     encoded = F.element_at(F.array(*kinds), (kind + 1).cast("int"))
@@ -147,6 +155,14 @@ def facets_sequential(spark, sf_dir):
     return facets.extract_facets_one_by_one(_documents_xml(spark, sf_dir), stub_facet_completer)
 
 
+def raw_csv_roundtrip(spark, sf_dir):
+    """Raw records written as CSV, read back and decoded."""
+    path = f"{shared_dir(spark)}/raw-{uuid.uuid4().hex}"
+    tables.write_csv(raw_conversations(spark, sf_dir), path)
+    decoded = prepare.add_turns(tables.read_raw_conversations(spark, path))
+    return decoded.select("id", "created_dttm", "title", "tags", F.size("turns").alias("n_turns"))
+
+
 def concern_histogram(spark, sf_dir):
     scored = facets.with_concern_score(facets_batched(spark, sf_dir))
     return scored.groupBy("concern_score").agg(F.count("*").alias("count"))
@@ -192,7 +208,7 @@ def facet_tags_parse(spark, sf_dir):
 
 
 def hash_embed(spark, sf_dir):
-    embedded = embed.embed(_texts(spark, sf_dir), embed.hashing_encoder(64))
+    embedded = embed.embed(_texts(spark, sf_dir), embed.hashing_encoder(DIM))
     parts = embedded.select("id", F.posexplode("embedding").alias("bucket", "w")).where("w <> 0")
     return parts.select("id", "bucket", F.round(F.col("w").cast("double"), 6).alias("w"))
 
@@ -232,28 +248,43 @@ def assign_nearest(spark, sf_dir):
     return nearest.select("id", "cluster_id", _rounded("distance").alias("distance"))
 
 
-def kmeans_lloyd(spark, sf_dir):
-    rows = _vectors(spark, sf_dir)
-    k = cluster.choose_k(rows.count())
+def _start_points(rows, k):
+    """``k`` rows drawn by a hash of their id, as numbered start centroids."""
     start = rows.orderBy(F.md5(F.col("id").cast("string")), "id").limit(k)
     start = start.select(F.md5(F.col("id").cast("string")).alias("draw"), "embedding")
     listed = start.agg(F.array_sort(F.collect_list(F.struct("draw", "embedding"))).alias("s"))
-    start = listed.select(F.posexplode("s").alias("cluster_id", "p")).select(
+    return listed.select(F.posexplode("s").alias("cluster_id", "p")).select(
         "cluster_id", F.col("p.embedding").alias("centroid")
     )
+
+
+def kmeans_lloyd(spark, sf_dir):
+    rows = _vectors(spark, sf_dir)
+    start = _start_points(rows, cluster.choose_k(rows.count()))
     return _long(cluster.lloyd(rows, start, LLOYD_STEPS), "cluster_id", "n")
 
 
 def kmeans_fit(spark, sf_dir):
-    """A k-means run and what holds for any: k, all rows labelled, labels in size order."""
+    """A k-means run and what holds for any.
+
+    k, all rows labelled, labels in size order, and each row at the nearest of
+    the means of the clusters, but for the few that a last step would move.
+    """
     rows = _vectors(spark, sf_dir).drop("cluster_id")
-    labels, k = cluster.fit_kmeans(rows)
+    labels, k = cluster.fit_kmeans(rows, keep=("embedding",))
+    labels = stored(labels)
+    nearest = cluster.assign_nearest(
+        labels.withColumnRenamed("cluster_id", "label"), cluster.centroids(labels), keep=("label",)
+    )
+    moved = nearest.where(F.col("label") != F.col("cluster_id")).count()
     sizes = cluster.cluster_sizes(labels)
     by_label = F.transform(
         F.array_sort(F.collect_list(F.struct("cluster_id", "count"))), lambda s: s["count"]
     )
-    return sizes.agg(F.sum("count").alias("n_rows"), by_label.alias("sizes")).select(
+    found = sizes.agg(F.sum("count").alias("n_rows"), by_label.alias("sizes"))
+    return found.select(
         "n_rows",
+        (F.lit(moved) <= F.col("n_rows") * 0.01).alias("at_nearest"),
         F.lit(k).alias("k"),
         (F.size("sizes") <= k).alias("at_most_k"),
         (F.col("sizes") == F.reverse(F.array_sort("sizes"))).alias("by_size"),
@@ -325,10 +356,18 @@ def naming_audit(spark, sf_dir):
 
 def named_rows(spark, sf_dir):
     """Names exist for even clusters only; the other rows keep nulls."""
-    rows = _rows(spark, sf_dir)
-    words = rows.select("cluster_id", F.col("id").alias("rank"), F.col("request").alias("text"))
+    words = _by_language(spark, sf_dir)
     names = naming.fallback_names(words.where(F.col("cluster_id") % 2 == 0))
-    return naming.attach_names(rows.select("id", "cluster_id"), stored(names))
+    return naming.attach_names(words.select(F.col("rank").alias("id"), "cluster_id"), stored(names))
+
+
+def named_rows_csv_roundtrip(spark, sf_dir):
+    """Named rows as CSV; a row without a name comes back with nulls."""
+    path = f"{shared_dir(spark)}/named-{uuid.uuid4().hex}"
+    facet = [F.lit(c).alias(c) for c in ("request", "language", "task", "concerning")]
+    rows = named_rows(spark, sf_dir).select(F.col("id").cast("string").alias("id"), *facet, "cluster_id", "summary", "name")
+    tables.write_csv(rows, path)
+    return tables.read_named_rows_csv(spark, path).select("id", "cluster_id", "summary", "name")
 
 
 def alignment_check(spark, sf_dir):
@@ -436,16 +475,20 @@ def vector_distances(spark, sf_dir):
 
 
 def head_n(spark, sf_dir):
-    return prepare.first_rows(_documents_xml(spark, sf_dir), 100).select("id", "conversation_xml")
+    """The records are cut first, and only those that are left are decoded."""
+    first = prepare.first_rows(raw_conversations(spark, sf_dir), 100)
+    return prepare.conversation_documents(first).select("id", "conversation_xml")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations to named clusters: every stage once."""
-    found = stored(facets_batched(spark, sf_dir))
-    embedded = stored(embed.embed(found, embed.hashing_encoder(64)))
-    labels, k = cluster.fit_kmeans(embedded)
-    rows = stored(found.join(embedded, "id").join(labels, "id"))
-    names = naming.name_clusters(rows, stub_naming_completer)
+    """Conversations to named clusters: every stage once, no join by id."""
+    found = facets_batched(spark, sf_dir)
+    kept = [c for c in found.columns if c != "id"]
+    embedded = stored(embed.embed(found, embed.hashing_encoder(DIM), keep=kept))
+    k = cluster.choose_k(embedded.count())
+    points = cluster.lloyd(embedded, _start_points(embedded, k), LLOYD_STEPS)
+    rows = stored(cluster.assign_nearest(embedded, points, keep_vector=True, keep=kept))
+    names = naming.name_clusters(rows, stub_naming_completer, NamingParams(in_cluster_n=20, out_cluster_n=10, random_state=123))
     named = naming.attach_names(rows, stored(names), bound=k)
     return named.select(*found.columns, "cluster_id", "summary", "name")
 
@@ -459,6 +502,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         xml_escape_pages,
         facets_batched,
         facets_sequential,
+        raw_csv_roundtrip,
         concern_histogram,
         facet_prompts,
         facet_tags_parse,
@@ -480,6 +524,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         cluster_names,
         naming_audit,
         named_rows,
+        named_rows_csv_roundtrip,
         alignment_check,
         centroid_distances,
         hierarchy_flat,

@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from talkatlas.checks import require_aligned
 from talkatlas.operators import cluster, facets, hierarchy, naming, prepare, project
 from talkatlas.operators.complete import Completer
 from talkatlas.operators.embed import Encoder, embed
@@ -31,29 +30,35 @@ def analyse(
     projection_params: ProjectionParams | None = None,
     title_col: str | None = "title",
     max_tasks: int | None = None,
+    calls_in_flight: int = 1,
 ) -> DataFrame:
     """Run all stages and return the named rows with their coordinates.
 
     Each stage that is costly or cannot be repeated is written below
     ``out_dir`` and read back, so no later step and no retry computes it again.
-    ``out_dir`` has to be storage that all executors share.
+    ``out_dir`` has to be storage that all executors share.  Columns travel with
+    the rows from stage to stage, so no join by id puts them back.
     """
     p = naming_params or NamingParams()
     documents = prepare.conversation_documents(raw, title_col)
     found = write_table(
-        facets.extract_facets(documents, completer_factory, max_tasks, keep_error=True),
+        facets.extract_facets(documents, completer_factory, max_tasks, calls_in_flight, keep_error=True),
         f"{out_dir}/facets",
     )
     found = found.drop("error")
-    vectors = write_table(embed(found, encoder_factory, p.text_col), f"{out_dir}/embeddings")
-    require_aligned(found, vectors)
-    labels, used_k = cluster.fit_kmeans(vectors, k)
-    rows = write_table(
-        found.join(vectors, "id").join(labels, "id"), f"{out_dir}/clustered"
+    kept = [c for c in found.columns if c != "id"]
+    vectors = write_table(
+        embed(found, encoder_factory, p.text_col, keep=kept), f"{out_dir}/embeddings"
     )
+    labelled, used_k = cluster.fit_kmeans(vectors, k, keep=(*kept, "embedding"))
+    rows = write_table(labelled, f"{out_dir}/clustered")
     named = write_table(
         naming.name_clusters(
-            rows, naming_completer_factory or completer_factory, p, max_tasks=max_tasks
+            rows,
+            naming_completer_factory or completer_factory,
+            p,
+            max_tasks=max_tasks,
+            calls_in_flight=calls_in_flight,
         ),
         f"{out_dir}/cluster_names",
     )

@@ -14,8 +14,8 @@ from talkatlas.plans.catalog import (
     BIN_WIDTH,
     KNN,
     LANGUAGES,
+    DIM,
     LLOYD_STEPS,
-    RECORD_TURNS,
     THRESHOLD,
 )
 
@@ -42,8 +42,8 @@ def _esc(expr: str) -> str:
 
 RECORDS = f"""
 records AS (
-  SELECT concat(conv_id, '-', turn // {RECORD_TURNS}) AS id, conv_id, turn, role, text,
-         row_number() OVER (PARTITION BY conv_id, turn // {RECORD_TURNS} ORDER BY turn) - 1 AS place
+  SELECT conv_id::VARCHAR AS id, conv_id, turn, role, text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS place
   FROM conversations
 )"""
 
@@ -85,18 +85,37 @@ facets AS (
   FROM turns
 )"""
 
-VECTORS = """
-e AS (SELECT vec_id AS id, label AS cluster_id, embedding::DOUBLE[] AS v FROM embeddings),
+EMBEDDINGS = "e AS (SELECT vec_id AS id, label AS cluster_id, embedding::DOUBLE[] AS v FROM embeddings)"
+
+
+def _hashed(source: str) -> str:
+    """``hashed``: the hash embedding of ``source(id, cluster_id, text)``, as dense vectors."""
+    return f"""
+hash_words AS (
+  SELECT id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS t FROM {source}),
+hash_counts AS (
+  SELECT id, (('0x' || substr(md5(t), 1, 8))::BIGINT % {DIM})::INTEGER AS bucket, count(*) AS c
+  FROM hash_words GROUP BY ALL),
+hash_weights AS (
+  SELECT id, bucket, (c / sqrt(sum(c * c) OVER (PARTITION BY id)::DOUBLE))::FLOAT::DOUBLE AS w FROM hash_counts),
+hash_places AS (SELECT id, cluster_id, unnest(range({DIM}))::INTEGER AS bucket FROM {source}),
+hashed AS (
+  SELECT id, cluster_id, list(coalesce(w, 0.0) ORDER BY bucket) AS v
+  FROM hash_places LEFT JOIN hash_weights USING (id, bucket) GROUP BY id, cluster_id)"""
+
+
+MEANS = """
 parts AS (SELECT id, cluster_id, unnest(range(len(v))) AS pos, unnest(v) AS x FROM e),
 means AS (
   SELECT cluster_id, pos, avg(x) AS m, count(*) AS n FROM parts
   WHERE cluster_id IS NOT NULL GROUP BY cluster_id, pos
 ),
 cent AS (SELECT cluster_id, max(n) AS n, list(m ORDER BY pos) AS c FROM means GROUP BY cluster_id)"""
+VECTORS = f"{EMBEDDINGS},{MEANS}"
 
 
-def _examples(n_in: int, n_out: int, seed: int) -> str:
-    return f"""{VECTORS},
+def _examples(n_in: int, n_out: int, seed: int, vectors: str = VECTORS) -> str:
+    return f"""{vectors},
 inside AS (
   SELECT cluster_id, id, row_number() OVER (
     PARTITION BY cluster_id
@@ -142,22 +161,28 @@ texts AS (
 )"""
 
 
-def _naming() -> str:
+DOCUMENTS = f"""
+docs AS (
+  SELECT doc_id AS id, coalesce(list_position({list(LANGUAGES)!r}, lang), 0)::INTEGER AS cluster_id, text
+  FROM documents)"""
+DOCUMENT_VECTORS = f"""{DOCUMENTS},
+{_hashed("docs")},
+e AS (SELECT * FROM hashed), {MEANS}"""
+
+
+def _naming(vectors: str = DOCUMENT_VECTORS, texts: str = "docs") -> str:
+    """``named`` for clustered vectors and the table of their texts by id."""
     head, _, rest = _prompt_template().partition("\0in\0")
     middle, _, tail = rest.partition("\0out\0")
     lines = f"string_agg(trim(d.text, {SPACE}), {NL} ORDER BY rank) FILTER (trim(d.text, {SPACE}) <> '')"
-    # Only rows that have a text take part in the clusters.
-    both = _examples(20, 10, 123).replace(
-        "FROM embeddings)", "FROM embeddings WHERE vec_id IN (SELECT doc_id FROM documents))"
-    )
-    return f"""{both},
-in_texts AS (SELECT i.cluster_id, i.rank, d.text FROM inside i JOIN documents d ON d.doc_id = i.id),
+    return f"""{_examples(20, 10, 123, vectors)},
+in_texts AS (SELECT i.cluster_id, i.rank, d.text FROM inside i JOIN (SELECT id, text FROM {texts}) d USING (id)),
 in_block AS (
   SELECT i.cluster_id, count(*) AS n, coalesce({lines}, '') AS block
-  FROM inside i JOIN documents d ON d.doc_id = i.id GROUP BY i.cluster_id),
+  FROM inside i JOIN (SELECT id, text FROM {texts}) d USING (id) GROUP BY i.cluster_id),
 out_block AS (
   SELECT o.cluster_id, count(*) AS n, coalesce({lines}, '') AS block
-  FROM outside o JOIN documents d ON d.doc_id = o.id GROUP BY o.cluster_id),
+  FROM outside o JOIN (SELECT id, text FROM {texts}) d USING (id) GROUP BY o.cluster_id),
 prompts AS (
   SELECT cluster_id, in_block.n AS in_sample_size, coalesce(out_block.n, 0) AS out_sample_size,
     concat({_lit(head)}, in_block.block, {_lit(middle)}, out_block.block, {_lit(tail)}) AS prompt
@@ -244,7 +269,8 @@ coords AS (
   SELECT id, cluster_id, list_dot_product(u, w1) AS x, list_dot_product(u, w2) AS y FROM units, signed)"""
 
 
-def _lloyd() -> str:
+def _lloyd_steps() -> str:
+    """``s0`` to the last centroids, from ``e`` and ``parts``."""
     steps = [
         """
 s0 AS (
@@ -263,11 +289,35 @@ g{i} AS (SELECT cluster_id, max(n) AS n, list(m ORDER BY pos) AS c FROM m{i} GRO
 s{i + 1} AS MATERIALIZED (
   SELECT s.cluster_id, coalesce(g.n, 0) AS n, coalesce(g.c, s.c) AS c
   FROM s{i} s LEFT JOIN g{i} g USING (cluster_id))""")
-    return f"""WITH {VECTORS}, {", ".join(steps)}
+    return ", ".join(steps)
+
+
+def _lloyd() -> str:
+    return f"""WITH {VECTORS}, {_lloyd_steps()}
 SELECT cluster_id::INTEGER AS cluster_id, n, unnest(range(len(c)))::INTEGER AS pos, round(unnest(c), 6) + 0.0 AS value
 FROM s{LLOYD_STEPS}"""
 
 
+def _flagship() -> str:
+    """Facets, their vectors, Lloyd's steps, and names of the clusters."""
+    points = f"""{FACETS},
+asked AS (SELECT id, NULL::INTEGER AS cluster_id, request AS text FROM facets),
+{_hashed("asked")},
+raw AS (SELECT * FROM hashed),
+{{start}}
+placed AS MATERIALIZED (
+  SELECT raw.id, arg_min(s.cluster_id, list_distance(raw.v, s.c))::INTEGER AS cluster_id
+  FROM raw, s{LLOYD_STEPS} s GROUP BY raw.id),
+e AS (SELECT id, placed.cluster_id, raw.v FROM raw JOIN placed USING (id)), {MEANS}"""
+    start = "raw_parts AS (SELECT id, unnest(range(len(v))) AS pos, unnest(v) AS x FROM raw)," + _lloyd_steps().replace(
+        " e.", " raw."
+    ).replace("FROM e,", "FROM raw,").replace("FROM e)", "FROM raw)").replace("JOIN parts p", "JOIN raw_parts p").replace(
+        "(e.", "(raw."
+    )
+    return f"""WITH {_naming(points.format(start=f"{start},"), "asked")}
+SELECT facets.*, e.cluster_id, summary, name FROM facets JOIN e USING (id) LEFT JOIN named USING (cluster_id)"""
+
+
 def _facet_prompts() -> str:
     kinds = [("batched", facets.BATCHED_TAIL)]
     kinds += [(s.key, facets.facet_tail(s)) for s in facets.FACET_SPECS]
@@ -312,16 +362,29 @@ SELECT (dense_rank() OVER (ORDER BY root) - 1)::INTEGER AS parent_id,
 FROM grouped GROUP BY root"""
 
 
+def _named_rows(key: str) -> str:
+    return f"""WITH {DOCUMENTS},
+texts AS (SELECT cluster_id, id AS rank, text FROM docs WHERE cluster_id % 2 = 0),
+{_tokens("texts")}
+SELECT {key}, docs.cluster_id, summary, name FROM docs LEFT JOIN fallback ON docs.cluster_id = fallback.cluster_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "decode_turns": f"WITH {RECORDS} SELECT id, place::INTEGER AS place, role, text FROM records",
         "decode_bad_input": """
-            SELECT doc_id, (doc_id % 10 IN (1, 7, 8, 9))::INTEGER AS n,
-              CASE WHEN doc_id % 10 IN (1, 7, 8, 9) THEN concat('Oh, ', md5(text)) END AS text FROM documents""",
+            SELECT doc_id, (doc_id % 12 IN (1, 7, 8, 9))::INTEGER AS n,
+              CASE WHEN doc_id % 12 IN (1, 7, 8, 9) THEN concat('Oh, ', text) END AS text FROM documents""",
         "conversation_xml": f"WITH {XML} SELECT id, conversation_xml FROM xml",
         "xml_escape_pages": f"SELECT page_id, {_esc('html')} AS escaped FROM pages",
         "facets_batched": f"WITH {FACETS} SELECT * FROM facets",
         "facets_sequential": f"WITH {FACETS} SELECT * FROM facets",
+        "flagship": _flagship(),
+        "raw_csv_roundtrip": f"""WITH {RECORDS}
+            SELECT id, concat('2025-01-', lpad((conv_id % 28 + 1)::VARCHAR, 2, '0'), 'T00:00') AS created_dttm,
+              CASE WHEN conv_id % 3 <> 0 THEN concat('Q&A "', conv_id, '"') END AS title,
+              'chat' AS tags, count(*)::INTEGER AS n_turns
+            FROM records GROUP BY id, conv_id""",
         "concern_histogram": f"""WITH {FACETS}
             SELECT concerning::INTEGER AS concern_score, count(*) AS count FROM facets GROUP BY 1""",
         "facet_prompts": _facet_prompts(),
@@ -359,7 +422,7 @@ def oracle_sql() -> dict[str, str]:
         "kmeans_lloyd": _lloyd(),
         "kmeans_fit": """
             SELECT count(*) AS n_rows, least(greatest(3, count(*) // 50), 40)::INTEGER AS k,
-              true AS at_most_k, true AS by_size FROM embeddings""",
+              true AS at_most_k, true AS by_size, true AS at_nearest FROM embeddings""",
         "sample_in_cluster": f"""WITH {_examples(50, 50, 42)}
             SELECT cluster_id, id, rank::INTEGER AS rank FROM inside""",
         "nearest_out_cluster": f"""WITH {_examples(50, 50, 42)}
@@ -368,14 +431,13 @@ def oracle_sql() -> dict[str, str]:
             SELECT cluster_id, id, round(list_distance(v, c), 6) AS distance, (row_number() OVER (
               PARTITION BY cluster_id ORDER BY list_distance(v, c) DESC, id))::INTEGER AS rank
             FROM e JOIN cent USING (cluster_id) QUALIFY rank <= 5""",
-        "cluster_examples": f"""WITH {_examples(50, 50, 42).replace(
-                "FROM embeddings)", "FROM embeddings WHERE vec_id IN (SELECT doc_id FROM documents))")},
+        "cluster_examples": f"""WITH {_examples(50, 50, 42, DOCUMENT_VECTORS)},
             i AS (SELECT cluster_id, count(*) AS n, string_agg(id::VARCHAR, ',' ORDER BY rank) AS ids,
                 md5(string_agg(text, '|' ORDER BY rank)) AS texts
-              FROM inside JOIN documents ON doc_id = id GROUP BY cluster_id),
+              FROM inside JOIN (SELECT id, text FROM docs) USING (id) GROUP BY cluster_id),
             o AS (SELECT cluster_id, count(*) AS n, string_agg(id::VARCHAR, ',' ORDER BY rank) AS ids,
                 md5(string_agg(text, '|' ORDER BY rank)) AS texts
-              FROM outside JOIN documents ON doc_id = id GROUP BY cluster_id)
+              FROM outside JOIN (SELECT id, text FROM docs) USING (id) GROUP BY cluster_id)
             SELECT cluster_id, i.ids AS in_ids, o.ids AS out_ids, i.texts AS in_texts, o.texts AS out_texts,
               i.n AS in_sample_size, o.n AS out_sample_size
             FROM i JOIN o USING (cluster_id)""",
@@ -391,13 +453,8 @@ def oracle_sql() -> dict[str, str]:
               printf('cluster_%03d_prompt.txt', cluster_id) AS prompt_path,
               printf('cluster_%03d_output.txt', cluster_id) AS output_path
             FROM named""",
-        "named_rows": f"""WITH
-            texts AS (SELECT label AS cluster_id, vec_id AS rank, text
-              FROM embeddings JOIN documents ON vec_id = doc_id WHERE label % 2 = 0),
-            {_tokens("texts")}
-            SELECT vec_id AS id, label AS cluster_id, summary, name
-            FROM embeddings JOIN documents ON vec_id = doc_id
-            LEFT JOIN fallback ON label = fallback.cluster_id""",
+        "named_rows": _named_rows("id"),
+        "named_rows_csv_roundtrip": _named_rows("id::VARCHAR AS id"),
         "alignment_check": """
             WITH l AS (SELECT vec_id AS k, count(*) AS n FROM embeddings GROUP BY 1),
             r AS (SELECT doc_id AS k, count(*) AS n FROM documents GROUP BY 1)

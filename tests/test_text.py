@@ -3,6 +3,7 @@ import json
 import random
 import xml.etree.ElementTree as ET
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -120,9 +121,31 @@ def test_tags(spark):
     assert column_values(spark, answers, lambda c: text.tag_text(c, "name")) == ["a\nb", "", "", "", ""]
 
 
-def test_tokens_and_statements(spark):
-    found = column_values(spark, ["The User's re-do of A1 it's x", "", None], text.tokens)
-    assert found == [["user's", "re-do", "it's"], [], None]
+@pytest.mark.parametrize(
+    "after",
+    ["]", " ]", "}", "}]", "}] junk", "] junk", ",", ', {"end": ""}', ',{"end":"x"}]', "]]", "null", '"', " x", ' , {"turns": []}'],
+)
+def test_text_after_the_object_is_damage(spark, after):
+    whole = '{"turns":[{"role":"user","text":"hi"}]}'
+    found = column_values(spark, [whole, whole + after, whole + " \n"], text.parse_turns)
+    assert [[tuple(t) for t in f] for f in found] == [[("user", "hi")], [], [("user", "hi")]]
+
+
+@given(st.lists(st.text("]}[{\",: ax\n0", max_size=5), min_size=1, max_size=8))
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_any_suffix_agrees_with_the_standard_parser(spark, suffixes):
+    texts = ['{"turns":[{"role":"user","text":"hi"}]}' + s for s in suffixes]
+
+    def valid(t):
+        try:
+            return isinstance(json.loads(t), dict)
+        except ValueError:
+            return False
+
+    assert [len(f) == 1 for f in column_values(spark, texts, text.parse_turns)] == [valid(t) for t in texts]
+
+
+def test_statements(spark):
     df = spark.sql("SELECT array(' a ', '', NULL, ' \n', 'b') AS s")
     assert df.select(text.statement_block(F.col("s"))).first()[0] == "a\nb"
 
