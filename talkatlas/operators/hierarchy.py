@@ -1,9 +1,14 @@
 """Parents of clusters: agglomerative grouping by cosine distance of centroids.
 
-The pair table is merged in rounds.  In each round every group looks up its
-nearest other group, and all groups that are nearest to each other merge at
-once.  For average, single and complete linkage this gives the same groups as
-merging one pair at a time, in a number of rounds that grows slowly.
+Groups are merged in rounds.  In each round every group looks up its nearest
+other group, and all groups that are nearest to each other merge at once.  For
+average, single and complete linkage this gives the same groups as merging one
+pair at a time, in a number of rounds that grows slowly.
+
+Average and single linkage keep one row per group or cluster: the mean cosine
+distance of two groups follows from their sums of unit vectors, and the least
+distance from the nearest row of another group.  Only complete linkage works on
+the table of all pairs.
 """
 
 from __future__ import annotations
@@ -13,6 +18,8 @@ from dataclasses import asdict
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +29,7 @@ from talkatlas.checks import require_columns
 from talkatlas.functions import vectors
 from talkatlas.operators.cluster import centroid_blocks, centroids
 from talkatlas.params import HierarchyParams
-from talkatlas.runtime import join_small, stored
+from talkatlas.runtime import join_small, row_blocks, stored
 
 
 def centroid_distances(points: DataFrame) -> DataFrame:
@@ -80,7 +87,8 @@ def group_clusters(points: DataFrame, params: HierarchyParams | None = None) ->
         return points.select("cluster_id", F.lit(0).alias("parent_id"))
     points = stored(points)
     n_clusters = points.count()
-    merges = _merge_rounds(points, n_clusters, p.linkage, p.distance_threshold)
+    rounds = _pair_rounds if p.linkage == "complete" else _group_rounds
+    merges = rounds(points, n_clusters, p.linkage, p.distance_threshold)
     labels = points.select("cluster_id", F.col("cluster_id").alias("label"))
     if merges:
         every = merges[0]
@@ -123,10 +131,117 @@ def _numbered_by_smallest_child(labels: DataFrame) -> DataFrame:
     return labels.join(numbers, "label").select("cluster_id", "parent_id")
 
 
-def _merge_rounds(
+def _group_rounds(
     points: DataFrame, n_clusters: int, linkage: str, threshold: float | None
 ) -> list[DataFrame]:
-    """Merges ``(kept, gone, height, round)``, one table per round.
+    """Merges ``(kept, gone, height, round)`` of average or single linkage, one table per round.
+
+    The state has one row per group with the sum of its unit vectors for
+    average linkage, one row per cluster for single linkage; either way no more
+    rows than clusters.
+    """
+    own = points.select("cluster_id", "centroid").mapInArrow(
+        _unit_vectors, "label INT, n BIGINT, total ARRAY<DOUBLE>"
+    )
+    state = stored(own.withColumn("height", F.lit(0.0)))
+    rounds: list[DataFrame] = []
+    n_merged = 0
+    while n_merged < n_clusters - 1:
+        merged = stored(_mutual_groups(_nearest_groups(state), threshold)).withColumn("round", F.lit(len(rounds)))
+        found = merged.count()
+        if not found:
+            break
+        n_merged += found
+        rounds.append(merged.select("kept", "gone", "height", "round"))
+        moves = merged.select(F.explode(F.array("kept", "gone")).alias("label"), F.col("kept").alias("to"), F.col("height").alias("raised"))
+        moved = join_small(state, moves, "label", bound=n_clusters).select(
+            F.coalesce("to", "label").alias("label"), "n", "total", F.coalesce("raised", "height").alias("height")
+        )
+        if linkage == "average":
+            sums = moved.select("label", "n", "height", array_to_vector("total").alias("v")).groupBy("label")
+            moved = sums.agg(
+                F.sum("n").alias("n"), Summarizer.sum(F.col("v")).alias("total"), F.max("height").alias("height")
+            ).withColumn("total", vector_to_array("total"))
+        state = stored(moved.select("label", "n", "total", "height"))
+    return rounds
+
+
+def _unit_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            units = vectors.unit_rows(vectors.matrix(batch.column(1)))
+            ones = pa.array(np.ones(batch.num_rows, np.int64))
+            columns = [batch.column(0), ones, vectors.list_column(units, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["label", "n", "total"])
+
+
+def _nearest_groups(state: DataFrame) -> DataFrame:
+    """``(group, pair)`` with the nearest other group of each group, as ``(gap, a, b, height)``.
+
+    The rows of the state pass by blocks of its own rows.  Equal distances go
+    by the ids of the pair.
+    """
+    numbered = state.withColumn("row", F.monotonically_increasing_id())
+    result = state.select(
+        "label", "n", "total", "height",
+        *(F.lit(None).cast(t).alias(c) for c, t in (("gap", "double"), ("other", "int"), ("above", "double"))),
+    )
+    for rows in row_blocks(numbered, "row"):
+        block = (
+            np.array([r["label"] for r in rows], np.int32),
+            np.array([r["total"] for r in rows], np.float64) / np.array([r["n"] for r in rows])[:, None],
+            np.array([r["height"] for r in rows]),
+        )
+        shared = state.sparkSession.sparkContext.broadcast(block)
+        result = result.mapInArrow(_nearest_in_groups(shared), result.schema)
+    low, high = F.least("label", "other"), F.greatest("label", "other")
+    pair = F.struct("gap", low.alias("a"), high.alias("b"), F.greatest("gap", "height", "above").alias("height"))
+    return result.where("gap IS NOT NULL").groupBy(F.col("label").alias("group")).agg(F.min(pair).alias("pair"))
+
+
+def _nearest_in_groups(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labels, means, heights = shared.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own = batch.column(0).to_numpy()
+            mine = vectors.matrix(batch.column(2)) / batch.column(1).to_numpy()[:, None]
+            best = [batch.column(i).to_pylist() for i in (4, 5, 6)]
+            for i, (label, mean) in enumerate(zip(own, mine, strict=True)):
+                # The same order of sums from both sides, so that both see the same number.
+                gap = np.clip(1.0 - np.einsum("ij,j->i", means, mean), 0.0, 2.0).round(12)
+                gap[labels == label] = np.inf
+                least = gap.min()
+                if np.isinf(least):
+                    continue
+                tied = np.flatnonzero(gap == least)
+                at = min(tied, key=lambda j: (min(label, labels[j]), max(label, labels[j])))
+                found = (least, min(label, labels[at]), max(label, labels[at]))
+                old = best[0][i]
+                if old is None or found < (old, min(label, best[1][i]), max(label, best[1][i])):
+                    best[0][i], best[1][i], best[2][i] = float(least), int(labels[at]), float(heights[at])
+            kinds = (pa.float64(), pa.int32(), pa.float64())
+            columns = [*batch.columns[:4], *(pa.array(b, k) for b, k in zip(best, kinds, strict=True))]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return run
+
+
+def _mutual_groups(nearest: DataFrame, threshold: float | None) -> DataFrame:
+    """Groups that are nearest to each other, as ``(kept, gone, height)``."""
+    mutual = nearest.groupBy("pair.a", "pair.b").agg(
+        F.count("*").alias("sides"), F.max("pair.height").alias("height"), F.max("pair.gap").alias("gap")
+    ).where("sides = 2")
+    if threshold is not None:
+        mutual = mutual.where(F.col("gap") < threshold)
+    return mutual.select(F.col("a").alias("kept"), F.col("b").alias("gone"), "height")
+
+
+def _pair_rounds(
+    points: DataFrame, n_clusters: int, linkage: str, threshold: float | None
+) -> list[DataFrame]:
+    """Merges ``(kept, gone, height, round)`` on the table of all pairs, one table per round.
 
     The state is the table of group pairs with the sum, count, least and
     greatest of the distances between their clusters; a merge adds up the rows

@@ -23,6 +23,8 @@ from talkatlas.functions import vectors
 from talkatlas.runtime import stored, salt_count, top_n_per_group
 
 MAX_PIVOTS = 1024
+# Small tables have several cells as well, so that the bounds are at work there.
+MIN_PIVOTS = 16
 MAX_HOT_KEYS = 10_000
 MIN_HOT_COPIES = 1000
 
@@ -61,7 +63,10 @@ def nearest_neighbors(
     lists = groups.join(found, F.get(groups["ids"], F.lit(0)) == found["qid"]).select(
         "key", "copies", "near"
     )
-    rows = _spread_join(keys, lists)
+    # Rows without a key share no group, so they stay out of the join.
+    unkeyed = keys.where(F.col("key").isNull())
+    rows = _spread_join(keys.where(F.col("key").isNotNull()), lists)
+    rows = rows.unionByName(unkeyed.select("id", "key", F.lit(None).cast(rows.schema["near"].dataType).alias("near")))
 
     # Zero vectors take no part in the search: their distances are all 1.
     zeros = [
@@ -99,10 +104,11 @@ def _content_keys(metric: str):
             if batch.num_rows:
                 rows = _in_space(batch.column(1), metric) + 0.0
                 usable = rows.any(axis=1) | (metric != "cosine")
-                keys = [
-                    hashlib.sha256(row.tobytes()).hexdigest() if ok else None
-                    for row, ok in zip(rows, usable, strict=True)
-                ]
+                # Only the different rows of a batch are hashed.
+                packed = np.ascontiguousarray(rows).view(np.dtype((np.void, rows.itemsize * rows.shape[1])))
+                known, place = np.unique(packed.ravel(), return_inverse=True)
+                digest = np.array([hashlib.sha256(row.tobytes()).hexdigest() for row in known], object)
+                keys = np.where(usable, digest[place], None)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(keys, pa.string())], names=["id", "key"]
                 )
@@ -144,7 +150,7 @@ def _search(distinct: DataFrame, k: int, metric: str, block_rows: int) -> DataFr
     """``(qid, near)``: the nearest ids of each distinct vector, itself included."""
     spark = distinct.sparkSession
     n_rows = distinct.count()
-    n_pivots = min(MAX_PIVOTS, max(1, n_rows // block_rows))
+    n_pivots = min(MAX_PIVOTS, max(1, n_rows // block_rows, min(MIN_PIVOTS, n_rows // 20)))
     chosen = distinct.orderBy(F.md5(F.col("id").cast("string")), "id").limit(n_pivots)
     # At most MAX_PIVOTS rows come to the driver here.
     picked = np.array([r["embedding"] for r in chosen.select("embedding").collect()], dtype=np.float64)
@@ -165,6 +171,8 @@ def _search(distinct: DataFrame, k: int, metric: str, block_rows: int) -> DataFr
         _route(limits, metric),
         T.StructType([T.StructField("cells", T.ArrayType(T.IntegerType())), *_ordered(in_cells).fields[2:]]),
     ).select(F.explode("cells").alias("cell"), "id", "embedding", "ids")
+    # Counted and compared from one table, so that rows are routed once.
+    routed = stored(routed)
     counts = {r["cell"]: r["count"] for r in routed.groupBy("cell").count().collect()}
 
     query_parts = [max(1, -(-int(s) // block_rows)) for s in sizes]

@@ -28,6 +28,7 @@ from talkatlas.sources import tables
 
 LLOYD_STEPS = 5
 THRESHOLD = 0.8
+COMPLETE_THRESHOLD = 0.95
 KNN = 10
 BIN_WIDTH = 0.1
 DIM = 64
@@ -403,6 +404,11 @@ def hierarchy_average(spark, sf_dir):
     return _children(hierarchy.group_clusters(cluster.centroids(_vectors(spark, sf_dir)), params))
 
 
+def hierarchy_complete(spark, sf_dir):
+    params = HierarchyParams(distance_threshold=COMPLETE_THRESHOLD, linkage="complete")
+    return _children(hierarchy.group_clusters(cluster.centroids(_vectors(spark, sf_dir)), params))
+
+
 def knn_cosine(spark, sf_dir):
     found = neighbors.nearest_neighbors(_vectors(spark, sf_dir), KNN)
     return found.withColumn("distance", _rounded("distance"))
@@ -531,6 +537,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         hierarchy_document,
         hierarchy_threshold,
         hierarchy_average,
+        hierarchy_complete,
         knn_cosine,
         projection_2d,
         projection_bins,

@@ -12,6 +12,7 @@ from talkatlas.params import DEFAULT_CRITERIA
 from talkatlas.plans import stubs
 from talkatlas.plans.catalog import (
     BIN_WIDTH,
+    COMPLETE_THRESHOLD,
     KNN,
     LANGUAGES,
     DIM,
@@ -341,7 +342,9 @@ SELECT (dense_rank() OVER (ORDER BY root) - 1)::INTEGER AS parent_id,
   string_agg(cluster_id::VARCHAR, ',' ORDER BY cluster_id) AS children
 FROM roots GROUP BY root"""
 
-HIERARCHY_AVERAGE = f"""WITH RECURSIVE {PAIRS},
+def _agglomerated(measure: str, stop: str) -> str:
+    """Groups merged one pair at a time, the nearest by ``measure``, until ``stop``."""
+    return f"""WITH RECURSIVE {PAIRS},
 places AS (SELECT cluster_id, row_number() OVER (ORDER BY cluster_id) AS p FROM cent),
 gaps AS (
   SELECT pa.p AS i, pb.p AS j, distance FROM pairs
@@ -351,9 +354,9 @@ steps AS (
   UNION ALL
   SELECT s + 1, list_transform(labels, lambda l: CASE WHEN l = best.h THEN best.g ELSE l END) FROM (
     SELECT s, labels, arg_min({{'g': g, 'h': h}}, gap) AS best FROM (
-      SELECT s, labels, least(labels[i], labels[j]) AS g, greatest(labels[i], labels[j]) AS h, avg(distance) AS gap
-      FROM steps, gaps WHERE labels[i] <> labels[j] AND s < len(labels) - 3 GROUP BY ALL)
-    GROUP BY s, labels)
+      SELECT s, labels, least(labels[i], labels[j]) AS g, greatest(labels[i], labels[j]) AS h, {measure}(distance) AS gap
+      FROM steps, gaps WHERE labels[i] <> labels[j] GROUP BY ALL)
+    GROUP BY s, labels HAVING {stop})
 ),
 final AS (SELECT labels FROM steps ORDER BY s DESC LIMIT 1),
 grouped AS (SELECT cluster_id, labels[p] AS root FROM places, final)
@@ -473,7 +476,8 @@ def oracle_sql() -> dict[str, str]:
               count(*) AS n_clusters, 1::BIGINT AS n_parents
             FROM (SELECT DISTINCT label FROM embeddings)""",
         "hierarchy_threshold": HIERARCHY_COMPONENTS,
-        "hierarchy_average": HIERARCHY_AVERAGE,
+        "hierarchy_average": _agglomerated("avg", "s < len(labels) - 3"),
+        "hierarchy_complete": _agglomerated("max", f"min(gap) < {COMPLETE_THRESHOLD}"),
         "knn_cosine": f"""WITH {VECTORS}
             SELECT a.id, b.id AS neighbor_id, round(list_cosine_distance(a.v, b.v), 6) AS distance,
               (row_number() OVER (PARTITION BY a.id ORDER BY list_cosine_distance(a.v, b.v), b.id))::INTEGER AS rank
