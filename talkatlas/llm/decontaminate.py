@@ -123,7 +123,8 @@ def _blocks(items: DataFrame):
     count = -(-total // BLOCK_CHARS)
     for i in range(count):
         block = usable.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == i)
-        yield [tuple(r) for r in block.orderBy("item_id", "text").collect()]
+        if found := [tuple(r) for r in block.orderBy("item_id", "text").collect()]:
+            yield found
 
 
 def matches(rows: DataFrame, items: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
