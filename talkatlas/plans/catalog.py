@@ -458,6 +458,30 @@ def names_jsonl_roundtrip(spark, sf_dir):
     return tables.read_cluster_names(spark, f"{path}-jsonl")
 
 
+def names_csv_roundtrip(spark, sf_dir):
+    path = f"{shared_dir(spark)}/names-{uuid.uuid4().hex}"
+    tables.write_cluster_names(fallback_names(spark, sf_dir), f"{path}-csv", f"{path}-jsonl")
+    return tables.read_cluster_names_csv(spark, f"{path}-csv")
+
+
+def hierarchy_json_roundtrip(spark, sf_dir):
+    """The hierarchy document as a file, one row per parent."""
+    path = f"{shared_dir(spark)}/hierarchy-{uuid.uuid4().hex}"
+    tables.write_hierarchy(hierarchy.build_hierarchy(_vectors(spark, sf_dir)), path)
+    parents = tables.read_hierarchy(spark, path).select("meta.n_clusters", F.explode("parents").alias("p"))
+    children = F.array_join("p.child_cluster_ids", ",").alias("children")
+    return parents.select("n_clusters", "p.parent_id", children, "p.parent_name")
+
+
+def embed_null_texts(spark, sf_dir):
+    """A missing text is embedded like an empty one, as the zero vector."""
+    text_or_null = F.when(F.col("id") % 5 != 0, F.col("request")).alias("request")
+    rows = _texts(spark, sf_dir).select("id", text_or_null)
+    embedded = embed.embed(rows, embed.hashing_encoder(DIM))
+    norm = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)
+    return embedded.select("id", F.size("embedding").alias("dim"), F.round(norm, 3).alias("norm"))
+
+
 def projection_cached(spark, sf_dir):
     """The second call reads what the first has stored."""
     rows = _vectors(spark, sf_dir).select("id", "embedding")
@@ -546,6 +570,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         facets_csv_roundtrip,
         embeddings_roundtrip,
         names_jsonl_roundtrip,
+        names_csv_roundtrip,
+        hierarchy_json_roundtrip,
+        embed_null_texts,
         projection_cached,
         vector_distances,
         head_n,

@@ -505,6 +505,15 @@ def oracle_sql() -> dict[str, str]:
             SELECT vec_id::VARCHAR AS id, unnest(range(len(embedding)))::INTEGER AS pos,
               unnest(embedding)::DOUBLE AS value FROM embeddings""",
         "names_jsonl_roundtrip": f"WITH {LANGUAGE_TEXTS}, {_tokens('texts')} SELECT * FROM fallback",
+        "names_csv_roundtrip": f"WITH {LANGUAGE_TEXTS}, {_tokens('texts')} SELECT * FROM fallback",
+        "hierarchy_json_roundtrip": """
+            SELECT count(*) AS n_clusters, 0 AS parent_id,
+              string_agg(label::VARCHAR, ',' ORDER BY label) AS children, '' AS parent_name
+            FROM (SELECT DISTINCT label FROM embeddings)""",
+        "embed_null_texts": f"""
+            SELECT doc_id AS id, {DIM} AS dim,
+              CASE WHEN doc_id % 5 <> 0 AND regexp_matches(lower(text), '[a-z0-9]') THEN 1.0 ELSE 0.0 END::DOUBLE AS norm
+            FROM documents""",
         "projection_cached": f"""WITH RECURSIVE {PROJECTION}
             SELECT id, round(x, 6) + 0.0 AS x, round(y, 6) + 0.0 AS y FROM coords""",
         "vector_distances": f"""WITH {VECTORS}

@@ -79,6 +79,10 @@ def read_cluster_names(spark: SparkSession, json_path: str) -> DataFrame:
     return spark.read.schema(schemas.CLUSTER_NAMES).json(json_path)
 
 
+def read_cluster_names_csv(spark: SparkSession, csv_path: str) -> DataFrame:
+    return read_csv(spark, csv_path, schemas.CLUSTER_NAMES)
+
+
 def write_audit_texts(named: DataFrame, path: str) -> None:
     """Prompt and answer of each cluster as text, one folder per file name."""
     audit = audit_table(named)
