@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from talkatlas.operators import cluster, facets, hierarchy, naming, prepare, project
+from talkatlas.operators import cluster, facets, hierarchy, naming, neighbors, prepare, project
 from talkatlas.operators.complete import Completer
 from talkatlas.operators.embed import Encoder, embed
 from talkatlas.params import HierarchyParams, NamingParams, ProjectionParams
+from talkatlas.runtime import scratch
 from talkatlas.sources.tables import (
     write_audit_texts,
     write_cluster_names,
@@ -37,8 +38,40 @@ def analyse(
     Each stage that is costly or cannot be repeated is written below
     ``out_dir`` and read back, so no later step and no retry computes it again.
     ``out_dir`` has to be storage that all executors share.  Columns travel with
-    the rows from stage to stage, so no join by id puts them back.
+    the rows from stage to stage, so no join by id puts them back.  Tables that
+    the stages store for themselves are deleted at the end.
     """
+    with scratch(raw.sparkSession):
+        return _stages(
+            raw,
+            out_dir,
+            completer_factory,
+            encoder_factory,
+            naming_completer_factory or completer_factory,
+            k,
+            naming_params,
+            hierarchy_params,
+            projection_params or ProjectionParams(),
+            title_col,
+            max_tasks,
+            calls_in_flight,
+        )
+
+
+def _stages(
+    raw,
+    out_dir,
+    completer_factory,
+    encoder_factory,
+    naming_completer_factory,
+    k,
+    naming_params,
+    hierarchy_params,
+    projection_params,
+    title_col,
+    max_tasks,
+    calls_in_flight,
+) -> DataFrame:
     p = naming_params or NamingParams()
     documents = prepare.conversation_documents(raw, title_col)
     found = write_table(
@@ -55,7 +88,7 @@ def analyse(
     named = write_table(
         naming.name_clusters(
             rows,
-            naming_completer_factory or completer_factory,
+            naming_completer_factory,
             p,
             max_tasks=max_tasks,
             calls_in_flight=calls_in_flight,
@@ -65,5 +98,7 @@ def analyse(
     write_cluster_names(named, f"{out_dir}/cluster_names_csv", f"{out_dir}/cluster_names_jsonl")
     write_audit_texts(named, f"{out_dir}/naming_texts")
     write_hierarchy(hierarchy.build_hierarchy(rows, hierarchy_params), f"{out_dir}/hierarchy")
+    near = neighbors.nearest_neighbors(rows, projection_params.n_neighbors, projection_params.metric)
+    write_table(near, f"{out_dir}/neighbors")
     projected = project.project_and_merge(rows, projection_params).drop("embedding")
     return write_table(naming.attach_names(projected, named, bound=used_k), f"{out_dir}/named_rows")

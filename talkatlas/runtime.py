@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+_stored_paths: list[str] = []
 # A table of this many rows is small enough for the driver and for a broadcast.
 SMALL_ROWS = 4096
 
@@ -50,17 +52,38 @@ def stored(df: DataFrame) -> DataFrame:
     in a loop these grow until planning takes longer than the work.
     """
     path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    _stored_paths.append(path)
     write_stored(df, path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table.stored_path = path
     return table
 
 
+def _delete(spark: SparkSession, name: str) -> None:
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(table: DataFrame) -> None:
     """Delete what ``stored`` has written, once nothing that reads it is left to run."""
-    context = table.sparkSession.sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path(table.stored_path)
-    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(table.sparkSession, table.stored_path)
+    _stored_paths.remove(table.stored_path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end all tables that were stored inside.
+
+    What is needed later has to be written elsewhere before.
+    """
+    start = len(_stored_paths)
+    try:
+        yield
+    finally:
+        for path in _stored_paths[start:]:
+            _delete(spark, path)
+        del _stored_paths[start:]
 
 
 def row_blocks(df: DataFrame, key: str, block_rows: int = SMALL_ROWS) -> Iterator[list]:

@@ -29,6 +29,8 @@ def test_all_stages(spark, tmp_path):
     assert parents[0]["child_cluster_ids"] == sorted({r["cluster_id"] for r in rows})
     stored = tables.read_table(spark, str(tmp_path / "out/embeddings"), schemas.EMBEDDINGS)
     assert stored.count() == len(rows)
+    near = tables.read_table(spark, str(tmp_path / "out/neighbors"))
+    assert near.where("rank <= 15").count() == near.count() == len(rows) * min(15, len(rows) - 1)
 
 
 def test_a_long_conversation_is_one_record(spark):
