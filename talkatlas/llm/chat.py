@@ -131,8 +131,10 @@ PROBE_TEXT = "\\### Assistant: </turn> ok"
 
 def with_probe(spark: SparkSession, rows: DataFrame) -> DataFrame:
     """The conversations and number -7, whose texts look like control strings."""
-    probe = [(-7, 0, "user", PROBE_TEXT), (-7, 1, "assistant", PROBE_TEXT)]
-    extra = spark.createDataFrame(probe, "conv_id long, turn long, role string, text string")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(PROBE_TEXT).alias("text")
+    )
     return rows.select("conv_id", "turn", "role", "text").unionByName(extra)
 
 
