@@ -159,8 +159,8 @@ def facets_sequential(spark, sf_dir):
 def raw_csv_roundtrip(spark, sf_dir):
     """Raw records written as CSV, read back and decoded."""
     path = f"{shared_dir(spark)}/raw-{uuid.uuid4().hex}"
-    tables.write_csv(raw_conversations(spark, sf_dir), path)
-    decoded = prepare.add_turns(tables.read_raw_conversations(spark, path))
+    tables.write_csv(raw_conversations(spark, sf_dir), path, one_line=True)
+    decoded = prepare.add_turns(tables.read_raw_conversations(spark, path, one_line=True))
     return decoded.select("id", "created_dttm", "title", "tags", F.size("turns").alias("n_turns"))
 
 
@@ -431,8 +431,8 @@ def cluster_separation(spark, sf_dir):
 
 def xml_csv_roundtrip(spark, sf_dir):
     path = f"{shared_dir(spark)}/xml-{uuid.uuid4().hex}"
-    tables.write_csv(_documents_xml(spark, sf_dir), path)
-    return tables.read_conversation_xml_csv(spark, path)
+    tables.write_csv(_documents_xml(spark, sf_dir), path, one_line=True)
+    return tables.read_conversation_xml_csv(spark, path, one_line=True)
 
 
 def facets_csv_roundtrip(spark, sf_dir):

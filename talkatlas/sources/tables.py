@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from talkatlas import schemas
 from talkatlas.checks import require_columns
@@ -22,16 +23,38 @@ _CSV_WRITE = {
     "ignoreTrailingWhiteSpace": "false",
     "emptyValue": "",
 }
-_CSV_READ = {**_CSV, "multiLine": "true", "enforceSchema": "false"}
+_CSV_READ = {**_CSV, "enforceSchema": "false"}
+# In this order; undone in reverse.  A backslash then stands only before one of the letters.
+_LINE_ESCAPES = (("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r"))
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A CSV table with a header; an empty field is null."""
-    return spark.read.schema(schema).options(**_CSV_READ).csv(path)
+def _on_strings(df: DataFrame, pairs) -> DataFrame:
+    columns = []
+    for field in df.schema:
+        column = F.col(field.name)
+        if isinstance(field.dataType, T.StringType):
+            for old, new in pairs:
+                column = F.replace(column, F.lit(old), F.lit(new))
+        columns.append(column.alias(field.name))
+    return df.select(*columns)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(**_CSV_WRITE).csv(path)
+def read_csv(spark: SparkSession, path: str, schema: str, one_line: bool = False) -> DataFrame:
+    """A CSV table with a header; an empty field is null.
+
+    A quoted text can hold line breaks, so a file cannot be split and is one
+    task.  With ``one_line`` the file is one that ``write_csv`` wrote that way:
+    every row is one line, and large files are read by many tasks.
+    """
+    reader = spark.read.schema(schema).options(**_CSV_READ, multiLine=str(not one_line).lower())
+    rows = reader.csv(path)
+    return _on_strings(rows, [(new, old) for old, new in reversed(_LINE_ESCAPES)]) if one_line else rows
+
+
+def write_csv(df: DataFrame, path: str, one_line: bool = False) -> None:
+    """CSV with a header; ``one_line`` writes line breaks as ``\\n`` and ``\\r``, backslashes as ``\\s``."""
+    rows = _on_strings(df, _LINE_ESCAPES) if one_line else df
+    rows.write.mode("overwrite").options(**_CSV_WRITE).csv(path)
 
 
 def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
@@ -45,21 +68,21 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def read_raw_conversations(spark: SparkSession, path: str) -> DataFrame:
+def read_raw_conversations(spark: SparkSession, path: str, one_line: bool = False) -> DataFrame:
     """The raw records: a CSV with base64 content."""
-    return read_csv(spark, path, schemas.RAW_CONVERSATIONS)
+    return read_csv(spark, path, schemas.RAW_CONVERSATIONS, one_line)
 
 
-def read_conversation_xml_csv(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, schemas.CONVERSATION_XML)
+def read_conversation_xml_csv(spark: SparkSession, path: str, one_line: bool = False) -> DataFrame:
+    return read_csv(spark, path, schemas.CONVERSATION_XML, one_line)
 
 
-def read_facets_csv(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, schemas.FACETS)
+def read_facets_csv(spark: SparkSession, path: str, one_line: bool = False) -> DataFrame:
+    return read_csv(spark, path, schemas.FACETS, one_line)
 
 
-def read_named_rows_csv(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, schemas.NAMED_ROWS)
+def read_named_rows_csv(spark: SparkSession, path: str, one_line: bool = False) -> DataFrame:
+    return read_csv(spark, path, schemas.NAMED_ROWS, one_line)
 
 
 def read_embeddings(spark: SparkSession, path: str) -> DataFrame:

@@ -61,3 +61,13 @@ def test_hierarchy_json(spark, tmp_path):
     doc = hierarchy.build_hierarchy(vector_table(spark, np.eye(3, dtype=np.float32), [0, 1, 2]))
     tables.write_hierarchy(doc, str(tmp_path / "h"))
     assert tables.read_hierarchy(spark, str(tmp_path / "h")).collect() == doc.collect()
+
+
+def test_one_line_csv_keeps_texts_and_splits(spark, tmp_path):
+    odd = ["a\nb", "\r\n", "\\n", "\\", "\\s\\r", ' "x", y\n', None, "é"]
+    rows = spark.createDataFrame(list(enumerate(odd)), "id int, text string")
+    tables.write_csv(rows.coalesce(1), str(tmp_path / "t"), one_line=True)
+    found = tables.read_csv(spark, str(tmp_path / "t"), "id int, text string", one_line=True).collect()
+    assert [r["text"] for r in sorted(found, key=lambda r: r["id"])] == odd
+    lines = spark.read.text(str(tmp_path / "t")).count()
+    assert lines == len(odd) + 1
