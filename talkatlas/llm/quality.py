@@ -96,8 +96,11 @@ class QualityModel:
     shift: float
 
     def margins(self, slot: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        sums = (np.concatenate([[0.0], np.cumsum(v[slot])]) for v in (self.weights, self.squares))
-        weight, square = (s[offsets[1:]] - s[offsets[:-1]] for s in sums)
+        # Row by row, so that a margin does not depend on the other texts of a slice.
+        some = offsets[1:] > offsets[:-1]
+        weight, square = np.zeros((2, len(some)))
+        if some.any():
+            weight[some], square[some] = (np.add.reduceat(v[slot], offsets[:-1][some]) for v in (self.weights, self.squares))
         return weight / np.sqrt(np.maximum(square, 1e-12))
 
     def scores(self, slot: np.ndarray, offsets: np.ndarray) -> np.ndarray:
