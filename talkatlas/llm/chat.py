@@ -53,12 +53,16 @@ def best_paths(messages: DataFrame) -> DataFrame:
         )
     ]
     most = hops[0].count()
-    while (1 << (len(hops) - 1)) < 2 * most and not hops[-1].where("up IS NOT NULL").isEmpty():
-        joined = hops[-1].alias("n").join(hops[-1].alias("u"), _on("n", "u", "up"), "left")
-        total = F.col("n.total") + F.coalesce("u.total", F.lit(0.0))
-        steps = F.col("n.steps") + F.coalesce("u.steps", F.lit(0))
+    # Nodes that have reached their root stay behind; the others go on from round to round.
+    ended = hops[0].where("up IS NULL")
+    while (1 << (len(hops) - 1)) < 2 * most:
+        active = hops[-1].where("up IS NOT NULL")
+        if active.isEmpty():
+            break
+        joined = active.alias("n").join(active.unionByName(ended).alias("u"), _on("n", "u", "up"))
+        total, steps = F.col("n.total") + F.col("u.total"), F.col("n.steps") + F.col("u.steps")
         hops.append(stored(joined.select("n.tree", "n.node", "u.up", steps.alias("steps"), total.alias("total"))))
-    ended = hops[-1].where("up IS NULL")
+        ended = ended.unionByName(hops[-1].where("up IS NULL"))
     parents = hops[0].where("up IS NOT NULL").select("tree", F.col("up").alias("node")).distinct()
     leaves = ended.alias("e").join(parents.alias("p"), _on("e", "p", "node"), "left_anti")
     order = F.struct((-F.col("total")).alias("a"), (-F.col("steps")).alias("b"), F.col("node").alias("c"))
