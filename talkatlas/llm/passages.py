@@ -23,6 +23,7 @@ from talkatlas.runtime import discard, stored
 
 # Symbols of a text column: a 64-bit code per symbol, and the offsets of the rows.
 Symbols = Callable[[pa.Array, Powers], tuple[np.ndarray, np.ndarray]]
+TAG = "struct<x:bigint,y:bigint>"
 
 
 def split(codes: np.ndarray, offsets: np.ndarray, window: int, gram: int, powers: Powers):
@@ -58,21 +59,21 @@ def split(codes: np.ndarray, offsets: np.ndarray, window: int, gram: int, powers
     return rows, start - offsets[rows], at - start, last - first + 1, grams[at], passage
 
 
+def tag_of(text: Column) -> Column:
+    """128 bits of a text, which tell apart the rows that share a ``doc_id``."""
+    return F.struct(F.xxhash64(text).alias("x"), F.xxhash64(F.lit(1), text).alias("y"))
+
+
 def with_tag(docs: DataFrame) -> DataFrame:
-    """``doc_id, tag, text``; the tag tells apart most rows that share a ``doc_id``."""
+    """``doc_id, tag, text``; ``doc_id`` and tag name a row."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    tag = F.xxhash64(text).bitwiseAND(F.lit(0xFFFF)).cast("int")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), tag.alias("tag"), text.alias("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), tag_of(text).alias("tag"), text.alias("text"))
 
 
 def start_of(place: Column) -> Column:
     return F.shiftright(place, 32)
 
 
-def tag_of(place: Column) -> Column:
-    return F.shiftright(place, 16).bitwiseAND(F.lit(0xFFFF)).cast("int")
-
-
 def offset_of(place: Column) -> Column:
     return F.shiftright(place, 8).bitwiseAND(F.lit(0xFF)).cast("int")
 
@@ -82,10 +83,10 @@ def windows_of(place: Column) -> Column:
 
 
 def occurrences(docs: DataFrame, symbols: Symbols, window: int, gram: int) -> DataFrame:
-    """``doc_id, place, anchor, passage`` for every passage of every row.
+    """``doc_id, tag, place, anchor, passage`` for every passage of every row.
 
-    ``place`` packs the first symbol, the tag of the row, the offset of the
-    anchor and the number of windows.
+    ``place`` packs the first symbol, the offset of the anchor and the number of
+    windows.
     """
     if not 0 < gram <= window or window - gram + 1 > 255:
         raise ValueError("a passage can have at most 255 windows")
@@ -95,14 +96,13 @@ def occurrences(docs: DataFrame, symbols: Symbols, window: int, gram: int) -> Da
         for part in slices(batches, "text"):
             codes, offsets = symbols(part.column("text"), powers)
             row, start, offset, count, anchor, passage = split(codes, offsets, window, gram, powers)
-            tag = part.column("tag").to_numpy()[row].astype(np.int64)
-            place = (start << 32) | (tag << 16) | (offset << 8) | count
+            place = (start << 32) | (offset << 8) | count
             arrays = [place, anchor.view(np.int64), passage.view(np.int64)]
-            ids = part.column("doc_id").take(pa.array(row))
-            names = ["doc_id", "place", "anchor", "passage"]
-            yield pa.RecordBatch.from_arrays([ids, *map(pa.array, arrays)], names)
+            ids = [part.column(c).take(pa.array(row)) for c in ("doc_id", "tag")]
+            names = ["doc_id", "tag", "place", "anchor", "passage"]
+            yield pa.RecordBatch.from_arrays([*ids, *map(pa.array, arrays)], names)
 
-    return with_tag(docs).mapInArrow(run, "doc_id long, place long, anchor long, passage long")
+    return with_tag(docs).mapInArrow(run, f"doc_id long, tag {TAG}, place long, anchor long, passage long")
 
 
 def recurring(found: DataFrame) -> DataFrame:
@@ -118,7 +118,7 @@ def recurring(found: DataFrame) -> DataFrame:
 
 def distinct(found: DataFrame) -> DataFrame:
     """Each passage once per anchor, with its count ``n`` and its ``first`` place."""
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "place")).alias("first")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "place", "tag")).alias("first")
     return stored(found.groupBy("anchor", "passage").agg(F.count("*").alias("n"), first))
 
 
@@ -133,7 +133,7 @@ def with_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     left = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.xxhash64(text).bitwiseAND(F.lit(0xFFFF)).cast("int").alias("tag"),
+        tag_of(text).alias("tag"),
         text.alias("text"),
         kept,
     ).alias("d")
@@ -158,7 +158,7 @@ def bodies(docs: DataFrame, table: DataFrame, full: DataFrame, symbols, bounds,
         windows_of(place).alias("windows"),
         "anchor", "passage", "n", F.coalesce("full", F.lit(False)).alias("full"),
     )
-    by_doc = marked.groupBy(F.col("first.doc_id").alias("doc_id"), tag_of(place).alias("tag"))
+    by_doc = marked.groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.tag").alias("tag"))
     wanted = by_doc.agg(F.collect_list(entry).alias("wanted"))
 
     def run(batches):
@@ -199,7 +199,7 @@ def bodies(docs: DataFrame, table: DataFrame, full: DataFrame, symbols, bounds,
                 ["doc_id", "tag", "start", "offset", "anchor", "passage", "n", "step", "code", "body"],
             )
 
-    schema = "doc_id long, tag int, start long, offset int, anchor long, passage long, n long, step int, code long, body binary"
+    schema = f"doc_id long, tag {TAG}, start long, offset int, anchor long, passage long, n long, step int, code long, body binary"
     rows = with_texts(docs.select("doc_id", "text"), wanted).where("wanted IS NOT NULL").drop("row")
     return stored(rows.mapInArrow(run, schema))
 
@@ -209,10 +209,10 @@ def full_anchors(table: DataFrame, most: int) -> DataFrame:
 
 
 def spans_by_row(removed: DataFrame) -> DataFrame:
-    """``doc_id, tag, spans``: all removed intervals of a row, flat, from ``doc_id, place, spans``."""
+    """``doc_id, tag, spans``: all removed intervals of a row, flat, from ``doc_id, tag, place, spans``."""
     start = start_of(F.col("place"))
     moved = F.transform("spans", lambda s: start + s)
-    return removed.groupBy("doc_id", tag_of(F.col("place")).alias("tag")).agg(
+    return removed.groupBy("doc_id", "tag").agg(
         F.flatten(F.collect_list(moved)).alias("spans")
     )
 

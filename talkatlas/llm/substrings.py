@@ -88,7 +88,7 @@ def recurring_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     single = single.join(totals, "code", "left_semi").groupBy("anchor", "passage").agg(split.alias("spans"))
     spans = stored(spans.unionByName(single))
     discard(read)
-    return passages.spans_by_row(found.join(spans, ["anchor", "passage"]).select("doc_id", "place", "spans"))
+    return passages.spans_by_row(found.join(spans, ["anchor", "passage"]).select("doc_id", "tag", "place", "spans"))
 
 
 def _cleaned(docs: DataFrame, window: int, gram: int, rejoin: bool) -> DataFrame:
@@ -135,8 +135,7 @@ def remove_recurring(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
 
     A null text counts as empty: no words.  Texts shorter than a window are
     kept.  A repeated row is another document, so the windows of both recur.
-    Rows with equal or null ``doc_id`` are separate documents as long as a hash
-    of 16 bits tells their texts apart.  Other columns are not read.
+    Rows with equal or null ``doc_id`` are told apart by 128 bits of their texts.  Other columns are not read.
     """
     kept = _cleaned(docs.select("doc_id", "text"), window, gram, rejoin=True)
     return kept.select("doc_id", "n_words", "n_removed", F.col("text").alias("kept"))

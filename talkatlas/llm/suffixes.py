@@ -122,9 +122,12 @@ def _sorted_buckets(window: int, gram: int):
     def bucket(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(parts)
         table = table.append_column("unnamed", pc.is_null(table.column("doc_id")))
+        for part in ("x", "y"):
+            table = table.append_column(part, pc.struct_field(table.column("tag"), part))
+        table = table.drop_columns(["tag"])
         reach = pc.add(table.column("start"), table.column("offset").cast(pa.int64()))
         table = table.append_column("reach", reach).sort_by(
-            [("unnamed", "ascending"), ("doc_id", "ascending"), ("reach", "ascending"), ("tag", "ascending")]
+            [("unnamed", "ascending"), ("doc_id", "ascending"), ("reach", "ascending"), ("x", "ascending"), ("y", "ascending")]
         )
         table = table.combine_chunks()
         data, offsets = text_bytes_of(table.column("body"))
@@ -192,9 +195,10 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     table = stored(table.drop("n").join(spans, ["anchor", "passage"], "left"))
     discard(read)
     joined = found.join(table, ["anchor", "passage"])
-    at_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("place") == F.col("first.place"))
+    at_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("tag") == F.col("first.tag"))
+    at_first &= F.col("place") == F.col("first.place")
     whole_span = F.array(F.lit(0), passages.windows_of(F.col("place")) + F.lit(window - 1))
-    removed = joined.select("doc_id", "place", F.when(at_first, F.col("spans")).otherwise(whole_span).alias("spans"))
+    removed = joined.select("doc_id", "tag", "place", F.when(at_first, F.col("spans")).otherwise(whole_span).alias("spans"))
     return passages.spans_by_row(removed.where("spans IS NOT NULL"))
 
 
