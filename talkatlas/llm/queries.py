@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkatlas.llm import chat, decontaminate, language, mixing, pages, quality, simhash, substrings, suffixes, vectors
+from talkatlas.llm import (
+    chat,
+    decontaminate,
+    language,
+    mixing,
+    pages,
+    periodic,
+    quality,
+    search,
+    simhash,
+    substrings,
+    suffixes,
+    topk,
+    vectors,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +75,20 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op11_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_products(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    texts = docs.select("doc_id", periodic.with_periodic_tail(F.col("doc_id"), F.col("text")).alias("text"))
+    return periodic.digests(periodic.periodic_runs(texts))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -74,7 +102,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_classifier,
         op9_embedding_near_dedup,
         op10_html_extraction,
+        op11_top_products,
+        op12_periodic_runs,
+        op13_ranked_search,
     )
 }
 
-ORACLES: dict[str, str] = {"op5_source_mixing": mixing.ORACLE, "op6_chat_formatting": chat.ORACLE}
+ORACLES: dict[str, str] = {
+    "op5_source_mixing": mixing.ORACLE,
+    "op6_chat_formatting": chat.ORACLE,
+    "op11_top_products": topk.ORACLE,
+    "op13_ranked_search": search.ORACLE,
+}
