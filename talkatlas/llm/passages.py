@@ -106,10 +106,15 @@ def occurrences(docs: DataFrame, symbols: Symbols, window: int, gram: int) -> Da
 
 
 def recurring(found: DataFrame) -> DataFrame:
-    """The passages whose anchor occurs more than once; no other window can recur."""
+    """The passages whose anchor occurs more than once; no other window can recur.
+
+    Rows that repeat both ``doc_id`` and text give one entry per passage, with
+    their number ``m``.
+    """
     found = stored(found)
     anchors = stored(found.groupBy("anchor").count().where("count > 1").select("anchor"))
-    kept = stored(found.join(anchors, "anchor", "left_semi"))
+    kept = found.join(anchors, "anchor", "left_semi")
+    kept = stored(kept.groupBy("doc_id", "tag", "place", "anchor", "passage").agg(F.count("*").alias("m")))
     # The table of all passages is the largest of all.
     discard(found)
     discard(anchors)
@@ -119,7 +124,13 @@ def recurring(found: DataFrame) -> DataFrame:
 def distinct(found: DataFrame) -> DataFrame:
     """Each passage once per anchor, with its count ``n`` and its ``first`` place."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "place", "tag")).alias("first")
-    return stored(found.groupBy("anchor", "passage").agg(F.count("*").alias("n"), first))
+    return stored(found.groupBy("anchor", "passage").agg(F.sum("m").alias("n"), first))
+
+
+def once(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``doc_id, text`` of ``docs``, rows that repeat both once, if ``found`` tells that some do."""
+    texts = docs.select("doc_id", "text")
+    return texts if found.where("m > 1").isEmpty() else texts.distinct()
 
 
 def with_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -144,7 +155,7 @@ def with_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def bodies(docs: DataFrame, table: DataFrame, full: DataFrame, symbols, bounds, window: int) -> DataFrame:
-    """The text of each distinct passage, read at its first place.
+    """The text of each distinct passage, read at its first place; ``docs`` repeats no row.
 
     ``doc_id, tag, start, offset, anchor, passage, n, step, code, body``.  An anchor
     in ``full`` has too many different passages for one task.  Its passages come as single

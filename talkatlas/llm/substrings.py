@@ -75,7 +75,7 @@ def recurring_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     found = passages.recurring(passages.occurrences(docs, _words, window, gram))
     table = passages.distinct(found)
     full = passages.full_anchors(table, ANCHOR_PASSAGES)
-    read = passages.bodies(docs, table, full, _words, _bounds, window)
+    read = passages.bodies(passages.once(docs, found), table, full, _words, _bounds, window)
     whole = read.where("body IS NOT NULL").select("anchor", "passage", "n", "body")
     shards = whole.repartition("anchor").sortWithinPartitions("anchor")
     schema = "anchor long, passage long, spans array<int>"

@@ -176,7 +176,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     several = stored(table.groupBy("anchor").count().where("count > 1").select("anchor"))
     compared = table.join(several, "anchor", "left_semi")
     full = passages.full_anchors(compared, ANCHOR_PASSAGES)
-    read = passages.bodies(docs, compared, full, _bytes, _bounds, window)
+    read = passages.bodies(passages.once(docs, found), compared, full, _bytes, _bounds, window)
     # Sampled splitters over the leading bytes of the suffixes at the anchors.
     lead = F.substring("body", F.col("offset") + F.lit(1), F.lit(gram))
     whole = read.where("body IS NOT NULL").select(

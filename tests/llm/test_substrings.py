@@ -7,7 +7,9 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from talkatlas.llm import substrings, suffixes
+from pyspark.sql import functions as F
+
+from talkatlas.llm import passages, substrings, suffixes
 from talkatlas.llm.columns import Powers
 from talkatlas.llm.fm_index import FMIndex, WaveletTree
 from talkatlas.llm.passages import split
@@ -102,6 +104,38 @@ def test_repeated_bytes_in_special_rows(spark):
     assert suffixes.remove_repeated(table.limit(0), window=20, gram=6).collect() == []
 
 
+@pytest.mark.parametrize("full", [2000, 2])
+def test_rows_stored_twice_beside_similar_texts(spark, monkeypatch, full):
+    monkeypatch.setattr(suffixes, "ANCHOR_PASSAGES", full)
+    monkeypatch.setattr(substrings, "ANCHOR_PASSAGES", full)
+    draw = random.Random(6)
+    letters = lambda n: "".join(draw.choice("abcdefgh  ") for _ in range(n))
+    base = [letters(400) for _ in range(6)]
+    rows = []
+    for i, text in enumerate(base):
+        rows += [(10 * i + 1, text)] * 2
+        for j, shared in enumerate((60, 100, 140, 400)):
+            at = draw.randrange(401 - shared)
+            rows.append((10 * i + 2 + j, letters(150) + text[at : at + shared] + letters(150)))
+    found = suffixes.remove_repeated(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    # A row that is stored twice is one document.
+    expected = {r[0]: r for r in brute_bytes(sorted(set(rows)), 100)}
+    assert sorted((*r[:4], bytes(r[4])) for r in found.collect()) == sorted(expected[i] for i, _ in rows)
+    words = [(i, " ".join(t)) for i, t in rows]
+    found = substrings.remove_recurring(spark.createDataFrame(words, "doc_id long, text string"), window=35)
+    assert sorted((tuple(r) for r in found.collect()), key=str) == brute_words(words, 35)
+
+
+def test_many_equal_rows_without_an_id(spark):
+    text = " ".join(f"w{i}" for i in range(90))
+    rows = spark.range(5000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(text).alias("text"))
+    found = passages.recurring(passages.occurrences(rows, substrings._words, 35, 8))
+    # As many entries as the text has passages, however often it is stored.
+    assert found.count() < 60 and found.where("m <> 5000").isEmpty()
+    assert substrings.remove_recurring(rows).where("n_words = 90 AND n_removed = 90").count() == 5000
+    assert suffixes.remove_repeated(rows).where("n_removed = 0").count() == 5000
+
+
 def test_every_window_lies_in_one_passage():
     draw = np.random.default_rng(4)
     codes = draw.integers(1, 5, 400).astype(np.uint64)
