@@ -6,7 +6,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from talkatlas.llm import passages
 from talkatlas.llm.columns import slices, text_bytes
 from talkatlas.llm.components import star_components
 from talkatlas.runtime import stored
@@ -37,8 +39,8 @@ def fingerprint(words: list[bytes], shingle: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(hashes), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, fp``: the fingerprint of each row's ASCII-lowered text, as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id``, the columns in ``keep`` and ``fp``: the fingerprint of each row's ASCII-lowered text, as a signed long."""
 
     def run(batches):
         for part in slices(batches, "text"):
@@ -46,10 +48,13 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
             raw = data.tobytes()
             bounds = zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
             found = np.array([fingerprint(raw[s:e].lower().split(), shingle) for s, e in bounds], np.uint64)
-            ids = part.column("doc_id")
-            yield pa.RecordBatch.from_arrays([ids, pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            names = ["doc_id", *keep]
+            columns = [*(part.column(c) for c in names), pa.array(found.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, [*names, "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long"), *keep, F.col("text").cast("string"))
+    schema = T.StructType([*(rows.schema[c] for c in ("doc_id", *keep)), T.StructField("fp", T.LongType())])
+    return rows.mapInArrow(run, schema)
 
 
 def _half(fp: Column, segment: int) -> Column:
@@ -163,6 +168,12 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part").mapInArrow(run, "a long, b long")
 
 
+def _rooted(nodes: DataFrame, max_bits: int) -> DataFrame:
+    """``nodes(fp, ...)`` with the ``root`` fingerprint of the group of each."""
+    roots = star_components(links(nodes, max_bits)).withColumnRenamed("node", "fp")
+    return nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """``doc_id, fingerprint, component_id`` for every row of ``docs(doc_id, text, ...)``.
 
@@ -177,8 +188,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int
     """
     prints = stored(fingerprints(docs, shingle))
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = star_components(links(nodes, max_bits)).withColumnRenamed("node", "fp")
-    joined = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    joined = _rooted(nodes, max_bits)
     least = joined.groupBy("root").agg(F.min("first").alias("component_id"))
     named = stored(joined.join(least, "root").select("fp", "component_id"))
     return prints.join(named, "fp").select(
@@ -189,9 +199,18 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int
 def keep_first(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row of each near-duplicate group, the one of the smallest ``doc_id``.
 
-    Of rows that repeat that id one stays.  Rows with a null id cannot be told
-    apart, so all of them stay.
+    Of rows that share that id, one of the smallest text hash stays; a row
+    without an id stays only where no row of its group has one.  Null and empty
+    texts are near-duplicates of each other, as in ``near_duplicates``.
     """
-    found = near_duplicates(docs, shingle, max_bits).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(found, "doc_id").select(*docs.columns).dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    prints = fingerprints(passages.with_tag(docs), shingle, keep=("tag",))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tag")).alias("first")
+    # Copies meet as one row per task and fingerprint.
+    nodes = stored(prints.groupBy("fp").agg(first))
+    chosen = _rooted(nodes, max_bits).groupBy("root").agg(F.min("first").alias("first"))
+    key = F.struct("first.doc_id", "first.tag").alias("key")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    own = F.struct(F.col("doc_id").cast("long").alias("doc_id"), passages.tag_of(text).alias("tag"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), own.alias("key"))
+    kept = rows.join(chosen.select(key), "key", "left_semi").dropDuplicates(["key"])
+    return kept.select(*(F.col("row")[c].alias(c) for c in docs.columns))

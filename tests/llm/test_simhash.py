@@ -1,9 +1,11 @@
 """SimHash near-duplicates against brute force."""
 
 import random
+import re
 
 import numpy as np
 import pytest
+import xxhash
 
 from talkatlas.llm import simhash
 from talkatlas.llm.components import star_components
@@ -57,6 +59,40 @@ def test_links_connect_what_is_within_three_bits(spark, monkeypatch, full):
     assert all(np.bitwise_count(values[a] ^ values[b]) <= 64 for a, b in linked)
 
 
+def plain_fingerprint(text):
+    """Bit by bit, from the definition."""
+    words = [w for w in re.split("[\x20\x09-\x0d]+", text.translate({c: c + 32 for c in range(65, 91)})) if w]
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_fingerprints_and_survivors_against_brute_force(spark):
+    draw = random.Random(9)
+    base = [" ".join(draw.choice(["Ab", "cé", "D", "e\u00a0f", "GH", "ij,"]) + str(draw.randrange(30)) for _ in range(120)) for _ in range(20)]
+    texts = base + [draw.choice(base) + draw.choice(["", " x", "  "]) for _ in range(60)] + ["", " ", "A b", "ÄÖ Q", "a\x1cb \x0bC"]
+    rows = [(draw.randrange(10**6), t) for t in texts]
+    prints = [plain_fingerprint(t) for t in texts]
+    found = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((r["doc_id"], r["fingerprint"]) for r in found) == sorted((i, f"{p:016x}") for (i, _), p in zip(rows, prints, strict=True))
+    groups = {}
+    for (i, _), root in zip(rows, brute_roots(prints), strict=True):
+        groups.setdefault(root, []).append(i)
+    least = {i: min(g) for g in groups.values() for i in g}
+    assert {r["doc_id"]: r["component_id"] for r in found} == least
+    kept = simhash.keep_first(spark.createDataFrame([(i, "x", t) for i, t in rows], "doc_id long, key string, text string"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(least.values()))
+
+
+def test_rows_without_an_id_and_of_one_id(spark):
+    words = [" ".join(f"{a}{i}" for i in range(50)) for a in "abc"]
+    rows = [(None, words[0], i) for i in range(2000)] + [(7, words[1], 0), (7, words[1], 1), (7, words[2], 2)]
+    kept = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(5)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == [(0, words[0]), (7, words[1]), (7, words[2])]
+
+
 def test_components_of_chains_and_stars(spark):
     pairs = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 150)] + [(200, 201), (201, 200), (7, 7)]
     found = star_components(spark.createDataFrame(pairs, "a long, b long")).collect()
@@ -76,7 +112,11 @@ def test_special_rows(spark):
     seen = {(r["doc_id"], r["component_id"]) for r in found}
     assert {(5, 3), (3, 3), (9, 3), (1, 1), (8, 1), (4, 4), (None, 4), (2, 2), (None, None)} == seen
     assert {r["fingerprint"] for r in found if r["doc_id"] in (3, 5, 9)} == {"0" * 16}
-    kept = simhash.keep_first(docs).collect()
-    assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == [1, 2, 3, 4]
-    assert sum(r["doc_id"] is None for r in kept) == 2
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns
+    # A row without an id stays only where its group has no other.
+    assert sorted((r["doc_id"] or 0, r["text"] and r["text"][:5]) for r in kept.collect()) == [
+        (0, "unlik"), (1, "One t"), (2, "word "), (3, ""), (4, "one t")
+    ]
+    assert simhash.keep_first(docs.limit(0)).collect() == []
     assert simhash.near_duplicates(docs.limit(0)).collect() == []
