@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from talkatlas.checks import require_columns
 from talkatlas.functions import vectors
-from talkatlas.runtime import is_small, row_blocks, stored, with_last
+from talkatlas.runtime import is_small, join_small, row_blocks, stored, with_last
 
 
 def choose_k(n_rows: int, k_min: int = 3, k_max: int = 40) -> int:
@@ -132,6 +132,75 @@ def _nearest_in_block(shared, names: list[str]):
     return run
 
 
+def _hash_draw(*parts) -> Column:
+    """A number between 0 and 1 that depends on the values only."""
+    digest = F.md5(F.concat_ws(":", *parts))
+    return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") + 0.5) / float(1 << 32)
+
+
+def _drawn(*parts) -> float:
+    """The same number on the driver."""
+    return (int(hashlib.md5(":".join(map(str, parts)).encode()).hexdigest()[:8], 16) + 0.5) / (1 << 32)
+
+
+def _picked_by_weight(points: np.ndarray, weights: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """``k`` of the points, each drawn by its weight times its squared distance to those before."""
+    chosen: list[int] = []
+    least = np.ones(len(points))
+    for step in range(min(k, len(points))):
+        along = np.cumsum(weights * least)
+        if along[-1] <= 0:
+            break
+        chosen.append(int(np.searchsorted(along, _drawn(seed, "pick", step) * along[-1], side="right")))
+        gap = vectors.exact_distance(points, points[chosen[-1]]) ** 2
+        least = gap if step == 0 else np.minimum(least, gap)
+    return points[chosen]
+
+
+def seed_points(
+    df: DataFrame,
+    k: int,
+    random_state: int = 42,
+    id_col: str = "id",
+    vector_col: str = "embedding",
+    rounds: int = 5,
+) -> DataFrame:
+    """``(cluster_id, centroid)``: up to ``k`` start points, spread over the rows.
+
+    In each round ``2 * k`` rows are drawn with a chance that grows with the
+    squared distance to the points so far.  The points drawn, weighted by the
+    rows nearest to them, are reduced to ``k`` on the driver, which sees no
+    more than ``2 * k * rounds + 1`` rows.  All draws are hashes of seed, round
+    and id, so the result does not depend on partitions or on retries.  Fewer
+    points come back where there are fewer different vectors.
+    """
+    require_columns(df, id_col, vector_col)
+    spark = df.sparkSession
+    rows = df.where(F.col(vector_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(vector_col).alias("embedding"))
+    schema = "cluster_id INT, centroid ARRAY<DOUBLE>"
+    draw = _hash_draw(F.lit(random_state), F.lit(0), "id")
+    found = [[float(v) for v in r["embedding"]] for r in rows.orderBy(draw, "id").limit(1).collect()]
+    if not found:
+        return spark.createDataFrame([], schema)
+
+    def placed() -> DataFrame:
+        points = spark.createDataFrame(list(enumerate(found)), schema)
+        return assign_nearest(rows, points, keep_vector=True)
+
+    for turn in range(1, rounds + 1):
+        # The least of such keys are a sample without replacement, by squared distance.
+        key = -F.ln(_hash_draw(F.lit(random_state), F.lit(turn), "id")) / F.col("distance") / F.col("distance")
+        drawn = placed().where("distance > 0").withColumn("key", key).orderBy("key", "id").limit(2 * k)
+        fresh = drawn.select("embedding").collect()
+        if not fresh:
+            break
+        found += [[float(v) for v in r["embedding"]] for r in fresh]
+    counts = {r["cluster_id"]: r["count"] for r in placed().groupBy("cluster_id").count().collect()}
+    weights = np.array([counts.get(i, 0) for i in range(len(found))], np.float64)
+    picked = _picked_by_weight(np.array(found, np.float64), weights, k, random_state)
+    return spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(picked)], schema)
+
+
 def fit_kmeans(
     df: DataFrame,
     k: int | None = None,
@@ -140,35 +209,39 @@ def fit_kmeans(
     vector_col: str = "embedding",
     max_iter: int = 300,
     keep: Sequence[str] = (),
+    tol: float = 1e-4,
 ) -> tuple[DataFrame, int]:
     """K-means labels as ``(id, cluster_id)`` and the columns in ``keep``, and the k that was used.
 
+    Start points come from ``seed_points``, then centroids move until none
+    moves farther than ``tol``.  The same rows give the same labels, however
+    they are partitioned.
+
     ``df`` should be a stored table: the fit passes over it many times.
     Clusters are numbered by size, the largest first, equal ones by their
     centers.  Rows without a vector keep a null label.
     """
     require_columns(df, id_col, vector_col)
     rows = df.where(F.col(vector_col).isNotNull())
-    rows = rows.withColumn("_features", array_to_vector(F.col(vector_col)))
     n_rows = rows.count()
     if n_rows == 0:
         raise ValueError("no rows to cluster")
-    k = choose_k(n_rows) if k is None else k
-    k = min(k, n_rows)
-    label = F.lit(0)
-    if k > 1:
-        estimator = KMeans(featuresCol="_features", predictionCol="_place", k=k, seed=random_state)
-        model = estimator.setMaxIter(max_iter).setTol(1e-4).fit(rows)
-        # k numbers and centers, on the driver: rows are labelled in one pass.
-        sizes, points = model.summary.clusterSizes, [c.tolist() for c in model.clusterCenters()]
-        order = sorted(range(len(points)), key=lambda i: (-sizes[i], points[i]))
-        rows = model.transform(rows)
-        label = F.element_at(F.lit([order.index(i) for i in range(len(points))]), F.col("_place") + 1)
-    labels = rows.select(id_col, label.cast("int").alias("cluster_id"), *keep)
+    k = min(choose_k(n_rows) if k is None else k, n_rows)
+    start = seed_points(rows, k, random_state, id_col, vector_col)
+    points = stored(lloyd(rows, start, max_iter, id_col, vector_col, tol))
+    # Columns of the rows may have the names that the assignment uses.
+    whole = rows.select(F.col(id_col).alias("id"), F.col(vector_col).alias("embedding"), F.struct(id_col, *keep).alias("row"))
+    placed = assign_nearest(whole, points, keep=("row",))
+    sizes = stored(placed.groupBy("cluster_id").count())
+    order = Window.orderBy(F.desc("count"), "centroid")
+    # One row per cluster.
+    numbers = points.join(sizes, "cluster_id").select("cluster_id", (F.row_number().over(order) - 1).alias("number"))
+    labelled_rows = join_small(placed, numbers, "cluster_id", bound=k)
+    labels = labelled_rows.select("row.*", F.col("number").cast("int").alias("cluster_id")).select(id_col, "cluster_id", *keep)
     missing = df.where(F.col(vector_col).isNull()).select(
         id_col, F.lit(None).cast("int").alias("cluster_id"), *keep
     )
-    return labels.unionByName(missing), max(k, 1)
+    return labels.unionByName(missing), k
 
 
 def lloyd(
@@ -177,18 +250,20 @@ def lloyd(
     iterations: int,
     id_col: str = "id",
     vector_col: str = "embedding",
+    tol: float | None = None,
 ) -> DataFrame:
     """Centroids after a number of k-means steps from given start points.
 
     ``start`` holds ``(cluster_id, centroid)``; the result adds ``n``, the rows
     each cluster had in the last step.  A cluster that loses all its rows keeps
-    its centroid.  Each step sends one partial sum per cluster and task through
-    the shuffle.
+    its centroid.  With ``tol``, steps end once no centroid moves farther than
+    that.  Each step sends one partial sum per cluster and task through the
+    shuffle.
     """
     require_columns(df, id_col, vector_col)
     require_columns(start, "cluster_id", "centroid")
     if not is_small(start):
-        return _lloyd_on_tables(df, start, iterations, id_col, vector_col)
+        return _lloyd_on_tables(df, start, iterations, id_col, vector_col, tol)
     rows = df.where(F.col(vector_col).isNotNull()).select(F.col(vector_col).alias("embedding"))
     ids, points = next(centroid_blocks(start))
     place = {label: i for i, label in enumerate(ids.tolist())}
@@ -203,19 +278,21 @@ def lloyd(
             .groupBy("cluster_id")
             .agg(F.sum("n").alias("n"), Summarizer.sum(F.col("v")).alias("total"))
         )
-        counts, points = np.zeros_like(counts), points.copy()
+        before, counts, points = points, np.zeros_like(counts), points.copy()
         # At most one row per start point, whatever the size of the table.
         for row in merged.collect():
             i = place[row["cluster_id"]]
             counts[i] = row["n"]
             points[i] = row["total"].toArray() / row["n"]
+        if tol is not None and (vectors.exact_distance(points, before) <= tol).all():
+            break
     return df.sparkSession.createDataFrame(
         list(zip(ids.tolist(), counts.tolist(), points.tolist(), strict=True)),
         "cluster_id INT, n BIGINT, centroid ARRAY<DOUBLE>",
     )
 
 
-def _lloyd_on_tables(df, start, iterations, id_col, vector_col) -> DataFrame:
+def _lloyd_on_tables(df, start, iterations, id_col, vector_col, tol) -> DataFrame:
     """The same steps with the centroids kept in a table, for very many clusters."""
     current = start.select("cluster_id", F.lit(0).cast("bigint").alias("n"), "centroid")
     for _ in range(iterations):
@@ -226,9 +303,13 @@ def _lloyd_on_tables(df, start, iterations, id_col, vector_col) -> DataFrame:
                 "cluster_id",
                 F.coalesce("moved_n", F.lit(0)).alias("n"),
                 F.coalesce("moved", "centroid").alias("centroid"),
+                vectors.euclidean(F.col("centroid"), F.coalesce("moved", "centroid")).alias("step"),
             )
         )
-    return current
+        if tol is not None and current.where(F.col("step") > tol).isEmpty():
+            break
+        current = current.drop("step")
+    return current.drop("step")
 
 
 def _partial_sums(shared):

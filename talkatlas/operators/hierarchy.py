@@ -5,10 +5,13 @@ other group, and all groups that are nearest to each other merge at once.  For
 average, single and complete linkage this gives the same groups as merging one
 pair at a time, in a number of rounds that grows slowly.
 
-Average and single linkage keep one row per group or cluster: the mean cosine
-distance of two groups follows from their sums of unit vectors, and the least
-distance from the nearest row of another group.  Only complete linkage works on
-the table of all pairs.
+All linkages keep one row per group or cluster: the mean cosine distance of two
+groups follows from their sums of unit vectors, the least distance from the
+nearest row of another group.  For the greatest distance, bounds from centres,
+radii and a few outer members leave few pairs of groups open, and only those
+are worked out from their members.
+
+For many thousands of clusters there is a tree that is split from the top.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from dataclasses import asdict
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
@@ -31,6 +35,12 @@ from talkatlas.operators.cluster import centroid_blocks, centroids
 from talkatlas.params import HierarchyParams
 from talkatlas.runtime import join_small, row_blocks, stored
 
+# Members of a group that bound its distances, and groups that are compared at once.
+OUTER_MEMBERS = 4
+GROUP_BLOCK = 1024
+# Room for rounding, so that a bound never rules out what it should not.
+BOUND_SLACK = 1e-9
+
 
 def centroid_distances(points: DataFrame) -> DataFrame:
     """``(a, b, distance)`` with a < b: cosine distance of every two centroids.
@@ -87,8 +97,9 @@ def group_clusters(points: DataFrame, params: HierarchyParams | None = None) ->
         return points.select("cluster_id", F.lit(0).alias("parent_id"))
     points = stored(points)
     n_clusters = points.count()
-    rounds = _pair_rounds if p.linkage == "complete" else _group_rounds
-    merges = rounds(points, n_clusters, p.linkage, p.distance_threshold)
+    if p.linkage == "divisive":
+        return _numbered_by_smallest_child(_split_from_the_top(points, min(p.n_parents, n_clusters), p.random_state))
+    merges = _group_rounds(points, n_clusters, p.linkage, p.distance_threshold)
     labels = points.select("cluster_id", F.col("cluster_id").alias("label"))
     if merges:
         every = merges[0]
@@ -134,12 +145,13 @@ def _numbered_by_smallest_child(labels: DataFrame) -> DataFrame:
 def _group_rounds(
     points: DataFrame, n_clusters: int, linkage: str, threshold: float | None
 ) -> list[DataFrame]:
-    """Merges ``(kept, gone, height, round)`` of average or single linkage, one table per round.
+    """Merges ``(kept, gone, height, round)``, one table per round.
 
     The state has one row per group with the sum of its unit vectors for
-    average linkage, one row per cluster for single linkage; either way no more
-    rows than clusters.
+    average linkage, one row per cluster otherwise; either way no more rows
+    than clusters.
     """
+    nearest = _nearest_by_farthest_pair if linkage == "complete" else _nearest_groups
     own = points.select("cluster_id", "centroid").mapInArrow(
         _unit_vectors, "label INT, n BIGINT, total ARRAY<DOUBLE>"
     )
@@ -147,7 +159,7 @@ def _group_rounds(
     rounds: list[DataFrame] = []
     n_merged = 0
     while n_merged < n_clusters - 1:
-        merged = stored(_mutual_groups(_nearest_groups(state), threshold)).withColumn("round", F.lit(len(rounds)))
+        merged = stored(_mutual_groups(nearest(state), threshold)).withColumn("round", F.lit(len(rounds)))
         found = merged.count()
         if not found:
             break
@@ -238,98 +250,170 @@ def _mutual_groups(nearest: DataFrame, threshold: float | None) -> DataFrame:
     return mutual.select(F.col("a").alias("kept"), F.col("b").alias("gone"), "height")
 
 
-def _pair_rounds(
-    points: DataFrame, n_clusters: int, linkage: str, threshold: float | None
-) -> list[DataFrame]:
-    """Merges ``(kept, gone, height, round)`` on the table of all pairs, one table per round.
+def _summaries(state: DataFrame) -> DataFrame:
+    """Per group the mean of its unit vectors, the radius around it, and a few outer members.
 
-    The state is the table of group pairs with the sum, count, least and
-    greatest of the distances between their clusters; a merge adds up the rows
-    of the two groups, so the table shrinks with every round.  The merges of a
-    round and the pairs that are left are stored together.
+    A group is at most as large as the table of clusters.  Outer members are
+    picked one by one, each the farthest from those before; a small group is
+    all of its members, ``whole``.
     """
-    gap = {"average": F.col("total") / F.col("n"), "single": F.col("lo"), "complete": F.col("hi")}
-    pairs = stored(
-        centroid_distances(points).select(
-            "a",
-            "b",
-            F.lit(0.0).alias("height_a"),
-            F.lit(0.0).alias("height_b"),
-            F.col("distance").alias("total"),
-            F.lit(1).cast("bigint").alias("n"),
-            F.col("distance").alias("lo"),
-            F.col("distance").alias("hi"),
-        )
-    )
-    pair_columns = pairs.columns
-    rounds: list[DataFrame] = []
-    n_merged = 0
-    while n_merged < n_clusters - 1:
-        merged = _mutual_pairs(pairs.withColumn("gap", gap[linkage]), threshold)
-        left = _merge_pairs(pairs, merged, n_clusters)
-        state = stored(left.unionByName(merged, allowMissingColumns=True))
-        merged = state.where(F.col("kept").isNotNull()).select(
-            "kept", "gone", "height", F.lit(len(rounds)).alias("round")
+
+    def run(group: pa.Table) -> pa.Table:
+        units = vectors.matrix(group["total"].combine_chunks())
+        mean = units.mean(axis=0)
+        radius = vectors.exact_distance(units, mean)
+        picked = [int(radius.argmax())]
+        far = vectors.exact_distance(units, units[picked[0]])
+        far[picked] = -1.0
+        while len(picked) < min(OUTER_MEMBERS, len(units)):
+            picked.append(int(far.argmax()))
+            far = np.minimum(far, vectors.exact_distance(units, units[picked[-1]]))
+            # A member is not picked twice, not even among equal ones.
+            far[picked] = -1.0
+        outer = np.resize(units[picked], (OUTER_MEMBERS, units.shape[1]))
+        return pa.table(
+            {
+                "label": group["label"].slice(0, 1),
+                "mean": vectors.list_column(mean[None], pa.float64()),
+                "radius": [float(radius.max())],
+                "outer": vectors.list_column(outer.reshape(1, -1), pa.float64()),
+                "whole": [len(units) <= OUTER_MEMBERS],
+                "zero": [bool((~units.any(axis=1)).any())],
+                "height": [max(group["height"].to_pylist())],
+            }
         )
-        found = merged.count()
-        if not found:
-            break
-        n_merged += found
-        rounds.append(merged)
-        pairs = state.where(F.col("kept").isNull()).select(*pair_columns)
-    return rounds
 
+    schema = "label INT, mean ARRAY<DOUBLE>, radius DOUBLE, outer ARRAY<DOUBLE>, whole BOOLEAN, zero BOOLEAN, height DOUBLE"
+    return state.groupBy("label").applyInArrow(run, schema)
 
-def _mutual_pairs(pairs: DataFrame, threshold: float | None) -> DataFrame:
-    """Groups that are nearest to each other, as ``(kept, gone, height)``.
 
-    A merge is never lower than the merges below it; rounding could make it
-    look so, hence the greatest of the three heights.
-    """
-    # Pairs are ordered by distance, then by their ids, so the nearest is unique.
-    pair = F.struct("gap", "a", "b", F.greatest("gap", "height_a", "height_b").alias("height"))
-    sides = pairs.select(F.explode(F.array("a", "b")).alias("group"), pair.alias("pair"))
-    nearest = sides.groupBy("group").agg(F.min("pair").alias("pair"))
-    mutual = nearest.groupBy("pair").agg(F.count("*").alias("sides")).where("sides = 2")
-    if threshold is not None:
-        mutual = mutual.where(F.col("pair.gap") < threshold)
-    return mutual.select(
-        F.col("pair.a").alias("kept"), F.col("pair.b").alias("gone"), F.col("pair.height").alias("height")
-    )
+class _Bounds:
+    """Bounds on the greatest distance between members of the groups of two tables."""
 
+    def __init__(self, labels, means, radius, outer, whole, zero) -> None:
+        self.labels, self.means, self.radius = labels, means, radius
+        self.outer = outer.reshape(len(labels), OUTER_MEMBERS, -1)
+        self.whole, self.zero = whole, zero
 
-def _merge_pairs(pairs: DataFrame, merged: DataFrame, n_clusters: int) -> DataFrame:
-    moves = merged.select(
-        F.explode(F.array("kept", "gone")).alias("group"), F.col("kept").alias("to"), "height"
-    )
-    for side in ("a", "b"):
-        pairs = (
-            join_small(pairs, moves.withColumnRenamed("group", side), side, bound=n_clusters)
-            .withColumn(side, F.coalesce("to", side))
-            .withColumn(f"height_{side}", F.coalesce("height", f"height_{side}"))
-            .drop("to", "height")
-        )
-    swap = F.col("a") > F.col("b")
-    return (
-        pairs.where(F.col("a") != F.col("b"))
-        .select(
-            F.least("a", "b").alias("a"),
-            F.greatest("a", "b").alias("b"),
-            F.when(swap, F.col("height_b")).otherwise(F.col("height_a")).alias("height_a"),
-            F.when(swap, F.col("height_a")).otherwise(F.col("height_b")).alias("height_b"),
-            "total",
-            "n",
-            "lo",
-            "hi",
-        )
-        .groupBy("a", "b", "height_a", "height_b")
-        .agg(
-            F.sum("total").alias("total"),
-            F.sum("n").alias("n"),
-            F.min("lo").alias("lo"),
-            F.max("hi").alias("hi"),
+    @classmethod
+    def of(cls, batch: pa.RecordBatch) -> _Bounds:
+        columns = {n: batch.column(n) for n in ("label", "radius", "whole", "zero")}
+        label, radius, whole, zero = (c.to_numpy(zero_copy_only=False) for c in columns.values())
+        return cls(label, vectors.matrix(batch.column("mean")), radius, vectors.matrix(batch.column("outer")), whole, zero)
+
+    def against(self, other: _Bounds) -> tuple[np.ndarray, np.ndarray]:
+        """Least and greatest possible value for every two groups, equal where it is known."""
+        least = 1.0 - self.means @ other.means.T
+        for i in range(OUTER_MEMBERS):
+            for j in range(OUTER_MEMBERS):
+                np.maximum(least, 1.0 - self.outer[:, i] @ other.outer[:, j].T, out=least)
+        sq, slack = vectors.squared_screen(self.means, other.means)
+        reach = np.sqrt(np.maximum(sq + slack[:, None], 0.0)) + self.radius[:, None] + other.radius[None, :]
+        most = np.minimum(0.5 * reach * reach, 2.0)
+        # A zero vector is at distance 1 from everything, whatever the length of the gap.
+        most = np.where(self.zero[:, None] | other.zero[None, :], np.maximum(most, 1.0), most)
+        known = self.whole[:, None] & other.whole[None, :]
+        most = np.where(known, least, most)
+        same = self.labels[:, None] == other.labels[None, :]
+        return np.where(same, np.inf, np.maximum(least, 0.0) - BOUND_SLACK), np.where(same, np.inf, most + BOUND_SLACK)
+
+
+def _group_blocks(summaries: DataFrame) -> Iterator:
+    """The groups as broadcasts of bounded size."""
+    names = ("label", "mean", "radius", "outer", "whole", "zero")
+    for block in row_blocks(summaries.select(*names), "label", GROUP_BLOCK):
+        yield summaries.sparkSession.sparkContext.broadcast([np.array([r[n] for r in block]) for n in names])
+
+
+def _against(shared, step):
+    """``step(bounds of a slice of rows, the slice, bounds of a block)`` as a function of batches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        other = _Bounds(*shared.value)
+        for batch in batches:
+            for start in range(0, batch.num_rows, GROUP_BLOCK):
+                part = batch.slice(start, GROUP_BLOCK)
+                yield step(_Bounds.of(part), part, other)
+
+    return run
+
+
+def _lower_limit(mine: _Bounds, batch: pa.RecordBatch, other: _Bounds) -> pa.RecordBatch:
+    """The batch with ``limit`` lowered to the least upper bound in a block."""
+    _, most = mine.against(other)
+    limit = np.minimum(batch.column("limit").to_numpy(), most.min(axis=1, initial=np.inf))
+    columns = [pa.array(limit) if n == "limit" else batch.column(n) for n in batch.schema.names]
+    return pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+
+def _open_pairs(mine: _Bounds, batch: pa.RecordBatch, other: _Bounds) -> pa.RecordBatch:
+    """The pairs of groups that can be nearest, from either side."""
+    least, _ = mine.against(other)
+    row, place = np.nonzero(least <= batch.column("limit").to_numpy()[:, None])
+    pair = [np.minimum(mine.labels[row], other.labels[place]), np.maximum(mine.labels[row], other.labels[place])]
+    return pa.RecordBatch.from_arrays([pa.array(p.astype(np.int32)) for p in (*pair, mine.labels[row])], names=["a", "b", "label"])
+
+
+def _nearest_by_farthest_pair(state: DataFrame) -> DataFrame:
+    """``(group, pair)`` like ``_nearest_groups``, by the greatest distance between members.
+
+    A group's nearest one is no farther than the least of its upper bounds, so
+    only groups whose lower bound is within that are measured.
+    """
+    summaries = stored(_summaries(state))
+    blocks = list(_group_blocks(summaries))
+    limited = summaries.withColumn("limit", F.lit(float("inf")))
+    for shared in blocks:
+        limited = limited.mapInArrow(_against(shared, _lower_limit), limited.schema)
+    limited, asked = stored(limited), None
+    for shared in blocks:
+        part = limited.mapInArrow(_against(shared, _open_pairs), "a INT, b INT, label INT")
+        asked = part if asked is None else asked.unionByName(part)
+    asked = stored(asked)
+    pairs = asked.select("a", "b").distinct()
+    members = state.select("label", "total", "height")
+
+    def farthest(left: pa.Table, right: pa.Table) -> pa.Table:
+        one, two = (vectors.matrix(t["total"].combine_chunks()) for t in (left, right))
+        gap = max(
+            float(np.clip(1.0 - np.einsum("ij,kj->ik", one[s : s + GROUP_BLOCK], two), 0.0, 2.0).max())
+            for s in range(0, len(one), GROUP_BLOCK)
         )
-    )
+        height = max(*left["height"].to_pylist(), *right["height"].to_pylist())
+        return pa.table({"a": left["a"].slice(0, 1), "b": left["b"].slice(0, 1), "gap": [round(gap, 12)], "height": [height]})
+
+    sides = []
+    for side in ("a", "b"):
+        found = pairs.select("a", "b", F.col(side).alias("label")).join(members, "label")
+        sides.append(found.select(*(F.col(c).alias(c) for c in ("a", "b", "total", "height"))).groupBy("a", "b"))
+    measured = stored(sides[0].cogroup(sides[1]).applyInArrow(farthest, "a INT, b INT, gap DOUBLE, height DOUBLE"))
+    pair = F.struct("gap", "a", "b", F.greatest("gap", "height").alias("height"))
+    return asked.join(measured, ["a", "b"]).groupBy(F.col("label").alias("group")).agg(F.min(pair).alias("pair"))
+
+
+def _split_from_the_top(points: DataFrame, n_parents: int, seed: int) -> DataFrame:
+    """``(cluster_id, label)``: clusters split in two by direction until there are ``n_parents`` groups.
+
+    Labels are smallest cluster ids.  Zero centroids have no direction; they go
+    with the group of the smallest label.
+    """
+    rows = points.select("cluster_id", array_to_vector("centroid").alias("features"), F.exists("centroid", lambda v: v != 0).alias("turned"))
+    turned = rows.where("turned")
+    if n_parents < 2 or turned.isEmpty():
+        return points.select("cluster_id", F.lit(points.agg(F.min("cluster_id")).first()[0]).alias("label"))
+    model = BisectingKMeans(k=n_parents, seed=seed, distanceMeasure="cosine", predictionCol="leaf").fit(turned)
+    leaves = stored(model.transform(turned).select("cluster_id", "leaf"))
+    labels = stored(leaves.groupBy("leaf").agg(F.min("cluster_id").alias("label")))
+    least = labels.agg(F.min("label")).first()[0]
+    found = join_small(leaves, labels, "leaf", bound=n_parents).select("cluster_id", "label")
+    # The smallest child of that group may be one without direction.
+    rest = rows.where("NOT turned").select("cluster_id")
+    first = rest.agg(F.min("cluster_id")).first()[0]
+    if first is None:
+        return found
+    lowest = min(first, least)
+    found = found.withColumn("label", F.when(F.col("label") == least, F.lit(lowest)).otherwise(F.col("label")))
+    return found.unionByName(rest.withColumn("label", F.lit(lowest)))
 
 
 def hierarchy_table(groups: DataFrame) -> DataFrame:

@@ -1,19 +1,25 @@
-"""Exact nearest neighbours of every row, without comparing everything.
+"""Nearest neighbours of every row, exact or approximate, without comparing everything.
 
-Rows are assigned to the nearest of a bounded number of pivots.  From the cell
+Exact: rows are assigned to the nearest of a bounded number of pivots.  From the cell
 radii follows an upper bound on the neighbour distance within a cell, and a row
 is sent only to the cells that it can matter to.  Cells are cut into blocks of
-bounded size on both sides, so a dense cell is many tasks.  Identical vectors
-are compared once, whatever their number.
+bounded size on both sides, so a dense cell is many tasks.
+
+Approximate: rows meet in the buckets of random projections, and a full bucket
+is compared block by block as well.  In both, identical vectors are compared
+once, whatever their number.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.feature import BucketedRandomProjectionLSH, Normalizer
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,6 +49,51 @@ def nearest_neighbors(
     from everything.  The work falls with the number of cells that the bounds
     rule out; on data without structure it is that of comparing all blocks.
     """
+    return _neighbors(df, k, metric, id_col, vector_col, partial(_search, block_rows=block_rows))
+
+
+def approximate_neighbors(
+    df: DataFrame,
+    k: int = 15,
+    metric: str = "cosine",
+    id_col: str = "id",
+    vector_col: str = "embedding",
+    tables: int = 12,
+    projections: int = 2,
+    bucket_length: float = 0.2,
+    seed: int = 42,
+    block_rows: int = 2048,
+) -> DataFrame:
+    """``(id, neighbor_id, distance, rank)``: the ``k`` nearest rows among those that share a bucket.
+
+    Each of ``tables`` keys a row by ``projections`` random projections, cut
+    into steps of ``bucket_length``; under cosine vectors have length one.  More
+    tables, fewer projections and longer steps find more at more cost.  All rows
+    of a bucket are compared, whatever its size, in blocks of ``block_rows``, so
+    distances, ties and zero vectors are as in ``nearest_neighbors``; only rows
+    that meet nowhere are missed, and a list can be shorter than ``k``.
+    """
+    search = partial(
+        _hashed_search,
+        tables=tables,
+        projections=projections,
+        bucket_length=bucket_length,
+        seed=seed,
+        block_rows=block_rows,
+    )
+    return _neighbors(df, k, metric, id_col, vector_col, search)
+
+
+def recall(found: DataFrame, exact: DataFrame, id_col: str = "id") -> DataFrame:
+    """One row ``(n_exact, n_found, recall)``: the share of the exact pairs that were found."""
+    pair = [id_col, "neighbor_id"]
+    hit = exact.select(*pair).join(found.select(*pair, F.lit(1).alias("hit")), pair, "left")
+    sums = hit.agg(F.count("*").alias("n_exact"), F.count("hit").alias("n_found"))
+    return sums.withColumn("recall", F.col("n_found") / F.nullif(F.col("n_exact"), F.lit(0)))
+
+
+def _neighbors(df: DataFrame, k: int, metric: str, id_col: str, vector_col: str, search) -> DataFrame:
+    """Neighbours by a search over the different vectors; copies and zero vectors are put back here."""
     require_columns(df, id_col, vector_col)
     if metric not in ("cosine", "euclidean"):
         raise ValueError(f"unknown metric: {metric}")
@@ -59,7 +110,7 @@ def nearest_neighbors(
     distinct = source.join(
         groups.select(F.get("ids", F.lit(0)).alias("id"), "ids"), "id"
     )
-    found = _search(distinct, k, metric, block_rows)
+    found = search(distinct, k, metric)
     lists = groups.join(found, F.get(groups["ids"], F.lit(0)) == found["qid"]).select(
         "key", "copies", "near"
     )
@@ -189,7 +240,13 @@ def _search(distinct: DataFrame, k: int, metric: str, block_rows: int) -> DataFr
 
     left = split(queries.select("cell", "id", "embedding"), "qb", query_parts, "rb", row_parts)
     right = split(routed, "rb", row_parts, "qb", query_parts)
-    where = ["cell", "qb", "rb"]
+    return _best_of_blocks(distinct, left, right, ["cell", "qb", "rb"], k, metric)
+
+
+def _best_of_blocks(
+    distinct: DataFrame, left: DataFrame, right: DataFrame, where: list[str], k: int, metric: str
+) -> DataFrame:
+    """``(qid, near)`` from all pairs of blocks, whose numbers are the columns ``where``."""
     id_field = T.StructField("qid", distinct.schema["id"].dataType)
     out = T.StructType(
         [
@@ -203,13 +260,65 @@ def _search(distinct: DataFrame, k: int, metric: str, block_rows: int) -> DataFr
         .cogroup(right.groupBy(*where))
         .applyInArrow(_compare_blocks(k, metric), out)
     )
-    order = Window.partitionBy("qid").orderBy("distance", F.get("ids", F.lit(0)))
+    # The same two vectors may have met more than once, at the same distance.
+    pairs = pairs.groupBy("qid", F.get("ids", F.lit(0)).alias("first")).agg(F.min("distance").alias("distance"), F.min("ids").alias("ids"))
+    order = Window.partitionBy("qid").orderBy("distance", "first")
     best = pairs.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
     named = F.transform("ids", lambda i: F.struct(F.col("distance").alias("distance"), i.alias("id")))
     # At most (k + 1) squared entries: k + 1 vectors with k + 1 ids each.
     return best.groupBy("qid").agg(F.flatten(F.collect_list(named)).alias("near"))
 
 
+def _hashed_search(
+    distinct: DataFrame,
+    k: int,
+    metric: str,
+    tables: int,
+    projections: int,
+    bucket_length: float,
+    seed: int,
+    block_rows: int,
+) -> DataFrame:
+    """``(qid, near)``: the nearest ids of each distinct vector among the vectors of its buckets."""
+    rows = stored(distinct.select("id", "embedding", "ids", array_to_vector("embedding").alias("v")))
+    scaled = Normalizer(p=2.0, inputCol="v", outputCol="x").transform(rows) if metric == "cosine" else rows.withColumnRenamed("v", "x")
+    if rows.isEmpty():
+        return _no_neighbors(distinct)
+    model = BucketedRandomProjectionLSH(
+        inputCol="x", outputCol="hashes", bucketLength=bucket_length, numHashTables=tables * projections, seed=seed
+    ).fit(scaled)
+    steps = F.transform("hashes", lambda h: F.get(vector_to_array(h), F.lit(0)))
+    hashed = model.transform(scaled).select("id", "embedding", "ids", steps.alias("steps"))
+    keys = [
+        F.xxhash64(F.lit(t), *(F.get("steps", F.lit(t * projections + p)) for p in range(projections)))
+        for t in range(tables)
+    ]
+    entries = stored(hashed.select("id", "embedding", "ids", F.array(*keys).alias("keys")))
+    members = entries.select("id", F.explode("keys").alias("bucket"))
+    # Buckets of one row find nothing, but a row always finds itself and its copies.
+    blocks = F.ceil(F.col("n") / F.lit(block_rows)).cast("int").alias("blocks")
+    buckets = stored(members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket", blocks))
+    # Keys and block numbers first; vectors join those that meet something.
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    placed = members.join(buckets, "bucket").withColumn("own", own)
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    asks = placed.select("id", "bucket", F.col("own").alias("qb"), other.alias("rb"))
+    offers = placed.select("id", "bucket", F.col("own").alias("rb"), other.alias("qb"))
+    left = asks.join(entries.select("id", "embedding"), "id").select("bucket", "qb", "rb", "id", "embedding")
+    right = offers.join(entries.select("id", "embedding", "ids"), "id")
+    # Both sides come from one table, so the columns of this one get a name of their own.
+    right = right.select(*(F.col(c).alias(c) for c in ("bucket", "qb", "rb", "id", "embedding", "ids")))
+    met = _best_of_blocks(distinct, left, right, ["bucket", "qb", "rb"], k, metric)
+    itself = F.transform("ids", lambda i: F.struct(F.lit(0.0).alias("distance"), i.alias("id")))
+    alone = entries.join(met.select(F.col("qid").alias("id")), "id", "left_anti").select(F.col("id").alias("qid"), itself.alias("near"))
+    return met.unionByName(alone)
+
+
+def _no_neighbors(distinct: DataFrame) -> DataFrame:
+    itself = F.transform("ids", lambda i: F.struct(F.lit(0.0).alias("distance"), i.alias("id")))
+    return distinct.select(F.col("id").alias("qid"), itself.alias("near"))
+
+
 def _ordered(schema: T.StructType) -> T.StructType:
     """cell, reach, id, embedding, ids: the column order inside the tasks."""
     return T.StructType([schema[c] for c in ("cell", "reach", "id", "embedding", "ids")])

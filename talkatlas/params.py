@@ -23,7 +23,11 @@ class NamingParams:
 
 @dataclass(frozen=True)
 class HierarchyParams:
-    """How clusters are put under parents; neither option set means one parent."""
+    """How clusters are put under parents; neither option set means one parent.
+
+    ``linkage`` is how groups are merged, or ``divisive`` for a tree that is
+    split from the top, for many thousands of clusters and ``n_parents`` only.
+    """
 
     text_col: str = "request"
     cluster_col: str = "cluster_id"
@@ -33,8 +37,10 @@ class HierarchyParams:
     random_state: int = 42
 
     def __post_init__(self) -> None:
-        if self.linkage not in ("average", "single", "complete"):
+        if self.linkage not in ("average", "single", "complete", "divisive"):
             raise ValueError(f"unknown linkage: {self.linkage}")
+        if self.linkage == "divisive" and self.distance_threshold is not None:
+            raise ValueError("a divisive tree takes n_parents, no distance_threshold")
         if self.n_parents is not None and self.distance_threshold is not None:
             raise ValueError("set n_parents or distance_threshold, not both")
         if self.n_parents is not None and self.n_parents < 1:

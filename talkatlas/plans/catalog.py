@@ -27,6 +27,8 @@ from talkatlas.runtime import join_small, shared_dir, stored
 from talkatlas.sources import tables
 
 LLOYD_STEPS = 5
+# Enough for the SQL twin to spell out; the default of the fit is to go on until centroids rest.
+KMEANS_STEPS = 8
 THRESHOLD = 0.8
 COMPLETE_THRESHOLD = 0.95
 KNN = 10
@@ -266,30 +268,9 @@ def kmeans_lloyd(spark, sf_dir):
 
 
 def kmeans_fit(spark, sf_dir):
-    """A k-means run and what holds for any.
-
-    k, all rows labelled, labels in size order, and each row at the nearest of
-    the means of the clusters, but for the few that a last step would move.
-    """
+    """Labels of a whole k-means run, start points included."""
     rows = _vectors(spark, sf_dir).drop("cluster_id")
-    labels, k = cluster.fit_kmeans(rows, keep=("embedding",))
-    labels = stored(labels)
-    nearest = cluster.assign_nearest(
-        labels.withColumnRenamed("cluster_id", "label"), cluster.centroids(labels), keep=("label",)
-    )
-    moved = nearest.where(F.col("label") != F.col("cluster_id")).count()
-    sizes = cluster.cluster_sizes(labels)
-    by_label = F.transform(
-        F.array_sort(F.collect_list(F.struct("cluster_id", "count"))), lambda s: s["count"]
-    )
-    found = sizes.agg(F.sum("count").alias("n_rows"), by_label.alias("sizes"))
-    return found.select(
-        "n_rows",
-        (F.lit(moved) <= F.col("n_rows") * 0.01).alias("at_nearest"),
-        F.lit(k).alias("k"),
-        (F.size("sizes") <= k).alias("at_most_k"),
-        (F.col("sizes") == F.reverse(F.array_sort("sizes"))).alias("by_size"),
-    )
+    return cluster.fit_kmeans(rows, max_iter=KMEANS_STEPS, tol=0.0)[0]
 
 
 def sample_in_cluster(spark, sf_dir):
@@ -409,11 +390,44 @@ def hierarchy_complete(spark, sf_dir):
     return _children(hierarchy.group_clusters(cluster.centroids(_vectors(spark, sf_dir)), params))
 
 
+def hierarchy_divisive(spark, sf_dir):
+    """What holds for any tree that is split from the top.
+
+    Rows are their own clusters here, so that there are many of them.
+    """
+    points = _vectors(spark, sf_dir).select(F.col("id").cast("int").alias("cluster_id"), F.col("embedding").alias("centroid"))
+    groups = stored(hierarchy.group_clusters(points, HierarchyParams(n_parents=12, linkage="divisive")))
+    parents = groups.groupBy("parent_id").agg(F.count("*").alias("n"), F.min("cluster_id").alias("first"))
+    by_parent = F.array_sort(F.collect_list(F.struct("parent_id", "first")))
+    firsts = F.transform(by_parent, lambda p: p["first"])
+    return parents.agg(
+        F.sum("n").alias("n_clusters"),
+        F.count("*").alias("n_parents"),
+        (F.max("parent_id") + 1 == F.count("*")).alias("numbered"),
+        (firsts == F.array_sort(firsts)).alias("by_smallest_child"),
+    )
+
+
 def knn_cosine(spark, sf_dir):
     found = neighbors.nearest_neighbors(_vectors(spark, sf_dir), KNN)
     return found.withColumn("distance", _rounded("distance"))
 
 
+def knn_approximate(spark, sf_dir):
+    """How much of the exact lists the bucketed search finds, and whether distances are right."""
+    rows = _vectors(spark, sf_dir).select("id", "embedding")
+    exact = stored(neighbors.nearest_neighbors(rows, KNN))
+    found = stored(neighbors.approximate_neighbors(rows, KNN, tables=16))
+    both = exact.join(found.select("id", "neighbor_id", F.col("distance").alias("near")), ["id", "neighbor_id"], "left")
+    off = F.coalesce(F.max(F.abs(F.col("near") - F.col("distance"))), F.lit(0.0))
+    sums = both.agg(F.count("*").alias("n_exact"), F.count("near").alias("n_found"), off.alias("off"))
+    return sums.select(
+        "n_exact",
+        (F.col("n_found") >= 0.9 * F.col("n_exact")).alias("recall_90"),
+        (F.col("off") < 1e-9).alias("same_distance"),
+    )
+
+
 def projection_2d(spark, sf_dir):
     rows = _vectors(spark, sf_dir).select("id", "embedding")
     return project.project_and_merge(rows).select("id", _rounded("x").alias("x"), _rounded("y").alias("y"))
@@ -562,7 +576,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         hierarchy_threshold,
         hierarchy_average,
         hierarchy_complete,
+        hierarchy_divisive,
         knn_cosine,
+        knn_approximate,
         projection_2d,
         projection_bins,
         cluster_separation,

@@ -16,6 +16,7 @@ from talkatlas.plans.catalog import (
     KNN,
     LANGUAGES,
     DIM,
+    KMEANS_STEPS,
     LLOYD_STEPS,
     THRESHOLD,
 )
@@ -270,17 +271,10 @@ coords AS (
   SELECT id, cluster_id, list_dot_product(u, w1) AS x, list_dot_product(u, w2) AS y FROM units, signed)"""
 
 
-def _lloyd_steps() -> str:
-    """``s0`` to the last centroids, from ``e`` and ``parts``."""
-    steps = [
-        """
-s0 AS (
-  SELECT place AS cluster_id, v AS c
-  FROM (SELECT v, row_number() OVER (ORDER BY md5(id::VARCHAR), id) - 1 AS place FROM e)
-  WHERE place < (SELECT least(greatest(3, count(*) // 50), 40) FROM e))"""
-    ]
-    for i in range(LLOYD_STEPS):
-        steps.append(f"""
+def _moves(first: int, last: int) -> list[str]:
+    """Centroids ``s{first + 1}`` to ``s{last}`` from ``s{first}``, ``e`` and ``parts``."""
+    return [
+        f"""
 a{i} AS MATERIALIZED (
   SELECT e.id, arg_min(s.cluster_id, list_distance(e.v, s.c)) AS cluster_id FROM e, s{i} s GROUP BY e.id),
 m{i} AS (
@@ -289,8 +283,74 @@ m{i} AS (
 g{i} AS (SELECT cluster_id, max(n) AS n, list(m ORDER BY pos) AS c FROM m{i} GROUP BY cluster_id),
 s{i + 1} AS MATERIALIZED (
   SELECT s.cluster_id, coalesce(g.n, 0) AS n, coalesce(g.c, s.c) AS c
-  FROM s{i} s LEFT JOIN g{i} g USING (cluster_id))""")
-    return ", ".join(steps)
+  FROM s{i} s LEFT JOIN g{i} g USING (cluster_id))"""
+        for i in range(first, last)
+    ]
+
+
+def _lloyd_steps() -> str:
+    """``s0`` to the last centroids, from ``e`` and ``parts``."""
+    start = """
+s0 AS (
+  SELECT place AS cluster_id, v AS c
+  FROM (SELECT v, row_number() OVER (ORDER BY md5(id::VARCHAR), id) - 1 AS place FROM e)
+  WHERE place < (SELECT least(greatest(3, count(*) // 50), 40) FROM e))"""
+    return ", ".join([start, *_moves(0, LLOYD_STEPS)])
+
+
+def _draw(text: str) -> str:
+    return f"((('0x' || substr(md5({text}), 1, 8))::BIGINT + 0.5) / 4294967296.0)"
+
+
+def _kmeans(rounds: int = 5, seed: int = 42) -> str:
+    """Start points drawn in rounds and reduced by weight, Lloyd's steps, labels by size."""
+    drawn = [
+        f"""
+size_ AS (SELECT least(greatest(3, count(*) // 50), 40) AS k FROM e),
+d0 AS MATERIALIZED (SELECT 0 AS turn, 0.0::DOUBLE AS key, id, v FROM e ORDER BY {_draw(f"'{seed}:0:' || id")}, id LIMIT 1)"""
+    ]
+    for i in range(1, rounds + 1):
+        drawn.append(f"""
+f{i} AS (
+  SELECT e.id, any_value(e.v) AS v, min(list_distance(e.v, d.v)) AS gap FROM e, d{i - 1} d GROUP BY e.id),
+d{i} AS MATERIALIZED (
+  SELECT * FROM d{i - 1} UNION ALL
+  SELECT * FROM (
+    SELECT {i}, -ln({_draw(f"'{seed}:{i}:' || id")}) / gap / gap AS key, id, v FROM f{i}
+    WHERE gap > 0 ORDER BY key, id LIMIT (SELECT 2 * k FROM size_)))""")
+    return f"""WITH RECURSIVE {VECTORS}, {", ".join(drawn)},
+numbered AS MATERIALIZED (SELECT row_number() OVER (ORDER BY turn, key, id) AS place, v FROM d{rounds}),
+nearest AS (
+  SELECT e.id, min(struct_pack(gap := list_distance(e.v, n.v), place := n.place)).place AS place
+  FROM e, numbered n GROUP BY e.id),
+weights AS (
+  SELECT place, v, (SELECT count(*) FROM nearest WHERE nearest.place = n.place)::DOUBLE AS w FROM numbered n),
+grid AS (
+  SELECT a.place, list(list_distance(a.v, b.v) * list_distance(a.v, b.v) ORDER BY b.place) AS gaps
+  FROM weights a, weights b GROUP BY a.place),
+packed AS MATERIALIZED (
+  SELECT (SELECT list(w ORDER BY place) FROM weights) AS w, (SELECT list(gaps ORDER BY place) FROM grid) AS gaps,
+         (SELECT k FROM size_) AS k),
+picks AS (
+  SELECT 0 AS step, []::BIGINT[] AS chosen, w AS score FROM packed
+  UNION ALL
+  SELECT step + 1, list_append(chosen, pick), list_transform(range(1, len(w) + 1),
+    lambda i: w[i] * list_min(list_transform(list_append(chosen, pick), lambda c: gaps[c][i])))
+  FROM (
+    SELECT step, chosen, score, w, gaps, 1 + len(list_filter(
+      list_transform(range(1, len(score) + 1), lambda i: list_sum(score[1:i])),
+      lambda x: x <= list_sum(score) * {_draw(f"'{seed}:pick:' || step")})) AS pick
+    FROM picks, packed WHERE step < k AND list_sum(score) > 0)),
+s0 AS MATERIALIZED (
+  SELECT p - 1 AS cluster_id, v AS c FROM (
+    SELECT unnest(chosen) AS place, unnest(range(1, len(chosen) + 1)) AS p FROM picks ORDER BY step DESC LIMIT (SELECT k FROM size_))
+  JOIN numbered USING (place)), {", ".join(_moves(0, KMEANS_STEPS))},
+ended AS (
+  SELECT e.id, arg_min(s.cluster_id, list_distance(e.v, s.c)) AS cluster_id FROM e, s{KMEANS_STEPS} s GROUP BY e.id),
+ordered AS (
+  SELECT cluster_id, row_number() OVER (ORDER BY size DESC, c) - 1 AS number
+  FROM (SELECT cluster_id, count(*) AS size FROM ended GROUP BY 1) JOIN s{KMEANS_STEPS} USING (cluster_id))
+SELECT id, number::INTEGER AS cluster_id FROM ended JOIN ordered USING (cluster_id)"""
 
 
 def _lloyd() -> str:
@@ -423,9 +483,7 @@ def oracle_sql() -> dict[str, str]:
               round(min(list_distance(v, c)), 6) AS distance
             FROM e, cent GROUP BY id""",
         "kmeans_lloyd": _lloyd(),
-        "kmeans_fit": """
-            SELECT count(*) AS n_rows, least(greatest(3, count(*) // 50), 40)::INTEGER AS k,
-              true AS at_most_k, true AS by_size, true AS at_nearest FROM embeddings""",
+        "kmeans_fit": _kmeans(),
         "sample_in_cluster": f"""WITH {_examples(50, 50, 42)}
             SELECT cluster_id, id, rank::INTEGER AS rank FROM inside""",
         "nearest_out_cluster": f"""WITH {_examples(50, 50, 42)}
@@ -478,10 +536,16 @@ def oracle_sql() -> dict[str, str]:
         "hierarchy_threshold": HIERARCHY_COMPONENTS,
         "hierarchy_average": _agglomerated("avg", "s < len(labels) - 3"),
         "hierarchy_complete": _agglomerated("max", f"min(gap) < {COMPLETE_THRESHOLD}"),
+        "hierarchy_divisive": """
+            SELECT count(*) AS n_clusters, least(12, count(*))::BIGINT AS n_parents, true AS numbered, true AS by_smallest_child
+            FROM embeddings""",
         "knn_cosine": f"""WITH {VECTORS}
             SELECT a.id, b.id AS neighbor_id, round(list_cosine_distance(a.v, b.v), 6) AS distance,
               (row_number() OVER (PARTITION BY a.id ORDER BY list_cosine_distance(a.v, b.v), b.id))::INTEGER AS rank
             FROM e a JOIN e b ON a.id <> b.id QUALIFY rank <= {KNN}""",
+        "knn_approximate": f"""
+            SELECT (count(*) * least({KNN}, count(*) - 1))::BIGINT AS n_exact, true AS recall_90, true AS same_distance
+            FROM embeddings""",
         "projection_2d": f"""WITH RECURSIVE {PROJECTION}
             SELECT id, round(x, 6) + 0.0 AS x, round(y, 6) + 0.0 AS y FROM coords""",
         "projection_bins": f"""WITH RECURSIVE {PROJECTION}

@@ -64,6 +64,63 @@ def test_groups_agree_with_merging_one_by_one(spark, linkage, options):
     assert sorted(groups) == list(range(len(groups)))
 
 
+def grouped(spark, points, **options):
+    rows = hierarchy.group_clusters(point_table(spark, points), HierarchyParams(**options)).collect()
+    groups = {}
+    for row in rows:
+        groups.setdefault(row["parent_id"], []).append(row["cluster_id"])
+    return [sorted(groups[p]) for p in sorted(groups)]
+
+
+def test_complete_linkage_of_larger_groups(spark, monkeypatch):
+    monkeypatch.setattr(hierarchy, "GROUP_BLOCK", 13)
+    draw = np.random.default_rng(7)
+    # Groups of more members than bound them, some of them spread out, with copies and zero vectors.
+    centre = draw.normal(size=(6, 5)) * 3
+    points = centre[draw.integers(6, size=60)] + draw.normal(size=(60, 5)) * draw.choice([0.1, 1.0], size=(60, 1))
+    points[50:55] = points[50]
+    points[[7, 8]] = 0
+    gaps = cosine_gaps(points).round(12).clip(0, 2)
+    assert grouped(spark, points, linkage="complete", n_parents=4) == merged_one_by_one(gaps, "complete", 4)
+
+
+def test_bounds_hold(spark):
+    points = np.random.default_rng(9).normal(size=(40, 3))
+    points[5] = 0
+    units = [p / np.linalg.norm(p) if p.any() else p for p in points]
+    state = spark.createDataFrame([(i % 7, u.tolist(), 0.5) for i, u in enumerate(np.array(units))], "label INT, total ARRAY<DOUBLE>, height DOUBLE")
+    table = hierarchy._summaries(state).toArrow().combine_chunks().to_batches()[0]
+    bounds = hierarchy._Bounds.of(table)
+    least, most = bounds.against(bounds)
+    gaps = cosine_gaps(points)
+    for i, a in enumerate(bounds.labels):
+        for j, b in enumerate(bounds.labels):
+            true = gaps[np.ix_(np.arange(40) % 7 == a, np.arange(40) % 7 == b)].max()
+            assert a == b or least[i, j] <= true <= most[i, j]
+
+
+def test_divisive_tree_of_many_clusters(spark):
+    draw = np.random.default_rng(1)
+    # Directions that part in two, three times over.
+    centre = np.array([[4 * a, 2 * b, c, 0] for a in (1, -1) for b in (1, -1) for c in (1, -1)])
+    label = draw.integers(8, size=20_000)
+    points = centre[label] + draw.normal(size=(20_000, 4)) * 0.1
+    points[17] = 0
+    found = grouped(spark, points, linkage="divisive", n_parents=8)
+    assert sorted(map(len, found)) and sum(map(len, found)) == 20_000 and len(found) == 8
+    # Every true group is whole, but for the zero vector.
+    assert {frozenset(g) - {17} for g in found} == {frozenset(np.flatnonzero(label == c).tolist()) - {17} for c in range(8)}
+    assert 17 in found[0] and found[0][0] == 0
+
+
+def test_divisive_tree_of_few_clusters(spark):
+    assert grouped(spark, np.eye(3), linkage="divisive", n_parents=1) == [[0, 1, 2]]
+    assert grouped(spark, np.zeros((2, 3)), linkage="divisive", n_parents=2) == [[0, 1]]
+    assert grouped(spark, np.eye(2), linkage="divisive", n_parents=9) == [[0], [1]]
+    with pytest.raises(ValueError, match="divisive"):
+        HierarchyParams(linkage="divisive", distance_threshold=0.5)
+
+
 def test_edges_of_grouping(spark):
     points = point_table(spark, np.eye(4))
     assert {r["parent_id"] for r in hierarchy.group_clusters(points).collect()} == {0}

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from test_cluster import vector_table
 
 from talkatlas.operators import neighbors
-from talkatlas.operators.neighbors import nearest_neighbors
+from talkatlas.operators.neighbors import approximate_neighbors, nearest_neighbors, recall
 
 
 def brute_force(values, k, metric):
@@ -56,3 +56,38 @@ def test_fewer_rows_than_neighbours(spark):
         ("r0", "r2"), ("r0", "r1"), ("r1", "r2"), ("r1", "r0"), ("r2", "r0"), ("r2", "r1")
     ]
     assert nearest_neighbors(df.where("false"), 3).count() == 0
+
+
+@pytest.mark.parametrize("block_rows", [2048, 9])
+def test_approximate_neighbours_of_dense_groups(spark, block_rows, monkeypatch):
+    monkeypatch.setattr(neighbors, "MIN_HOT_COPIES", 10)
+    values = clumped()
+    df = vector_table(spark, values).drop("cluster_id")
+    found = approximate_neighbors(df, 4, tables=8, bucket_length=0.5, block_rows=block_rows).cache()
+    exact = nearest_neighbors(df, 4).cache()
+    assert recall(found, exact).first()["recall"] >= 0.9
+    # What is found has its true distance; copies and zero vectors are as in the exact search.
+    gaps = {i: dict(brute_force(values, 239, "cosine")[i]) for i in (0, 5, 70)}
+    for row in found.where(F.col("id").isin(0, 5, 70)).collect():
+        assert row["distance"] == pytest.approx(gaps[row["id"]][row["neighbor_id"]], abs=1e-6)
+    copies = (F.col("id") == 70) | (F.col("id") == 5)
+    assert sorted(map(tuple, found.where(copies).collect())) == sorted(map(tuple, exact.where(copies).collect()))
+
+
+def test_one_wide_bucket_is_exact(spark):
+    values = clumped()
+    df = vector_table(spark, values).drop("cluster_id")
+    found = approximate_neighbors(df, 5, "euclidean", tables=1, projections=1, bucket_length=1e6, block_rows=50)
+    exact = nearest_neighbors(df, 5, "euclidean")
+    rounded = lambda rows: sorted((r["id"], r["rank"], r["neighbor_id"], round(r["distance"], 9)) for r in rows.collect())
+    # A bucket border at zero may still part the rows, but not for all of them.
+    assert recall(found, exact).first()["recall"] >= 0.5
+    assert len(rounded(found)) <= len(rounded(exact))
+
+
+def test_approximate_neighbours_of_few_rows(spark):
+    df = vector_table(spark, np.array([[1, 0], [0, 1], [0, 0]], dtype=np.float32)).drop("cluster_id")
+    rows = approximate_neighbors(df, 3, bucket_length=1e-6).orderBy("id", "rank").collect()
+    # The first two never meet; a zero vector is at distance 1 from everything.
+    assert [tuple(r) for r in rows] == [(0, 2, 1.0, 1), (1, 2, 1.0, 1), (2, 0, 1.0, 1), (2, 1, 1.0, 2)]
+    assert approximate_neighbors(df.where("false"), 3).count() == 0
