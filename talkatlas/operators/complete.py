@@ -6,12 +6,16 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from talkatlas.checks import require_columns
+from talkatlas.runtime import join_small, salt_count, stored
 
 Completer = Callable[[str], str]
+ANSWERS = "key STRING, raw STRING, error STRING"
 
 
 def complete(
@@ -31,7 +35,8 @@ def complete(
     several prompts per row need no shuffle.
 
     ``max_tasks`` bounds the tasks that call at the same time.  The answers are
-    costly and a retried task asks again: write the result before reusing it.
+    costly and a retried task asks again: write the result before reusing it,
+    or use ``complete_logged``.
     """
     require_columns(df, prompt_col)
     many = isinstance(df.schema[prompt_col].dataType, T.ArrayType)
@@ -72,3 +77,58 @@ def complete(
     if max_tasks is not None:
         df = df.repartition(max_tasks)
     return df.mapInArrow(ask_all, schema)
+
+
+def read_answers(spark: SparkSession, log_path: str) -> DataFrame:
+    """The answer log: ``key`` (a hash of the prompt), ``raw`` and ``error``; empty if there is none yet."""
+    try:
+        return spark.read.schema(ANSWERS).parquet(log_path)
+    except AnalysisException:
+        return spark.createDataFrame([], ANSWERS)
+
+
+def complete_logged(
+    df: DataFrame,
+    prompt_col: str,
+    completer_factory: Callable[[], Completer],
+    log_path: str,
+    max_tasks: int | None = None,
+    calls_in_flight: int = 1,
+    slice_prompts: int = 64,
+) -> DataFrame:
+    """``complete`` for one prompt per row, with answers kept in a log across runs.
+
+    Prompts are asked in slices, ``slice_prompts`` for each task at a time, and
+    a slice is appended to the log at ``log_path`` before the next begins.  A
+    run that fails can be started again: what the log answers is not asked
+    again, so a lost task costs its part of one slice at most.  Equal prompts
+    are asked once and share the answer.  Calls that raised are asked again in
+    the next run.  A null prompt is not asked.
+
+    ``log_path`` has to be storage that all executors share, and one run at a
+    time may write to it.
+    """
+    require_columns(df, prompt_col)
+    if isinstance(df.schema[prompt_col].dataType, T.ArrayType):
+        raise ValueError("a logged completion takes one prompt per row")
+    spark = df.sparkSession
+    key = F.sha2(F.col(prompt_col), 256)
+    asked = df.where(F.col(prompt_col).isNotNull()).select(key.alias("key"), F.col(prompt_col).alias("prompt"))
+    known = read_answers(spark, log_path).where("error IS NULL").select("key").distinct()
+    pending = stored(asked.dropDuplicates(["key"]).join(known, "key", "left_anti"))
+    tasks = max_tasks or spark.sparkContext.defaultParallelism
+    waves = -(-pending.count() // (tasks * slice_prompts))
+    if waves:
+        # Sorted by wave, so that each wave reads its own rows only.
+        wave = F.pmod(F.xxhash64("key"), F.lit(waves))
+        parts = min(waves, salt_count(spark))
+        dealt = stored(pending.withColumn("wave", wave).repartitionByRange(parts, "wave").sortWithinPartitions("wave"))
+        for i in range(waves):
+            part = dealt.where(F.col("wave") == i).select("key", "prompt")
+            complete(part, "prompt", completer_factory, tasks, calls_in_flight).write.mode("append").parquet(log_path)
+    # An answer is preferred to an error of an earlier run.
+    best = F.min(F.struct(F.col("error").isNotNull().alias("failed"), "raw", "error")).alias("best")
+    answers = read_answers(spark, log_path).groupBy("key").agg(best).select(F.col("key").alias("_key"), "best.raw", "best.error")
+    answers = stored(answers.join(asked.select(F.col("key").alias("_key")).distinct(), "_key", "left_semi"))
+    found = join_small(df.withColumn("_key", key), answers, "_key")
+    return found.select(*(c for c in df.columns if c != prompt_col), "raw", "error")

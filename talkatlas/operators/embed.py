@@ -9,6 +9,8 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.feature import IDF, CountVectorizerModel, Normalizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,3 +99,31 @@ def embed(
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text")
     texts = df.select(id_col, text, *keep)
     return texts.mapInArrow(encode_all, schema)
+
+
+def fit_idf_encoder(df: DataFrame, dim: int = 64, text_col: str = "request") -> Callable[[DataFrame], DataFrame]:
+    """Fit an encoder that weighs tokens by how few rows hold them; no Python worker is used.
+
+    Tokens fall into the buckets of ``hashing_encoder``.  A bucket's count is
+    multiplied by ``ln((rows + 1) / (rows with it + 1))`` over ``df``, and the
+    vector is scaled to length one.  The result adds ``embedding`` to any table
+    with ``text_col``; a missing text counts as empty and gives the zero vector.
+    """
+    require_columns(df, text_col)
+    counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(dim)], inputCol="_buckets", outputCol="_counts")
+
+    def counted(rows: DataFrame) -> DataFrame:
+        text = F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+        tokens = F.regexp_extract_all(text, F.lit("([a-z0-9]+)"), F.lit(1))
+        number = lambda t: F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("long")
+        buckets = F.transform(tokens, lambda t: F.pmod(number(t), F.lit(dim)).cast("string"))
+        return counter.transform(rows.withColumn("_buckets", buckets))
+
+    model = IDF(inputCol="_counts", outputCol="_weighed").fit(counted(df.select(text_col)))
+    scale = Normalizer(p=2.0, inputCol="_weighed", outputCol="_unit")
+
+    def encode(rows: DataFrame) -> DataFrame:
+        encoded = scale.transform(model.transform(counted(rows)))
+        return encoded.withColumn("embedding", vector_to_array("_unit", "float32")).drop("_buckets", "_counts", "_weighed", "_unit")
+
+    return encode

@@ -9,7 +9,6 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,8 +17,11 @@ from talkatlas.checks import require_columns
 from talkatlas.functions import vectors
 from talkatlas.operators.cluster import centroid_blocks, centroids, labelled
 from talkatlas.params import NamingParams
-from talkatlas.runtime import stored, is_small, top_n_per_group
+from talkatlas.runtime import is_small, stored, top_n_per_group, with_last
 
+# Blocks of centroids that one scan takes along, and rows that are compared with a block at once.
+BLOCKS_PER_SCAN = 16
+SLICE_ROWS = 1024
 # Picked rows hold an id and three small fields: this many are safe to broadcast.
 MAX_PICKS = 200_000
 
@@ -67,7 +69,8 @@ def _extreme_rows(df, points, n, cluster_col, id_col, vector_col, outside: bool)
     """Top rows per centroid by distance, cut in the tasks before the shuffle.
 
     A task keeps ``n`` rows per centroid while it reads its batches, so the
-    pairs of rows and centroids exist only as a matrix product inside a batch.
+    pairs of rows and centroids exist only as a matrix product inside a slice.
+    All blocks of centroids pass in one scan, unless there are very many.
     """
     require_columns(df, cluster_col, id_col, vector_col)
     require_columns(points, "cluster_id", "centroid")
@@ -80,56 +83,81 @@ def _extreme_rows(df, points, n, cluster_col, id_col, vector_col, outside: bool)
             T.StructField("distance", T.DoubleType()),
         ]
     )
-    parts = []
-    for ids, matrix in centroid_blocks(points):
-        shared = df.sparkSession.sparkContext.broadcast((ids, matrix))
-        parts.append(rows.mapInArrow(_keep_extremes(shared, n, outside), schema))
-    found = parts[0] if parts else df.sparkSession.createDataFrame([], schema)
-    for part in parts[1:]:
-        found = found.unionAll(part)
+    spark, found, held = df.sparkSession, None, []
+    for block, last in with_last(centroid_blocks(points)):
+        held.append(spark.sparkContext.broadcast(block))
+        if last or len(held) == BLOCKS_PER_SCAN:
+            part = rows.mapInArrow(_keep_extremes(held, n, outside), schema)
+            found, held = part if found is None else found.unionAll(part), []
+    if found is None:
+        found = spark.createDataFrame([], schema)
     distance = F.asc("distance") if outside else F.desc("distance")
     return top_n_per_group(found, "cluster_id", [distance, F.asc("id")], n)
 
 
-def _keep_extremes(shared, n: int, outside: bool):
-    sort_keys = [("distance", "ascending" if outside else "descending"), ("id", "ascending")]
-    sign = 1.0 if outside else -1.0
-
+class _Extremes:
+    """The best rows so far of each centroid of one block."""
+
+    def __init__(self, ids: np.ndarray, points: np.ndarray, n: int, outside: bool) -> None:
+        self.ids, self.points, self.n, self.outside = ids, points, n, outside
+        self.sign = 1.0 if outside else -1.0
+        # The squared distance of the worst kept row, once there are enough.
+        self.bound = np.full(len(ids), np.inf)
+        self.kept: list[pa.Table] = []
+        self.waiting = 0
+
+    def add(self, own: np.ndarray, names: pa.Array, rows: np.ndarray) -> None:
+        sq, slack = vectors.squared_screen(rows, self.points)
+        allowed = (own[:, None] != self.ids) if self.outside else (own[:, None] == self.ids)
+        score = np.where(allowed, self.sign * sq, np.inf)
+        limit = self.bound
+        if len(rows) > self.n:
+            # Only the best rows of a slice can stay.
+            limit = np.minimum(limit, np.partition(score, self.n - 1, axis=0)[self.n - 1])
+        row, place = np.nonzero(allowed & (score <= limit + 2 * slack.max()))
+        for start in range(0, len(row), vectors.PAIR_SLICE):
+            r, c = row[start : start + vectors.PAIR_SLICE], place[start : start + vectors.PAIR_SLICE]
+            gap = vectors.exact_distance(rows[r], self.points[c])
+            self.kept.append(pa.table({"place": c, "id": names.take(pa.array(r)), "distance": gap}))
+        self.waiting += len(row)
+        if self.waiting > self.n * len(self.ids) // 2:
+            self._cut()
+
+    def _cut(self) -> None:
+        """Keep the first rows of each centroid, and tighten its bound."""
+        if not self.kept:
+            return
+        order = [("place", "ascending"), ("distance", "ascending" if self.outside else "descending"), ("id", "ascending")]
+        table = pa.concat_tables(self.kept).sort_by(order)
+        place = table["place"].to_numpy()
+        rank = np.arange(len(place)) - np.searchsorted(place, place)
+        table = table.filter(pa.array(rank < self.n))
+        full = np.flatnonzero(rank == self.n - 1)
+        gap = table["distance"].to_numpy()[np.cumsum(rank < self.n)[full] - 1]
+        self.bound[place[full]] = self.sign * gap**2
+        self.kept, self.waiting = [table], 0
+
+    def found(self) -> list[pa.RecordBatch]:
+        self._cut()
+        if not self.kept:
+            return []
+        table = self.kept[0]
+        labels = pa.array(self.ids[table["place"].to_numpy()], pa.int32())
+        return table.select(["id", "distance"]).add_column(0, "cluster_id", labels).combine_chunks().to_batches()
+
+
+def _keep_extremes(shared: list, n: int, outside: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cluster_ids, points = shared.value
-        kept: list[pa.Table | None] = [None] * len(cluster_ids)
-        bound = np.full(len(cluster_ids), np.inf)
+        blocks = [_Extremes(*block.value, n, outside) for block in shared]
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            own = batch.column(0).to_numpy(zero_copy_only=False)
-            rows = vectors.matrix(batch.column(2))
-            sq, slack = vectors.squared_screen(rows, points)
-            for c, cluster in enumerate(cluster_ids):
-                allowed = own != cluster if outside else own == cluster
-                score = np.where(allowed, sign * sq[:, c], np.inf)
-                limit = bound[c]
-                if len(score) > n:
-                    limit = min(limit, np.partition(score, n - 1)[n - 1])
-                picked = np.flatnonzero(allowed & (score <= limit + 2 * slack.max()))
-                if not len(picked):
-                    continue
-                fresh = pa.table(
-                    {
-                        "id": batch.column(1).take(pa.array(picked)),
-                        "distance": vectors.exact_distance(rows[picked], points[c]),
-                    }
-                )
-                old = kept[c]
-                merged = fresh if old is None else pa.concat_tables([old, fresh])
-                kept[c] = vectors.first_k(merged, n, sort_keys)
-                if kept[c].num_rows == n:
-                    worst = sign * pc.max(pc.multiply(kept[c]["distance"], sign)).as_py()
-                    bound[c] = sign * worst**2
-        for cluster, table in zip(cluster_ids.tolist(), kept, strict=True):
-            if table is not None:
-                column = pa.array(np.full(table.num_rows, cluster, dtype=np.int32))
-                yield from table.add_column(0, "cluster_id", column).combine_chunks().to_batches()
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                own = part.column(0).to_numpy(zero_copy_only=False)
+                rows = vectors.matrix(part.column(2))
+                for block in blocks:
+                    block.add(own, part.column(1), rows)
+        for block in blocks:
+            yield from block.found()
 
     return run
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from talkatlas.checks import require_columns
 from talkatlas.functions import text
-from talkatlas.operators.complete import Completer, complete
+from talkatlas.operators.complete import Completer, complete, complete_logged
 
 
 @dataclass(frozen=True)
@@ -118,11 +118,19 @@ def extract_facets(
     max_tasks: int | None = None,
     calls_in_flight: int = 1,
     keep_error: bool = False,
+    log_path: str | None = None,
 ) -> DataFrame:
-    """``(id, request, language, task, concerning)`` with one call per row."""
+    """``(id, request, language, task, concerning)`` with one call per row.
+
+    With ``log_path`` the answers are kept there, and a run that is started
+    again goes on where the one before ended.
+    """
     require_columns(df, "id", "conversation_xml")
     prompts = df.select("id", batched_prompt(F.col("conversation_xml")).alias("prompt"))
-    answers = complete(prompts, "prompt", completer_factory, max_tasks, calls_in_flight)
+    if log_path is None:
+        answers = complete(prompts, "prompt", completer_factory, max_tasks, calls_in_flight)
+    else:
+        answers = complete_logged(prompts, "prompt", completer_factory, log_path, max_tasks, calls_in_flight)
     errors = ["error"] if keep_error else []
     return answers.select("id", *parse_facets(F.col("raw")), *errors)
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import asdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.ml.feature import PCA, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -19,7 +19,7 @@ from talkatlas.checks import require_columns
 from talkatlas.functions import vectors
 from talkatlas.operators.cluster import labelled
 from talkatlas.params import ProjectionParams
-from talkatlas.runtime import row_blocks, with_last
+from talkatlas.runtime import path_exists, publish, row_blocks, with_last
 
 
 def fit_projection(
@@ -114,8 +114,9 @@ def cached_projection(
 ) -> DataFrame:
     """``project``, stored under ``cache_dir`` and read back while nothing changed.
 
-    An entry belongs to one set of parameters and one input content.  Its
-    parameter record is written last, so an unfinished entry is not used.
+    An entry belongs to one set of parameters and one input content.  It is
+    written beside its place and moved there whole, so no reader sees an
+    unfinished one; of several writers one wins, and the others use its entry.
     """
     spark = df.sparkSession
     seen = input_digest(df, id_col, vector_col).first()
@@ -124,13 +125,13 @@ def cached_projection(
         record = record.withColumn(name, F.lit(value).cast("string"))
     everything = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
     key = record.select(F.sha2(everything, 256)).first()[0]
-    data, meta = f"{cache_dir}/{key}/coords", f"{cache_dir}/{key}/params"
-    try:
-        spark.read.json(meta)
-    except AnalysisException:
-        project(df, params, id_col, vector_col).write.mode("overwrite").parquet(data)
-        record.write.mode("overwrite").json(meta)
-    return spark.read.parquet(data)
+    entry = f"{cache_dir}/{key}"
+    if not path_exists(spark, entry):
+        own = f"{cache_dir}/.writing-{uuid.uuid4().hex}"
+        project(df, params, id_col, vector_col).write.parquet(f"{own}/coords")
+        record.write.json(f"{own}/params")
+        publish(spark, own, entry)
+    return spark.read.parquet(f"{entry}/coords")
 
 
 def projection_bins(

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkatlas.checks import alignment_report
+from talkatlas.checks import alignment_report, require_columns
 from talkatlas.functions import text, vectors
 from talkatlas.operators import (
     cluster,
@@ -134,8 +134,10 @@ def decode_bad_input(spark, sf_dir):
         F.base64(F.concat(payload, F.lit("]")).cast("binary")),
         F.base64(F.concat(payload, F.lit("}] junk")).cast("binary")),
     ]
-    kind = F.col("doc_id") % len(kinds)
-    encoded = F.element_at(F.array(*kinds), (kind + 1).cast("int"))
+    # One branch is worked out per row, not all of them.
+    encoded = F.when(F.col("doc_id") % len(kinds) == 0, kinds[0])
+    for i, damaged in enumerate(kinds[1:], 1):
+        encoded = encoded.when(F.col("doc_id") % len(kinds) == i, damaged)
     decoded = text.decode_turns(encoded)
     return _table(spark, sf_dir, "documents").select(
         "doc_id", F.size(decoded).alias("n"), F.get(decoded, F.lit(0))["text"].alias("text")
@@ -161,7 +163,7 @@ def facets_sequential(spark, sf_dir):
 def raw_csv_roundtrip(spark, sf_dir):
     """Raw records written as CSV, read back and decoded."""
     path = f"{shared_dir(spark)}/raw-{uuid.uuid4().hex}"
-    tables.write_csv(raw_conversations(spark, sf_dir), path, one_line=True)
+    tables.write_csv(raw_conversations(spark, sf_dir), path)
     decoded = prepare.add_turns(tables.read_raw_conversations(spark, path, one_line=True))
     return decoded.select("id", "created_dttm", "title", "tags", F.size("turns").alias("n_turns"))
 
@@ -352,6 +354,43 @@ def named_rows_csv_roundtrip(spark, sf_dir):
     return tables.read_named_rows_csv(spark, path).select("id", "cluster_id", "summary", "name")
 
 
+def audit_files(spark, sf_dir):
+    """Prompts and answers as text files, found again by their names."""
+    path = f"{shared_dir(spark)}/audit-{uuid.uuid4().hex}"
+    tables.write_audit_texts(_named(spark, sf_dir), path)
+    found = spark.read.text(path, wholetext=True)
+    return found.select(F.col("_metadata.file_name").alias("file"), F.md5("value").alias("hash"))
+
+
+def facets_logged(spark, sf_dir):
+    """Half of the prompts are answered in a first run, the rest in a second."""
+    log = f"{shared_dir(spark)}/answers-{uuid.uuid4().hex}"
+    docs = _documents_xml(spark, sf_dir)
+    facets.extract_facets(docs.where(F.col("id").cast("long") % 2 == 0), stub_facet_completer, log_path=log)
+    return facets.extract_facets(docs, stub_facet_completer, log_path=log)
+
+
+def idf_embed(spark, sf_dir):
+    rows = _texts(spark, sf_dir)
+    embedded = embed.fit_idf_encoder(rows, DIM)(rows)
+    parts = embedded.select("id", F.posexplode("embedding").alias("bucket", "w")).where("w <> 0")
+    return parts.select("id", "bucket", F.round(F.col("w").cast("double"), 6).alias("w"))
+
+
+def required_columns(spark, sf_dir):
+    """What the column check says of tables that lack some."""
+    found = None
+    for name, asked in (("documents", ("doc_id", "request", "embedding")), ("embeddings", ("vec_id", "label"))):
+        table, message = _table(spark, sf_dir, name), ""
+        try:
+            require_columns(table, *asked)
+        except ValueError as lacking:
+            message = str(lacking)
+        row = table.agg(F.lit(name).alias("source"), F.count("*").alias("n"), F.lit(message).alias("message"))
+        found = row if found is None else found.unionByName(row)
+    return found
+
+
 def alignment_check(spark, sf_dir):
     return alignment_report(_vectors(spark, sf_dir), _texts(spark, sf_dir))
 
@@ -445,8 +484,8 @@ def cluster_separation(spark, sf_dir):
 
 def xml_csv_roundtrip(spark, sf_dir):
     path = f"{shared_dir(spark)}/xml-{uuid.uuid4().hex}"
-    tables.write_csv(_documents_xml(spark, sf_dir), path, one_line=True)
-    return tables.read_conversation_xml_csv(spark, path, one_line=True)
+    tables.write_csv(_documents_xml(spark, sf_dir), path)
+    return tables.read_conversation_xml_csv(spark, path)
 
 
 def facets_csv_roundtrip(spark, sf_dir):
@@ -567,6 +606,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         cluster_prompt,
         cluster_names,
         naming_audit,
+        audit_files,
+        facets_logged,
+        idf_embed,
+        required_columns,
         named_rows,
         named_rows_csv_roundtrip,
         alignment_check,

@@ -14,6 +14,7 @@ from talkatlas.runtime import scratch
 from talkatlas.sources.tables import (
     write_audit_texts,
     write_cluster_names,
+    write_csv,
     write_hierarchy,
     write_table,
 )
@@ -37,6 +38,8 @@ def analyse(
 
     Each stage that is costly or cannot be repeated is written below
     ``out_dir`` and read back, so no later step and no retry computes it again.
+    Facet answers are logged as they come in: a run that failed can be started
+    again with the same ``out_dir`` and asks only for the rest.
     ``out_dir`` has to be storage that all executors share.  Columns travel with
     the rows from stage to stage, so no join by id puts them back.  Tables that
     the stages store for themselves are deleted at the end.
@@ -75,7 +78,9 @@ def _stages(
     p = naming_params or NamingParams()
     documents = prepare.conversation_documents(raw, title_col)
     found = write_table(
-        facets.extract_facets(documents, completer_factory, max_tasks, calls_in_flight, keep_error=True),
+        facets.extract_facets(
+            documents, completer_factory, max_tasks, calls_in_flight, keep_error=True, log_path=f"{out_dir}/facet_answers"
+        ),
         f"{out_dir}/facets",
     )
     found = found.drop("error")
@@ -101,4 +106,6 @@ def _stages(
     near = neighbors.nearest_neighbors(rows, projection_params.n_neighbors, projection_params.metric)
     write_table(near, f"{out_dir}/neighbors")
     projected = project.project_and_merge(rows, projection_params).drop("embedding")
-    return write_table(naming.attach_names(projected, named, bound=used_k), f"{out_dir}/named_rows")
+    finished = write_table(naming.attach_names(projected, named, bound=used_k), f"{out_dir}/named_rows")
+    write_csv(finished, f"{out_dir}/named_rows_csv")
+    return finished

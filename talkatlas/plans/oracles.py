@@ -467,6 +467,21 @@ def oracle_sql() -> dict[str, str]:
               FROM words GROUP BY ALL)
             SELECT id, bucket, round((c / sqrt(sum(c * c) OVER (PARTITION BY id)::DOUBLE))::FLOAT::DOUBLE, 6) AS w
             FROM counts""",
+        "idf_embed": f"""
+            WITH words AS (
+              SELECT doc_id AS id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS t FROM documents),
+            counts AS (
+              SELECT id, (('0x' || substr(md5(t), 1, 8))::BIGINT % {DIM})::INTEGER AS bucket, count(*) AS c
+              FROM words GROUP BY ALL),
+            rarity AS (
+              SELECT bucket, ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)::DOUBLE) AS idf
+              FROM counts GROUP BY bucket),
+            weighed AS (SELECT id, bucket, c * idf AS w FROM counts JOIN rarity USING (bucket) WHERE idf <> 0)
+            SELECT id, bucket, round((w / sqrt(sum(w * w) OVER (PARTITION BY id)))::FLOAT::DOUBLE, 6) AS w FROM weighed""",
+        "required_columns": """
+            SELECT 'documents' AS source, count(*) AS n, 'missing columns: embedding, request' AS message FROM documents
+            UNION ALL SELECT 'embeddings', count(*), '' FROM embeddings""",
+        "facets_logged": f"WITH {FACETS} SELECT * FROM facets",
         "choose_k": """
             SELECT source, n, least(greatest(3, n // 50), 40)::INTEGER AS k FROM (
               SELECT 'conversations' AS source, count(*) AS n FROM conversations
@@ -514,6 +529,9 @@ def oracle_sql() -> dict[str, str]:
               printf('cluster_%03d_prompt.txt', cluster_id) AS prompt_path,
               printf('cluster_%03d_output.txt', cluster_id) AS output_path
             FROM named""",
+        "audit_files": f"""WITH {_naming()}
+            SELECT printf('cluster_%03d_prompt.txt', cluster_id) AS file, digest AS hash FROM named
+            UNION ALL SELECT printf('cluster_%03d_output.txt', cluster_id), md5(raw_output) FROM named""",
         "named_rows": _named_rows("id"),
         "named_rows_csv_roundtrip": _named_rows("id::VARCHAR AS id"),
         "alignment_check": """

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -59,10 +60,47 @@ def stored(df: DataFrame) -> DataFrame:
     return table
 
 
-def _delete(spark: SparkSession, name: str) -> None:
+def _located(spark: SparkSession, name: str):
+    """A path, and the file system that it is on."""
     context = spark.sparkContext
     path = context._jvm.org.apache.hadoop.fs.Path(name)
-    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    return path, path.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path, files = _located(spark, name)
+    files.delete(path, True)
+
+
+def path_exists(spark: SparkSession, name: str) -> bool:
+    path, files = _located(spark, name)
+    return files.exists(path)
+
+
+def qualified(spark: SparkSession, name: str) -> str:
+    """The path with the scheme of its file system."""
+    path, files = _located(spark, name)
+    return files.makeQualified(path).toUri().toString()
+
+
+def publish(spark: SparkSession, written: str, place: str) -> bool:
+    """Move a finished folder to its place in one step; delete it if another one is there.
+
+    Returns whether this folder was the one.
+    """
+    context = spark.sparkContext
+    jvm, (source, files), (target, _) = context._jvm, _located(spark, written), _located(spark, place)
+    options = context._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    folders = jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), context._jsc.hadoopConfiguration())
+    try:
+        # Unlike FileSystem.rename, this neither replaces a folder nor moves into it.
+        folders.rename(files.makeQualified(source), files.makeQualified(target), options)
+    except Py4JJavaError:
+        if not files.exists(target):
+            raise
+        files.delete(source, True)
+        return False
+    return True
 
 
 def discard(table: DataFrame) -> None:

@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 from talkatlas import schemas
 from talkatlas.checks import require_columns
 from talkatlas.operators.naming import audit_table
-from talkatlas.runtime import stored
+from talkatlas.runtime import qualified, stored
+from talkatlas.sources.text_files import TextFiles
 
 _CSV = {"header": "true", "quote": '"', "escape": '"'}
 # Texts keep their outer spaces; by default the writer trims them.
@@ -39,19 +40,19 @@ def _on_strings(df: DataFrame, pairs) -> DataFrame:
     return df.select(*columns)
 
 
-def read_csv(spark: SparkSession, path: str, schema: str, one_line: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: str, one_line: bool = True) -> DataFrame:
     """A CSV table with a header; an empty field is null.
 
-    A quoted text can hold line breaks, so a file cannot be split and is one
-    task.  With ``one_line`` the file is one that ``write_csv`` wrote that way:
-    every row is one line, and large files are read by many tasks.
+    ``write_csv`` puts every row on one line, so that large files are read by
+    many tasks.  In a file of another tool a quoted text can hold line breaks;
+    without ``one_line`` it is read as it is, and each file is one task.
     """
     reader = spark.read.schema(schema).options(**_CSV_READ, multiLine=str(not one_line).lower())
     rows = reader.csv(path)
     return _on_strings(rows, [(new, old) for old, new in reversed(_LINE_ESCAPES)]) if one_line else rows
 
 
-def write_csv(df: DataFrame, path: str, one_line: bool = False) -> None:
+def write_csv(df: DataFrame, path: str, one_line: bool = True) -> None:
     """CSV with a header; ``one_line`` writes line breaks as ``\\n`` and ``\\r``, backslashes as ``\\s``."""
     rows = _on_strings(df, _LINE_ESCAPES) if one_line else df
     rows.write.mode("overwrite").options(**_CSV_WRITE).csv(path)
@@ -73,15 +74,15 @@ def read_raw_conversations(spark: SparkSession, path: str, one_line: bool = Fals
     return read_csv(spark, path, schemas.RAW_CONVERSATIONS, one_line)
 
 
-def read_conversation_xml_csv(spark: SparkSession, path: str, one_line: bool = False) -> DataFrame:
+def read_conversation_xml_csv(spark: SparkSession, path: str, one_line: bool = True) -> DataFrame:
     return read_csv(spark, path, schemas.CONVERSATION_XML, one_line)
 
 
-def read_facets_csv(spark: SparkSession, path: str, one_line: bool = False) -> DataFrame:
+def read_facets_csv(spark: SparkSession, path: str, one_line: bool = True) -> DataFrame:
     return read_csv(spark, path, schemas.FACETS, one_line)
 
 
-def read_named_rows_csv(spark: SparkSession, path: str, one_line: bool = False) -> DataFrame:
+def read_named_rows_csv(spark: SparkSession, path: str, one_line: bool = True) -> DataFrame:
     return read_csv(spark, path, schemas.NAMED_ROWS, one_line)
 
 
@@ -107,7 +108,7 @@ def read_cluster_names_csv(spark: SparkSession, csv_path: str) -> DataFrame:
 
 
 def write_audit_texts(named: DataFrame, path: str) -> None:
-    """Prompt and answer of each cluster as text, one folder per file name."""
+    """Prompt and answer of each cluster, each as a text file of the agreed name."""
     audit = audit_table(named)
     files = audit.select(
         F.explode(
@@ -117,7 +118,9 @@ def write_audit_texts(named: DataFrame, path: str) -> None:
             )
         ).alias("f")
     ).select("f.file", "f.value")
-    files.write.mode("overwrite").partitionBy("file").text(path)
+    spark = named.sparkSession
+    spark.dataSource.register(TextFiles)
+    files.write.format("text_files").mode("append").save(qualified(spark, path))
 
 
 def write_hierarchy(document: DataFrame, path: str) -> None:

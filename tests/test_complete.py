@@ -1,9 +1,13 @@
+import os
+from collections import Counter
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from talkatlas.operators import facets
-from talkatlas.operators.complete import complete
-from talkatlas.operators.embed import embed, hashing_encoder
+from talkatlas.operators.complete import complete, complete_logged, read_answers
+from talkatlas.operators.embed import embed, fit_idf_encoder, hashing_encoder
 from talkatlas.plans.stubs import stub_facet_completer
 
 
@@ -88,3 +92,61 @@ def test_narrow_stages_accept_a_stream(spark, tmp_path):
     )
     assert query.awaitTermination(60)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_a_run_goes_on_where_one_before_failed(spark, tmp_path):
+    calls, broken, log = tmp_path / "calls", tmp_path / "broken", str(tmp_path / "log")
+    calls.write_text("")
+
+    def completer():
+        def call(prompt):
+            if prompt == "p7" and not broken.exists():
+                broken.write_text("")
+                os._exit(1)  # The whole worker is lost, not only the call.
+            with calls.open("a") as out:
+                out.write(prompt + "\n")
+            return prompt.upper()
+
+        return call
+
+    df = spark.createDataFrame([(i, f"p{i % 20}") for i in range(40)] + [(99, None)], "id INT, prompt STRING")
+    with pytest.raises(Exception, match="(?i)crash|exited|abort"):
+        complete_logged(df, "prompt", completer, log, max_tasks=1, slice_prompts=1)
+    before = read_answers(spark, log).count()
+    assert 0 < before < 20
+    rows = {r["id"]: (r["raw"], r["error"]) for r in complete_logged(df, "prompt", completer, log, max_tasks=1, slice_prompts=1).collect()}
+    assert rows == {i: (f"P{i % 20}", None) for i in range(40)} | {99: (None, None)}
+    asked = Counter(calls.read_text().split())
+    # Only what shared the slice with the lost call was asked twice.
+    assert set(asked) == {f"p{i}" for i in range(20)} and asked.total() <= 24
+    assert sum(n == 1 for n in asked.values()) >= before
+    complete_logged(df, "prompt", completer, log).collect()
+    assert Counter(calls.read_text().split()) == asked
+
+
+def test_failed_calls_are_asked_again(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, "bad"), (2, "bad")], "id INT, prompt STRING")
+    first = complete_logged(df, "prompt", upper_or_fail, str(tmp_path / "log"), slice_prompts=2).collect()
+    assert sorted(map(tuple, first)) == [(1, "A", None)] + [(2, None, "ValueError: no")] * 2
+    again = complete_logged(df, "prompt", lambda: str.title, str(tmp_path / "log")).collect()
+    assert sorted(map(tuple, again)) == [(1, "A", None), (2, "Bad", None), (2, "Bad", None)]
+    assert complete_logged(df.limit(0), "prompt", upper_or_fail, str(tmp_path / "none")).collect() == []
+    with pytest.raises(ValueError, match="one prompt per row"):
+        complete_logged(spark.sql("SELECT array('a') AS p"), "p", upper_or_fail, str(tmp_path / "log"))
+
+
+def test_rare_tokens_weigh_more(spark):
+    rows = [("a", "the cat"), ("b", "the dog the"), ("c", None), ("d", "the"), ("e", "")]
+    df = spark.createDataFrame(rows, "id STRING, request STRING")
+    encode = fit_idf_encoder(df, 4096)
+    found = encode(df)
+    assert found.columns == ["id", "request", "embedding"]
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
+    vectors = {r["id"]: np.array(r["embedding"]) for r in found.collect()}
+    the, cat = np.log(6 / 4), np.log(6 / 2)
+    assert sorted(vectors["a"])[-2:] == pytest.approx([the / np.hypot(the, cat), cat / np.hypot(the, cat)], abs=1e-6)
+    assert sorted(vectors["b"])[-2:] == pytest.approx([2 * the / np.hypot(2 * the, cat), cat / np.hypot(2 * the, cat)][::1 if 2 * the < cat else -1], abs=1e-6)
+    assert not vectors["c"].any() and not vectors["e"].any() and len(vectors["c"]) == 4096
+    # Other rows can be encoded with what was fitted, unknown tokens included.
+    other = encode(spark.createDataFrame([("the zebra",)], "request STRING")).first()["embedding"]
+    assert sum(x > 0 for x in other) == 2 and sum(x * x for x in other) == pytest.approx(1, abs=1e-6)

@@ -92,3 +92,19 @@ def test_single_cluster_has_nothing_outside(spark):
     df = vector_table(spark, values).withColumn("request", F.lit("x"))
     row = examples.example_bundles(df).first()
     assert (row["in_sample_size"], row["out_sample_size"], row["out_ids"]) == (50, 0, [])
+
+
+def test_many_centroids_in_one_scan(spark):
+    values, labels = hot_values()
+    df = vector_table(spark, values, labels)
+    centers = np.random.default_rng(8).normal(size=(10_000, 4))
+    points = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(centers)], "cluster_id INT, centroid ARRAY<DOUBLE>")
+    found = examples.nearest_outside(df, points, 3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    lists = as_lists(found)
+    assert len(lists) == 10_000
+    for c in (0, 1, 2, 3, 5000, 9999):
+        gaps = np.linalg.norm(values.astype(float) - centers[c], axis=1).round(9)
+        ids = np.flatnonzero(labels != c)
+        assert lists[c] == ids[np.lexsort((ids, gaps[ids]))][:3].tolist()

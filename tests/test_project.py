@@ -52,6 +52,24 @@ def test_cache_is_used_only_for_the_same_content_and_parameters(spark, values, t
     assert len(calls) == 3
 
 
+def test_two_writers_of_one_entry(spark, values, tmp_path, monkeypatch):
+    original, folder, calls = project.project, str(tmp_path), []
+    df = vector_table(spark, values)
+
+    def slow(*a):
+        calls.append(1)
+        if len(calls) == 1:
+            # Another writer begins and ends before this one.
+            project.cached_projection(df, ProjectionParams(), folder).count()
+        return original(*a)
+
+    monkeypatch.setattr(project, "project", slow)
+    found = project.cached_projection(df, ProjectionParams(), folder)
+    assert len(calls) == 2 and found.count() == 200
+    # One entry, and nothing of the writer that came second.
+    assert len([p for p in tmp_path.iterdir() if not p.name.endswith(".crc")]) == 1
+
+
 def test_bins(spark):
     df = spark.createDataFrame([(0, 0.05, -0.05), (0, 0.09, -0.01), (1, 0.05, 0.31)], "cluster_id INT, x DOUBLE, y DOUBLE")
     rows = project.projection_bins(df, 0.1).orderBy("cluster_id").collect()

@@ -1,11 +1,13 @@
 import json
 
 import numpy as np
+import pytest
 from test_cluster import vector_table
 
 from talkatlas import schemas
 from talkatlas.operators import hierarchy
 from talkatlas.sources import tables
+from talkatlas.sources.text_files import TextFiles
 
 ODD = ['a,"b"\nc', "  spaced\t", "\r\n", '"', "back\\slash\\", "\\\"", "'", "é x", "plain", "#x"]
 
@@ -49,14 +51,25 @@ def test_audit_texts(spark, tmp_path):
     named = spark.createDataFrame(
         [(3, "S", "N", "ask\nthis", None)], "cluster_id INT, summary STRING, name STRING, prompt STRING, raw STRING"
     )
-    tables.write_audit_texts(named, str(tmp_path / "t"))
-    found = {r["file"]: r["value"] for r in spark.read.text(str(tmp_path / "t"), wholetext=True).collect()}
-    assert found == {
-        "cluster_003_prompt.txt": "ask\nthis\n",
-        "cluster_003_output.txt": "<summary>S</summary>\n<name>N</name>\n",
+    folder = tmp_path / "t"
+    for _ in range(2):
+        tables.write_audit_texts(named, str(folder))
+    assert {p.name: p.read_text() for p in folder.iterdir() if not p.name.endswith(".crc")} == {
+        "cluster_003_prompt.txt": "ask\nthis",
+        "cluster_003_output.txt": "<summary>S</summary>\n<name>N</name>",
     }
 
 
+def test_a_failed_write_leaves_no_files(spark, tmp_path):
+    spark.dataSource.register(TextFiles)
+    rows = spark.createDataFrame([("a.txt", "x"), ("b/c.txt", "y")], "file STRING, value STRING").coalesce(1)
+    with pytest.raises(Exception, match="not a file name"):
+        rows.write.format("text_files").mode("append").save(f"file://{tmp_path}/t")
+    assert list((tmp_path / "t").iterdir()) == []
+    with pytest.raises(Exception, match="columns file and value"):
+        rows.select("file").write.format("text_files").mode("append").save(f"file://{tmp_path}/t")
+
+
 def test_hierarchy_json(spark, tmp_path):
     doc = hierarchy.build_hierarchy(vector_table(spark, np.eye(3, dtype=np.float32), [0, 1, 2]))
     tables.write_hierarchy(doc, str(tmp_path / "h"))
