@@ -13,7 +13,7 @@ from talkatlas.llm.columns import slices
 
 # Edits allowed per character of an item.
 ERROR_RATE = 0.08
-# Shorter items say too little: almost any text would hold them.
+# Shorter items are looked up as they are, between word boundaries: with edits almost any text would hold them.
 MIN_CHARS = 24
 # Characters of items that are scanned for at once.
 BLOCK_CHARS = 4_000_000
@@ -70,7 +70,7 @@ class Matcher:
     def __init__(self, items: list[tuple[int | None, str]], rate: float) -> None:
         import ahocorasick
 
-        self.items = [(i, t, int(rate * len(t))) for i, t in items]
+        self.items = [(i, t, int(rate * len(t)) if len(t) >= MIN_CHARS else 0) for i, t in items]
         self.masks: dict[int, dict[str, int]] = {}
         entries = defaultdict(list)
         for number, (_, text, errors) in enumerate(self.items):
@@ -88,6 +88,8 @@ class Matcher:
             for number, start in places:
                 _, item, errors = self.items[number]
                 begin = end + 1 - size - start - errors
+                if len(item) < MIN_CHARS and not _apart(text, begin, end + 1):
+                    continue
                 regions[number].append((max(begin, 0), begin + len(item) + 2 * errors))
         found = []
         for number, spans in regions.items():
@@ -115,10 +117,17 @@ class Matcher:
         return best
 
 
+def _apart(text: str, begin: int, end: int) -> bool:
+    """Whether no word goes on over either end of ``text[begin:end]``."""
+    before = begin > 0 and text[begin - 1].isalnum() and text[begin].isalnum()
+    after = end < len(text) and text[end].isalnum() and text[end - 1].isalnum()
+    return not (before or after)
+
+
 def _blocks(items: DataFrame):
-    """Usable items as bounded lists for the driver."""
+    """Items that have a text, as bounded lists for the driver."""
     usable = items.select(F.col("item_id").cast("long").alias("item_id"), normal(F.col("text")).alias("text"))
-    usable = usable.where(F.length("text") >= MIN_CHARS).distinct()
+    usable = usable.where(F.length("text") > 0).distinct()
     total = usable.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     count = -(-total // BLOCK_CHARS)
     for i in range(count):
@@ -164,8 +173,11 @@ def contaminated(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE) ->
     per character of it, both lower-cased and with single spaces.  ``distance``
     is zero, or the least found around the pieces that occur exactly.
 
-    Null and empty texts hold nothing.  Items shorter than ``MIN_CHARS``, null
-    ones included, are left out.  Repeated items count once, repeated documents
+    An item shorter than ``MIN_CHARS`` is held if it occurs without any edit,
+    beginning and ending where words do.
+
+    Null and empty texts hold nothing, and null and empty items are held by
+    none.  Repeated items count once, repeated documents
     give repeated rows, and null ids stay null.  Other columns are not read.
     """
     rows = docs.select(F.struct("doc_id").alias("row"), "text")

@@ -71,3 +71,11 @@ def test_items_in_several_blocks(spark, monkeypatch):
     found = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, bench, 0.0).collect()}
     assert found == {(i, i) for i in range(6)}
     assert decontaminate.without_items(docs, bench, 0.0).count() == 0
+
+
+def test_short_items_between_word_boundaries(spark):
+    items = [(1, "Short one"), (2, "é"), (3, ""), (4, " \n"), (5, None), (6, "= 12?")]
+    docs = [(1, "a SHORT\n one."), (2, "shorts one, short ones"), (3, "short one"), (4, "Short  one (é)"), (5, "café"), (6, "x=12? x = 12?y"), (7, "x = 12"), (8, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["distance"]) for r in found) == [(1, 1, 0), (3, 1, 0), (4, 1, 0), (4, 2, 0), (6, 6, 0)]
