@@ -36,18 +36,69 @@ def test_odd_pages():
     assert len(pages.main_text("<article>" + "<div>" * 3000 + "deep" + "<p>x</p>" * 3000)) == 4 + 6000
 
 
+def test_names_do_not_lose_the_article():
+    assert pages.main_text('<div class="site has-sidebar"><article><p>x</p></article></div>') == "x"
+    assert pages.main_text('<article class="post category-social tag-search"><p>x</p></article>') == "x"
+    page = '<article><h2 id="social-impact">a</h2><section id="related-work"><p>b</p></section><p class="share-price">c</p></article>'
+    assert pages.main_text(page) == "a\nb\nc"
+    # An article in something that only its name sets apart, if there is no other; comments are none.
+    inner = '<article><p>x</p><div class="comments"><article><p>no</p></article></div></article>'
+    assert pages.main_text(f'<div class="social-page">{inner}</div><div class="z">w</div>') == "x"
+    assert pages.main_text(f'<div class="teaser"><article>t</article></div>{inner}') == "x"
+    assert pages.main_text(f'<aside>{inner}</aside><div class="z">w</div>') == "w"
+
+
+def test_long_attributes():
+    long = "a > b " * 20_000
+    assert pages.main_text(f'<article><p title="{long}">x</p><p title=\'{long}\'>y</p></article>') == "x\ny"
+
+
+def layout(n, extra="", notice="All rights reserved"):
+    items = "".join(f"<p>text number {i} on page {n}</p>" for i in range(1 + n % 5))
+    return (
+        f'<body><div class=x>Welcome all</div><div class=c><div class=by>Written by us</div>{items}{extra}</div>'
+        f"<div class=z>Bye {n}</div><div class=w>{notice}</div></body>"
+    )
+
+
 def test_inference_of_repeats_options_and_slots():
-    def page(n, extra=""):
-        items = "".join(f"<p>text number {i} on page {n}</p>" for i in range(n))
-        return f"<body><div class=x>Welcome all</div><div class=c>{items}{extra}</div><div class=z>Bye {n}</div></body>"
-
-    found = pages.infer([page(1), page(3, "<blockquote>q</blockquote>"), page(2)])
-    assert found["template"] == [("body/div.x", "Welcome all")]
-    assert found["main"] == "body/div.c"
-    assert "(<p>#TEXT</>)+" in found["pattern"] and "(<blockquote>[q]</>)?" in found["pattern"]
-    assert pages.main_text(page(4), {"template": [list(t) for t in found["template"]], "main": "body/div.c"}) == "\n".join(
-        f"text number {i} on page 4" for i in range(4)
+    found = pages.infer([layout(1), layout(3, "<table><tr><td>q</table>"), layout(2)])
+    pattern = found.pattern()
+    assert "<div.z>#TEXT</>" in pattern and f"<div.x>[{pages.digest('Welcome all'):x}]</>" in pattern
+    assert "(<table>" in pattern and "(#TEXT)+" in pattern
+    said = pages.decisions(found)
+    assert said["main"] == "body/div.c"
+    assert sorted(said["template"]) == sorted(
+        [("body/div.x", pages.digest("Welcome all")), ("body/div.c/div.by", pages.digest("Written by us")), ("body/div.w", pages.digest("All rights reserved"))]
     )
+    # The wrapper survives its packing, and two pages are no template.
+    assert pages.unpacked(found.packed()) == found
+    assert pages.decisions(pages.infer([layout(1), layout(2), layout(2)]))["template"] == []
+
+
+def test_order_of_pages_does_not_matter():
+    many = [layout(i, "<ul><li>q</ul>" * (i % 3), "old" if i == 4 else "All rights reserved") for i in range(9)]
+    halves = pages.merged(pages.infer(many[:4]), pages.infer(many[4:]))
+    for other in (pages.infer(many[::-1]), halves):
+        said = pages.decisions(other)
+        assert said["main"] == "body/div.c"
+        # One page has another notice, so that is a slot.
+        assert {t for t, _ in said["template"]} == {"body/div.x", "body/div.c/div.by"}
+
+
+def test_the_wrapper_decides(spark):
+    rows = [(i, f"http://plain.example/{i}", layout(i)) for i in range(40)]
+    # Every other host has one page only, without a template.
+    rows += [(100 + i, f"http://h{i}.example/", layout(i + 2)) for i in range(3)]
+    marked = '<article><div class=by>Written by us</div><p>only {0}</p></article><div class=s>Read on</div>'
+    rows += [(200 + i, f"http://marked.example/{i}", marked.format(i)) for i in range(5)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7)
+    found = {r["page_id"]: r["text"] for r in pages.extract(table).collect()}
+    for i in range(40):
+        article = "\n".join(f"text number {j} on page {i}" for j in range(1 + i % 5))
+        assert found[i] == article != pages.main_text(layout(i))
+    assert all(found[100 + i].startswith("Written by us\ntext number 0") for i in range(3))
+    assert [found[200 + i] for i in range(5)] == [f"only {i}" for i in range(5)]
 
 
 def test_special_rows(spark):
