@@ -111,10 +111,15 @@ def recurring(found: DataFrame) -> DataFrame:
     Rows that repeat both ``doc_id`` and text give one entry per passage, with
     their number ``m``.
     """
-    found = stored(found)
-    anchors = stored(found.groupBy("anchor").count().where("count > 1").select("anchor"))
-    kept = found.join(anchors, "anchor", "left_semi")
-    kept = stored(kept.groupBy("doc_id", "tag", "place", "anchor", "passage").agg(F.count("*").alias("m")))
+    found = stored(found.withColumn("m", F.lit(1).cast("long")))
+    # Every row with a window has one passage that starts at its first symbol.
+    rows = found.where(F.col("place") < (1 << 32)).groupBy("doc_id", "tag").count()
+    if not rows.where("count > 1").isEmpty():
+        # Added up before the join below, where all passages of an anchor meet.
+        every, found = found, stored(found.groupBy("doc_id", "tag", "place", "anchor", "passage").agg(F.sum("m").alias("m")))
+        discard(every)
+    anchors = stored(found.groupBy("anchor").agg(F.sum("m").alias("n")).where("n > 1").select("anchor"))
+    kept = stored(found.join(anchors, "anchor", "left_semi"))
     # The table of all passages is the largest of all.
     discard(found)
     discard(anchors)
