@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -13,15 +14,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from talkatlas.llm.columns import mix, slices
+from talkatlas.runtime import join_small, stored
 
 ORDER = 4
 # Labelled rows per language that are read to count n-grams, and to set the limit
 # of rejection.  Rows are drawn by a hash of their id, so the bound holds on average.
 TRAINING_ROWS = 20_000
 CALIBRATION_ROWS = 5_000
-# What the driver and every task hold: labels, and n-grams of all languages together.
-MAX_LANGUAGES = 500
-MAX_GRAMS = 8_000_000
+# The driver and a task hold one block of languages at a time, of about as many languages
+# and entries of sorted arrays at most; each further block is a further pass over the texts.
+BLOCK_LANGUAGES = 256
+BLOCK_ENTRIES = 8_000_000
 # A text is rejected this many times farther from its language than one row in a thousand is.
 REJECTION_MARGIN = 2.0
 UNKNOWN = "und"
@@ -29,6 +32,7 @@ UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _START, _END = "\x00", "\x01"
 _CACHED_WORDS = 300_000
+_CACHED_SCORES = 16_000_000
 
 
 def words_of(text: str) -> list[str]:
@@ -53,6 +57,13 @@ def _summed(keys: np.ndarray, *values: np.ndarray):
     return known, first, *(np.bincount(inverse, v, len(known)) for v in values)
 
 
+def _find(known: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each key is among the sorted known ones, and its place."""
+    place = np.searchsorted(known, keys)
+    place[place == len(known)] = 0
+    return known[place] == keys, place
+
+
 class SortedTable:
     """Values by hash, found by binary search in the sorted hashes."""
 
@@ -62,9 +73,7 @@ class SortedTable:
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Whether each key is known, and its place."""
-        place = np.searchsorted(self.keys, keys)
-        place[place == len(self.keys)] = 0
-        return (self.keys[place] == keys if len(self.keys) else np.zeros(len(keys), bool)), place
+        return _find(self.keys, keys)
 
 
 class _Counts:
@@ -100,53 +109,57 @@ class _Counts:
         return count / total + self.backoff(grams[:, :-1]) * self.probability(grams[:, 1:])
 
 
+def sorted_arrays(grams: np.ndarray, counts: np.ndarray, alphabet: int) -> list[np.ndarray]:
+    """The model of one language, from its n-grams of the highest order and their counts.
+
+    For each order, from 1 on: hashes of the n-grams, their log-probabilities,
+    hashes of the contexts, and the log-weights of the order below after them.
+    """
+    counted, arrays = _Counts(grams, counts.astype(np.float64), alphabet), []
+    while grams.shape[1]:
+        of_order = []
+        for part, values in ((grams, counted.probability), (grams[:, :-1], counted.backoff)):
+            keys, first = np.unique(_keys(part), return_index=True)
+            of_order += [keys, np.log(values(part[first])).astype(np.float32)]
+        arrays = of_order + arrays
+        grams = grams[np.unique(_keys(grams), return_index=True)[1], 1:]
+    return arrays
+
+
 @dataclass
 class LanguageModel:
-    """Log-probabilities and back-off weights of all languages, one sorted hash array per order."""
+    """The models of a block of languages; a language has entries for what was seen in it only."""
 
     languages: list[str]
-    order: int
-    grams: dict[int, SortedTable]
-    contexts: dict[int, SortedTable]
-    floor: float
+    alphabet: int
+    # Per language, the arrays of ``sorted_arrays``.
+    arrays: list[list[np.ndarray]]
     # Per language: mean cross-entropy, spread between texts, spread per symbol, limit.
     limits: np.ndarray | None = None
 
-    @classmethod
-    def fit(cls, rows: list[tuple[str, np.ndarray, np.ndarray]], order: int) -> LanguageModel:
-        """``rows``: language, n-grams as rows of symbols, and their counts."""
-        alphabet = len(np.unique(np.concatenate([g.ravel() for _, g, _ in rows]))) + 1
-        counted = [_Counts(g, c.astype(np.float64), alphabet) for _, g, c in rows]
-        known = np.concatenate([g for _, g, _ in rows])
-        grams, contexts = {}, {}
-        for size in range(order, 0, -1):
-            keys, first = np.unique(_keys(known), return_index=True)
-            known = known[first]
-            values = np.log(np.stack([c.probability(known) for c in counted], axis=1))
-            grams[size] = SortedTable(keys, values.astype(np.float32))
-            before = known[np.unique(_keys(known[:, :-1]), return_index=True)[1], :-1]
-            values = np.log(np.stack([c.backoff(before) for c in counted], axis=1))
-            contexts[size] = SortedTable(_keys(before), values.astype(np.float32))
-            known = known[:, 1:]
-        return cls([name for name, _, _ in rows], order, grams, contexts, float(-np.log(alphabet)))
-
-    def _gram_scores(self, grams: np.ndarray) -> np.ndarray:
-        size = grams.shape[1]
-        if not size:
-            return np.full((len(grams), len(self.languages)), self.floor, np.float32)
-        known, place = self.grams[size].find(_keys(grams))
-        scores = self.grams[size].values[place]
-        rest = np.flatnonzero(~known)
-        if len(rest):
-            known, place = self.contexts[size].find(_keys(grams[rest, :-1]))
-            weight = np.where(known[:, None], self.contexts[size].values[place], 0)
-            scores[rest] = weight + self._gram_scores(grams[rest, 1:])
-        return scores
+    @property
+    def order(self) -> int:
+        return len(self.arrays[0]) // 4
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         """Log-probability of each word, with its end, in each language."""
         grams, lengths = word_grams(words, self.order)
-        return np.add.reduceat(self._gram_scores(grams), np.cumsum(lengths) - lengths, axis=0)
+        # Words share most n-grams, and each is looked up once.
+        _, first, inverse = np.unique(_keys(grams), return_index=True, return_inverse=True)
+        grams, starts = grams[first], np.cumsum(lengths) - lengths
+        tails = [grams[:, self.order - size :] for size in range(1, self.order + 1)]
+        keys = [(_keys(tail), _keys(tail[:, :-1])) for tail in tails]
+        scores = np.empty((len(words), len(self.languages)), np.float32)
+        for i, arrays in enumerate(self.arrays):
+            found = np.full(len(grams), -np.log(self.alphabet), np.float32)
+            for size, (whole, before) in enumerate(keys):
+                gram, value, context, weight = arrays[4 * size : 4 * size + 4]
+                known, place = _find(context, before)
+                found = found + np.where(known, weight[place], 0)
+                known, place = _find(gram, whole)
+                found = np.where(known, value[place], found)
+            scores[:, i] = np.add.reduceat(found[inverse], starts)
+        return scores
 
     def scorer(self):
         """A function from texts to log-probabilities per language and numbers of symbols."""
@@ -155,7 +168,7 @@ class LanguageModel:
 
         def score(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
             nonlocal table
-            if len(ids) > _CACHED_WORDS:
+            if len(ids) > min(_CACHED_WORDS, _CACHED_SCORES // len(self.languages)):
                 ids.clear()
                 table = table[:0]
             found = [words_of(t) for t in texts]
@@ -189,13 +202,10 @@ def split_of(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3
 
 
-def _drawn(rows: DataFrame, sizes: dict[str, int], most: int) -> DataFrame:
-    """About ``most`` rows of each language, drawn by a hash of their id."""
-    rate = F.lit(1.0)
-    for name, count in sizes.items():
-        rate = F.when(F.col("lang") == name, F.lit(most / count)).otherwise(rate)
+def _drawn(rows: DataFrame, sizes: DataFrame, most: int) -> DataFrame:
+    """About ``most`` rows of each language, drawn by a hash of their id; ``sizes(lang, count)``."""
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return rows.where(draw < rate)
+    return join_small(rows, sizes, "lang", "inner").where(draw * F.col("count") < most).drop("count")
 
 
 def _gram_counts(rows: DataFrame, order: int) -> DataFrame:
@@ -229,37 +239,57 @@ def _gram_counts(rows: DataFrame, order: int) -> DataFrame:
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def fit(
-    docs: DataFrame, order: int = ORDER, training_rows: int = TRAINING_ROWS, calibration_rows: int = CALIBRATION_ROWS
-) -> LanguageModel | None:
-    """A model of the languages in ``docs(doc_id, text, lang)``, held-out rows left aside.
+def _language_arrays(counts: DataFrame, order: int, alphabet: int) -> DataFrame:
+    """``lang, entries, arrays`` from ``lang, gram, n``: one row per language, made in its own task.
+
+    The n-grams of one language are those of a bounded number of rows.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        grams = np.frombuffer(b"".join(table.column("gram").to_pylist()), np.uint32).reshape(-1, order)
+        arrays = sorted_arrays(grams, table.column("n").to_numpy(), alphabet)
+        found = {"lang": [table.column("lang")[0].as_py()], "entries": [sum(map(len, arrays)) // 2]}
+        return pa.table(found | {"arrays": pa.array([[a.tobytes() for a in arrays]], pa.list_(pa.binary()))})
 
-    None if no labelled row of the fold for counting has a letter.
+    return counts.groupBy("lang").applyInArrow(run, "lang string, entries long, arrays array<binary>")
+
+
+def fit(
+    docs: DataFrame,
+    order: int = ORDER,
+    training_rows: int = TRAINING_ROWS,
+    calibration_rows: int = CALIBRATION_ROWS,
+    block_languages: int = BLOCK_LANGUAGES,
+    block_entries: int = BLOCK_ENTRIES,
+) -> Iterator[LanguageModel]:
+    """Models of the languages in ``docs(doc_id, text, lang)``, held-out rows left aside.
+
+    Languages come in blocks by the hash of their name, most often in a single
+    one.  None come if no labelled row of the fold for counting has a letter.
     """
     rows = docs.select(
         F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")
     ).where("lang IS NOT NULL AND doc_id IS NOT NULL")
     fold = split_of(F.col("doc_id"))
-    counts = rows.groupBy("lang").agg(F.count_if(fold == 0).alias("train"), F.count_if(fold == 2).alias("check"))
-    sizes = counts.limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"lang has more than {MAX_LANGUAGES} values")
-    train = {r["lang"]: r["train"] for r in sizes if r["train"]}
-    drawn = _drawn(rows.where((fold == 0) & F.col("lang").isin(list(train))), train, training_rows)
-    table = _gram_counts(drawn, order).limit(MAX_GRAMS + 1).toArrow()
-    if len(table) > MAX_GRAMS:
-        raise ValueError(f"more than {MAX_GRAMS} n-grams: lower training_rows or order")
-    if not len(table):
-        return None
-    names = np.asarray(table.column("lang").to_pylist(), object)
-    grams = np.frombuffer(b"".join(table.column("gram").to_pylist()), np.uint32).reshape(-1, order)
-    total = table.column("n").to_numpy()
-    rows_of = [(name, names == name) for name in sorted(set(names))]
-    model = LanguageModel.fit([(name, grams[m], total[m]) for name, m in rows_of], order)
-    check = {r["lang"]: r["check"] for r in sizes if r["check"]}
-    drawn = _drawn(rows.where((fold == 2) & F.col("lang").isin(model.languages)), check, calibration_rows)
-    model.limits = _calibrated(drawn, model)
-    return model
+    sizes = stored(rows.groupBy("lang").agg(F.count_if(fold == 0).alias("train"), F.count_if(fold == 2).alias("check")))
+    drawn = _drawn(rows.where(fold == 0), sizes.select("lang", F.col("train").alias("count")), training_rows)
+    counts = stored(_gram_counts(drawn, order))
+    # The last symbols of the n-grams are all symbols there are; one more stands for all others.
+    alphabet = counts.select(F.substring("gram", 4 * order - 3, 4)).distinct().count() + 1
+    tables = stored(_language_arrays(counts, order, alphabet))
+    languages, entries = tables.agg(F.count("*"), F.coalesce(F.sum("entries"), F.lit(0))).first()
+    blocks = max(-(-languages // block_languages), -(-entries // block_entries))
+    for block in range(blocks):
+        held = tables.where(F.pmod(F.xxhash64("lang"), F.lit(blocks)) == block).orderBy("lang").toArrow()
+        if not len(held):
+            continue
+        kinds = np.uint64, np.float32
+        arrays = [[np.frombuffer(a, kinds[i % 2]) for i, a in enumerate(one)] for one in held.column("arrays").to_pylist()]
+        model = LanguageModel(held.column("lang").to_pylist(), alphabet, arrays)
+        known = rows.where((fold == 2) & F.col("lang").isin(model.languages))
+        drawn = _drawn(known, sizes.select("lang", F.col("check").alias("count")), calibration_rows)
+        model.limits = _calibrated(drawn, model)
+        yield model
 
 
 def _calibrated(rows: DataFrame, model: LanguageModel) -> np.ndarray:
@@ -268,9 +298,8 @@ def _calibrated(rows: DataFrame, model: LanguageModel) -> np.ndarray:
     The distance of a text of ``n`` symbols from the mean is measured in
     ``spread + noise / sqrt(n)``: short texts stray more.
     """
-    scored = _scored(rows.withColumn("row", F.struct("lang")), model).select(
-        F.col("row.lang").alias("lang"), "n", F.col("entropies")[F.array_position(F.lit(model.languages), F.col("row.lang")).cast("int") - 1].alias("h")
-    ).where("n > 0")
+    own = F.array_position(F.lit(model.languages), F.col("lang")).cast("int") - 1
+    scored = _scored(rows.select("lang", "text"), model).select("lang", "n", F.col("entropies")[own].alias("h")).where("n > 0")
     mean = scored.groupBy("lang").agg(F.median("h").alias("mean"))
     apart = scored.join(F.broadcast(mean), "lang").withColumn("away", F.abs(F.col("h") - F.col("mean")))
     spread = apart.groupBy("lang", "mean").agg(
@@ -288,8 +317,9 @@ def _calibrated(rows: DataFrame, model: LanguageModel) -> np.ndarray:
 
 
 def _scored(rows: DataFrame, model: LanguageModel) -> DataFrame:
-    """``row, text, n, entropies`` for ``row, text``: symbols, and nats per symbol in each language."""
+    """``rows`` with ``n, entropies``: symbols of ``text``, and nats per symbol in each language."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
+    names = [*rows.columns, "n", "entropies"]
 
     def run(batches):
         score = shared.value.scorer()
@@ -298,16 +328,36 @@ def _scored(rows: DataFrame, model: LanguageModel) -> DataFrame:
             entropy = -sums / np.maximum(sizes, 1)[:, None]
             offsets = np.arange(len(part) + 1, dtype=np.int32) * entropy.shape[1]
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(entropy.ravel()))
-            yield pa.RecordBatch.from_arrays(
-                [part.column("row"), part.column("text"), pa.array(sizes), lists], ["row", "text", "n", "entropies"]
-            )
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sizes), lists], names)
 
-    rows = rows.select("row", "text")
     fields = [T.StructField("n", T.LongType()), T.StructField("entropies", T.ArrayType(T.DoubleType()))]
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *fields]))
 
 
-def predict(rows: DataFrame, model: LanguageModel | None) -> DataFrame:
+def _best_of(model: LanguageModel) -> Column:
+    """``h, name, share, far``: the best language of the block for a scored row.
+
+    ``share`` sums the likelihoods of the block in terms of the best one.
+    """
+    least = F.array_min("entropies")
+    place = F.array_position("entropies", least).cast("int")
+    share = F.aggregate("entropies", F.lit(0.0), lambda s, h: s + F.exp((least - h) * F.col("n")))
+    limit = F.element_at(F.lit(model.limits.tolist()), place)
+    away = (least - limit[0]) / (limit[1] + limit[2] / F.sqrt(F.greatest("n", F.lit(1))) + F.lit(1e-9))
+    name = F.element_at(F.lit(model.languages), place)
+    return F.struct(least.alias("h"), name.alias("name"), share.alias("share"), (away > limit[3]).alias("far"))
+
+
+def _better_of(a: str, b: str) -> Column:
+    """The better of two results of ``_best_of``, with the likelihoods of both."""
+    first = F.struct(F.col(f"{a}.h"), F.col(f"{a}.name")) <= F.struct(F.col(f"{b}.h"), F.col(f"{b}.name"))
+    least = F.least(f"{a}.h", f"{b}.h")
+    share = sum(F.col(f"{c}.share") * F.exp((least - F.col(f"{c}.h")) * F.col("n")) for c in (a, b))
+    name, far = (F.when(first, F.col(f"{a}.{c}")).otherwise(F.col(f"{b}.{c}")) for c in ("name", "far"))
+    return F.struct(least.alias("h"), name.alias("name"), share.alias("share"), far.alias("far"))
+
+
+def predict(rows: DataFrame, models: Iterable[LanguageModel]) -> DataFrame:
     """``row, text, lang_pred, score, rejected`` for ``row, text``.
 
     The language of the lowest cross-entropy per symbol, ties by name; ``score``
@@ -315,21 +365,23 @@ def predict(rows: DataFrame, model: LanguageModel | None) -> DataFrame:
     when it lies beyond the calibrated limit of its language.  Null texts and
     texts without a letter are ``und``, with score 0, and rejected.
     """
-    if model is None:
+    so_far = None
+    for model in models:
+        # All blocks but the last are worked out at once, so that a task holds one block.
+        scored = _scored(rows.select("row", "text") if so_far is None else stored(so_far).drop("n"), model)
+        best = scored.withColumn("best", _best_of(model)).drop("entropies")
+        so_far = best if "before" not in best.columns else best.withColumn("best", _better_of("before", "best")).drop("before")
+        so_far = so_far.withColumnRenamed("best", "before")
+    if so_far is None:
         unknown = F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected")
         return rows.select("row", "text", *unknown)
-    least = F.array_min("entropies")
-    place = F.array_position("entropies", least).cast("int")
-    share = F.aggregate("entropies", F.lit(0.0), lambda s, h: s + F.exp((least - h) * F.col("n")))
-    limit = F.element_at(F.lit(model.limits.tolist()), place)
-    away = (least - limit[0]) / (limit[1] + limit[2] / F.sqrt("n") + F.lit(1e-9))
     found = F.col("n") > 0
-    return _scored(rows, model).select(
+    return so_far.select(
         "row",
         "text",
-        F.when(found, F.element_at(F.lit(model.languages), place)).otherwise(UNKNOWN).alias("lang_pred"),
-        F.when(found, 1 / share).otherwise(0.0).alias("score"),
-        F.when(found, away > limit[3]).otherwise(True).alias("rejected"),
+        F.when(found, F.col("before.name")).otherwise(UNKNOWN).alias("lang_pred"),
+        F.when(found, 1 / F.col("before.share")).otherwise(0.0).alias("score"),
+        F.when(found, F.col("before.far")).otherwise(True).alias("rejected"),
     )
 
 

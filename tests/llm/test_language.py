@@ -1,9 +1,12 @@
 """Language models: Kneser-Ney sums, held-out accuracy, rejection, special rows."""
 
+import math
 import random
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
 from talkatlas.llm import language
 
@@ -59,3 +62,68 @@ def test_probabilities_sum_to_one():
         # Four symbols are known; the fifth of the alphabet stands for all others.
         unseen = model.probability(np.array([[*context, 999]]))
         assert abs(model.probability(rows).sum() + unseen[0] - 1) < 1e-9
+
+
+def plain_model(words, order, alphabet):
+    """Interpolated Kneser-Ney from its definition, with dictionaries: log-probability of a word."""
+    padded = lambda w: [*"\x00" * (order - 1), *w, "\x01"]
+    counts = {order: Counter()}
+    for p in map(padded, words):
+        counts[order].update(tuple(p[i - order + 1 : i + 1]) for i in range(order - 1, len(p)))
+    for size in range(order - 1, 0, -1):
+        counts[size] = Counter(g[1:] for g in counts[size + 1])
+    discount, total, types = {}, defaultdict(int), defaultdict(int)
+    for size, table in counts.items():
+        ones, twos = (sum(n == k for n in table.values()) for k in (1, 2))
+        discount[size] = ones / (ones + 2 * twos) if ones else 0.1
+        for gram, n in table.items():
+            total[gram[:-1]] += n
+            types[gram[:-1]] += 1
+
+    def probability(gram):
+        if not gram:
+            return 1 / alphabet
+        size, context, lower = len(gram), gram[:-1], probability(gram[1:])
+        if context not in total:
+            return lower
+        kept = max(counts[size][gram] - discount[size], 0)
+        return (kept + discount[size] * types[context] * lower) / total[context]
+
+    def score(word):
+        p = padded(word)
+        return sum(math.log(probability(tuple(p[i - order + 1 : i + 1]))) for i in range(order - 1, len(p)))
+
+    return score
+
+
+def test_scores_equal_the_definition(spark):
+    """Share, choice and scores of every text, held-out and unseen symbols included."""
+    rows, docs = table(spark, 150)
+    fold = lambda i: zlib.crc32(str(i).encode()) % 3
+    learnt = {name: [w for i, t, lang in rows if lang == name and i is not None and fold(i) == 0 for w in language.words_of(t or "")] for name in SYLLABLES}
+    alphabet = len({c for words in learnt.values() for w in words for c in w}) + 2
+    plain = {name: plain_model(words, language.ORDER, alphabet) for name, words in learnt.items()}
+    found = {r["doc_id"]: r for r in language.identify(spark, docs).collect()}
+    for i, t, _ in rows:
+        words = language.words_of(t or "")
+        if words and i is not None:
+            sums = {name: sum(map(score, words)) for name, score in plain.items()}
+            best = max(sums, key=sums.get)
+            share = 1 / sum(math.exp(s - sums[best]) for s in sums.values())
+            assert found[i]["lang_pred"] == best
+            assert found[i]["score"] == pytest.approx(share, abs=1e-3)
+    model, = language.fit(docs)
+    words = sorted({w for _, t, _ in rows for w in language.words_of(t or "")})
+    scores = model.word_scores(words)
+    for name, column in zip(model.languages, scores.T, strict=True):
+        assert column.tolist() == pytest.approx([plain[name](w) for w in words], rel=1e-4)
+
+
+def test_blocks_of_languages_give_the_same(spark):
+    rows, docs = table(spark, 150)
+    ids = docs.selectExpr("struct(doc_id) AS row", "text")
+    one, single = language.fit(docs), language.fit(docs, block_languages=1)
+    whole, parts = (language.predict(ids, m).select("row.doc_id", "lang_pred", "score", "rejected") for m in (one, single))
+    key = lambda r: (str(r["doc_id"]), r["lang_pred"], round(r["score"], 6), r["rejected"])
+    assert sorted(map(key, whole.collect())) == sorted(map(key, parts.collect()))
+    assert len(list(language.fit(docs, block_entries=500))) > 1
