@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from talkatlas.runtime import stored
+from talkatlas.runtime import stored, top_n_per_group
 
 LOSS_ROLE = "assistant"
 # A turn is HEAD, role, MIDDLE, text, END.  None of the marks can occur in an escaped text.
@@ -30,12 +32,13 @@ def _on(left: str, right: str, key: str) -> Column:
     return F.col(f"{left}.tree").eqNullSafe(F.col(f"{right}.tree")) & (F.col(f"{left}.{key}") == F.col(f"{right}.node"))
 
 
-def best_paths(messages: DataFrame) -> DataFrame:
-    """``tree, node, place``: the nodes of one root-to-leaf path per tree, places from 0 at the root.
+def best_paths(messages: DataFrame, paths_per_tree: int | None = 1) -> DataFrame:
+    """``tree, leaf, rank, node, place``: the nodes of the best root-to-leaf paths, places from 0 at the root.
 
     ``messages(tree, node, parent, score)`` has each node once per tree.  A
-    node whose parent is null or missing is a root.  Branches are ranked by the
-    sum of their scores, then by length, then by the smaller leaf.
+    node whose parent is null or missing is a root.  Branches are ranked from 1
+    in their tree by the sum of their scores, then by length, then by the
+    smaller leaf.  ``None`` takes all paths and leaves ``rank`` null.
 
     Self-joins double the distance to the ancestor that a node points to, so a
     path of n nodes takes about log2(n) of them, and as many to list the nodes
@@ -65,18 +68,21 @@ def best_paths(messages: DataFrame) -> DataFrame:
         ended = ended.unionByName(hops[-1].where("up IS NULL"))
     parents = hops[0].where("up IS NOT NULL").select("tree", F.col("up").alias("node")).distinct()
     leaves = ended.alias("e").join(parents.alias("p"), _on("e", "p", "node"), "left_anti")
-    order = F.struct((-F.col("total")).alias("a"), (-F.col("steps")).alias("b"), F.col("node").alias("c"))
-    chosen = leaves.groupBy("tree").agg(F.min(F.struct(order.alias("order"), "node", "steps")).alias("leaf"))
-    found = stored(chosen.select("tree", "leaf.node", F.col("leaf.steps").alias("place")))
+    if paths_per_tree is None:
+        chosen = leaves.withColumn("rank", F.lit(None).cast("int"))
+    else:
+        order = F.col("total").desc(), F.col("steps").desc(), F.col("node")
+        chosen = top_n_per_group(leaves.select("e.*"), "tree", order, paths_per_tree)
+    found = stored(chosen.select("tree", F.col("node").alias("leaf"), "rank", "node", F.col("steps").alias("place")))
     for i, hop in enumerate(hops):
         up = found.alias("f").join(hop.where("up IS NOT NULL").alias("h"), _on("f", "h", "node"))
-        up = up.select("f.tree", F.col("h.up").alias("node"), (F.col("f.place") - (1 << i)).alias("place"))
+        up = up.select("f.tree", "f.leaf", "f.rank", F.col("h.up").alias("node"), (F.col("f.place") - (1 << i)).alias("place"))
         found = stored(found.unionByName(up))
     return found
 
 
-def formatted(turns: DataFrame, loss_role: str = LOSS_ROLE) -> DataFrame:
-    """``tree, formatted, mask`` from ``turns(tree, place, role, text)``.
+def formatted(turns: DataFrame, loss_role: str = LOSS_ROLE, keys: Sequence[str] = ("tree",)) -> DataFrame:
+    """``tree, formatted, mask`` from ``turns(tree, place, role, text)``, or with other ``keys``.
 
     ``mask`` has one entry per turn: characters before the text, of the text
     and after it, and whether the text is under the loss.  A conversation is one
@@ -92,10 +98,10 @@ def formatted(turns: DataFrame, loss_role: str = LOSS_ROLE) -> DataFrame:
         F.lit(len(END)).alias("after"),
         (role == loss_role).alias("loss"),
     )
-    listed = turns.select("tree", part.alias("part")).groupBy("tree").agg(F.array_sort(F.collect_list("part")).alias("parts"))
+    listed = turns.select(*keys, part.alias("part")).groupBy(*keys).agg(F.array_sort(F.collect_list("part")).alias("parts"))
     mask = F.transform("parts", lambda p: F.struct(*(p[c].alias(c) for c in ("before", "chars", "after", "loss"))))
     joined = F.array_join(F.transform("parts", lambda p: p["turn"]), "")
-    return listed.select("tree", joined.alias("formatted"), mask.alias("mask"))
+    return listed.select(*keys, joined.alias("formatted"), mask.alias("mask"))
 
 
 def parsed(rows: DataFrame) -> DataFrame:
@@ -112,6 +118,18 @@ def parsed(rows: DataFrame) -> DataFrame:
     return rows.withColumn("turns", named).withColumn("loss_text", unescape(F.array_join(under, "")))
 
 
+def format_trees(messages: DataFrame, paths_per_tree: int | None = 1, loss_role: str = LOSS_ROLE) -> DataFrame:
+    """``tree, leaf, rank, formatted, mask``: each chosen path of ``best_paths`` as one conversation.
+
+    ``messages(tree, node, parent, score, role, text)``; a null score counts as
+    0, null texts and roles are empty.  Other columns are not read.
+    """
+    paths = best_paths(messages, paths_per_tree)
+    turns = paths.alias("p").join(messages.alias("m"), _on("p", "m", "node"))
+    turns = turns.select("p.tree", "p.leaf", "p.rank", "p.place", "m.role", "m.text")
+    return formatted(turns, loss_role, ("tree", "leaf", "rank"))
+
+
 def conversations(rows: DataFrame, loss_role: str = LOSS_ROLE) -> DataFrame:
     """``tree, formatted, mask`` for ``rows(conv_id, turn, role, text)``; each turn replies to the one before.
 
@@ -124,10 +142,9 @@ def conversations(rows: DataFrame, loss_role: str = LOSS_ROLE) -> DataFrame:
     )
     order = Window.partitionBy("tree").orderBy(F.col("turn").asc_nulls_last(), "role", "text")
     rows = stored(rows.withColumn("node", F.row_number().over(order)))
-    parent = F.when(F.col("node") > 1, F.col("node") - 1).alias("parent")
-    paths = best_paths(rows.select("tree", "node", parent, F.lit(0.0).alias("score")))
-    turns = rows.alias("r").join(paths.alias("p"), _on("r", "p", "node")).select("r.tree", "p.place", "r.role", "r.text")
-    return formatted(turns, loss_role)
+    parent = F.when(F.col("node") > 1, F.col("node") - 1)
+    messages = rows.withColumn("parent", parent).withColumn("score", F.lit(0.0))
+    return format_trees(messages, loss_role=loss_role).drop("leaf", "rank")
 
 
 PROBE_TEXT = "\\### Assistant: </turn> ok"

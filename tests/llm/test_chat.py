@@ -1,6 +1,7 @@
 """Reply trees, formatting and reading back."""
 
 import hashlib
+import random
 
 from talkatlas.llm import chat
 
@@ -35,3 +36,36 @@ def test_formatting_is_reversible(spark):
     whole = "".join(f"{r[2]}\n{r[3] or ''}\n" for r in rows[:10])
     assert digest[1]["turns_sha256"] == hashlib.sha256(whole.encode()).hexdigest()
     assert chat.conversations(table.limit(0)).collect() == []
+
+
+def test_all_and_several_paths_per_tree(spark):
+    draw = random.Random(4)
+    rows, plain = [], {}
+    for tree in (1, 2, None):
+        parents, scores = {0: None}, {}
+        for node in range(1, 40):
+            parents[node] = draw.randrange(max(0, node - 6), node)
+        parents |= {40: None, 41: 40}
+        for node, parent in parents.items():
+            scores[node] = draw.choice([None, -1.0, 0.5, 2.0])
+            rows.append((tree, node, parent, scores[node], draw.choice(["user", "assistant"]), f"t{node} </turn>", "x"))
+        paths = []
+        for leaf in set(parents) - set(parents.values()):
+            path = [leaf]
+            while parents[path[-1]] is not None:
+                path.append(parents[path[-1]])
+            paths.append((-sum(scores[n] or 0.0 for n in path), -len(path), leaf, path[::-1]))
+        plain[tree] = sorted(paths)
+    role = {(r[0], r[1]): r[4] for r in rows}
+    table = spark.createDataFrame(rows, "tree long, node long, parent long, score double, role string, text string, leaf string")
+    for most in (1, 3, None):
+        found = chat.parsed(chat.format_trees(table, most)).collect()
+        assert len(found) == sum(len(p[:most]) for p in plain.values())
+        by_leaf = {(r["tree"], r["leaf"]): r for r in found}
+        for tree, paths in plain.items():
+            for rank, (_, _, leaf, path) in enumerate(paths[:most], 1):
+                r = by_leaf[tree, leaf]
+                assert r["rank"] == (rank if most else None)
+                assert [tuple(t) for t in r["turns"]] == [(role[tree, n], f"t{n} </turn>") for n in path]
+                assert r["loss_text"] == "".join(f"t{n} </turn>" for n in path if role[tree, n] == "assistant")
+    assert chat.format_trees(table.limit(0), None).collect() == []
