@@ -1,5 +1,6 @@
 """The quality classifier: held-out accuracy, its parts, special rows."""
 
+import math
 import random
 
 import numpy as np
@@ -66,3 +67,47 @@ def test_descent_separates():
     sign = np.array([1.0 if 3 in r else -1.0 for r in rows])
     weights = quality.coordinate_descent(rows, [np.ones(len(r)) for r in rows], sign, np.full(80, 10.0), 20)
     assert all(np.sign(weights[r].sum()) == s for r, s in zip(rows, sign, strict=True))
+
+
+def indicators(seed, count=60, size=300):
+    """Texts as sets of slots, with labels that depend on a few of them."""
+    draw = random.Random(seed)
+    rows = [np.array(sorted(draw.sample(range(size), draw.randrange(5, 25)))) for _ in range(count)]
+    return rows, np.array([int(sum(s < 60 for s in r) * 5 + draw.random() > len(r)) for r in rows]), size
+
+
+def test_ratios_equal_the_definition():
+    rows, label, size = indicators(6)
+    counts = [[quality.SMOOTHING + sum(s in r for r, y in zip(rows, label, strict=True) if y == side) for s in range(size)] for side in (0, 1)]
+    plain = [math.log(counts[1][s] / sum(counts[1])) - math.log(counts[0][s] / sum(counts[0])) for s in range(size)]
+    assert np.allclose(quality.log_ratios(rows, label, size), plain)
+
+
+def test_descent_nears_the_optimum():
+    """The dual variables, worked out from the weights, bound how far these are from the best."""
+    rows, label, size = indicators(7)
+    sign, cost = np.where(label == 1, 1.0, -1.0), np.full(len(rows), 0.7)
+    ratio = quality.log_ratios(rows, label, size)
+    values = [ratio[r] / np.linalg.norm(ratio[r]) for r in rows]
+    weights = quality.coordinate_descent(rows, values, sign, cost, size)
+    matrix = np.zeros((len(rows), size))
+    for line, r, v, s in zip(matrix, rows, values, sign, strict=True):
+        line[r] = s * v
+    assert np.linalg.matrix_rank(matrix) == len(rows)
+    dual = np.linalg.lstsq(matrix.T, weights, rcond=None)[0]
+    assert np.allclose(matrix.T @ dual, weights) and (dual > -1e-9).all() and (dual < cost + 1e-9).all()
+    primal = weights @ weights / 2 + (cost * np.maximum(1 - matrix @ weights, 0)).sum()
+    gap = primal - (dual.sum() - weights @ weights / 2)
+    assert -1e-9 <= gap <= 0.02 * primal
+
+
+def test_scores_equal_the_definition():
+    rows, label, size = indicators(8, 90)
+    held = np.arange(90) % 5 == 0
+    model = quality.fitted(rows, label, held, size)
+    ratio = quality.log_ratios([r for r, h in zip(rows, held, strict=True) if not h], label[~held], size)
+    assert np.allclose(model.squares, ratio**2) and set(label) == {0, 1}
+    found = model.scores(np.concatenate(rows), np.cumsum([0, *map(len, rows)]))
+    for r, score in zip(rows, found, strict=True):
+        margin = sum(model.weights[s] for s in r) / math.sqrt(sum(ratio[s] ** 2 for s in r))
+        assert math.isclose(score, 1 / (1 + math.exp(-(model.slope * margin + model.shift))), rel_tol=1e-9)
