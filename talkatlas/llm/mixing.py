@@ -5,6 +5,7 @@ DataFrame functions only.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,10 +17,13 @@ WEIGHTS = (3, 1, 2)
 # Words of the mix for each word of the input, and the most copies of a document.
 SHARE = 1.5
 MOST_COPIES = 2
-# The tree has 2 ** LEVELS leaves, the output shards.
+# The tree has 2 ** LEVELS leaves at least, the output shards, and more where a shard would have over SHARD_WORDS words.
 LEVELS = 3
-# A source has at most 16 ** BLOCK_DIGITS blocks; the next BLOCK_DIGITS divide the last, partly drawn one.
-BLOCK_DIGITS = 2
+SHARD_WORDS = 1 << 25
+# So many blocks on average go to a shard; blocks of all sources have about the same number of words.
+SHARD_BLOCKS = 32
+# The block that a source draws in part is found by so many digits of the key, then by twice as many.
+CUT_DIGITS = 2
 SEED = 7
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -30,7 +34,7 @@ def word_count(text: Column) -> Column:
 
 
 def draw_key(doc_id: Column, text: Column, seed: int) -> Column:
-    """A hash that puts the documents of a source in random order; its first digits name the block."""
+    """A hash that puts the documents of a source in random order; equal ranges of it are the blocks."""
     name = F.coalesce(doc_id.cast("string"), F.concat(F.lit("?"), F.coalesce(text.cast("string"), F.lit(""))))
     return F.md5(F.concat(F.lit(f"{seed}|"), name))
 
@@ -147,7 +151,7 @@ def _cuts(sized: DataFrame, targets: DataFrame) -> DataFrame:
     plan = targets.withColumn("rounds", rounds)
     plan = stored(plan.withColumn("rest", F.col("target") - F.col("rounds") * F.col("source_size")).withColumn("prefix", F.lit("")))
     rows = sized
-    for digits in (BLOCK_DIGITS, 2 * BLOCK_DIGITS):
+    for digits in (CUT_DIGITS, 2 * CUT_DIGITS):
         blocks = rows.groupBy("source", F.substring("key", 1, digits).alias("block")).agg(F.sum("size").alias("words"))
         joined = _running(blocks, "block").alias("b").join(plan.alias("p"), _same_source("b", "p"))
         part = joined.where("after > rest AND before <= rest").select(
@@ -174,18 +178,34 @@ def _cuts(sized: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
+def tree_levels(words: float, shard_words: int = SHARD_WORDS) -> int:
+    """Levels of the tree for a mix of so many words."""
+    return max(LEVELS, math.ceil(math.log2(max(words / shard_words, 1))))
+
+
+def _with_blocks(cuts: DataFrame, words: float, levels: int) -> DataFrame:
+    """``cuts`` with the number of ``blocks`` of each source, in proportion to its size."""
+    block_words = max(words / (SHARD_BLOCKS << levels), 1.0)
+    return cuts.withColumn("blocks", F.greatest(F.ceil(F.col("source_size") / block_words), F.lit(1)).cast("long"))
+
+
+def _block(key: Column, blocks: Column) -> Column:
+    """The number of a key's block, from 0: ascending with the key."""
+    return F.shiftrightunsigned(F.conv(F.substring(key, 1, 8), 16, 10).cast("long") * blocks, 32)
+
+
 def _shards(sized: DataFrame, cuts: DataFrame, levels: int, seed: int) -> DataFrame:
     """``source, block, draws``: the copies of each block with their shards.
 
     A source's block draws stand in random order, and the shards take their
     quotas from it one after the other.
     """
-    blocks = sized.groupBy("source", F.substring("key", 1, BLOCK_DIGITS).alias("block")).agg(F.min("key").alias("least"))
-    extra = (F.col("least") <= F.col("cut")).cast("int")
-    copies = F.col("rounds") + extra
-    draws = blocks.alias("b").join(cuts.alias("c"), _same_source("b", "c")).where(copies > 0).select(
-        "b.source", "block", F.explode(F.sequence(F.lit(1), copies)).alias("copy")
-    )
+    keyed = sized.alias("s").join(cuts.alias("c"), _same_source("s", "c"))
+    keyed = keyed.select("s.source", "s.key", "c.rounds", "c.cut", _block(F.col("s.key"), F.col("c.blocks")).alias("block"))
+    # The columns of the source are the same in all rows of a block.
+    blocks = keyed.groupBy("source", "block", "rounds", "cut").agg(F.min("key").alias("least"))
+    copies = F.col("rounds") + (F.col("least") <= F.col("cut")).cast("int")
+    draws = blocks.where(copies > 0).select("source", "block", F.explode(F.sequence(F.lit(1), copies)).alias("copy"))
     order = Window.partitionBy("source").orderBy(F.md5(F.concat_ws("|", F.lit(seed), "block", "copy")))
     draws = stored(draws.withColumn("place", F.row_number().over(order)))
     quotas = draws.groupBy("source").agg(F.count("*").alias("quota"))
@@ -204,7 +224,7 @@ def drawn(
     docs: DataFrame,
     weights: Sequence[int] = WEIGHTS,
     share: float = SHARE,
-    levels: int = LEVELS,
+    shard_words: int = SHARD_WORDS,
     seed: int = SEED,
     columns: bool = False,
 ) -> DataFrame:
@@ -212,6 +232,8 @@ def drawn(
 
     ``draws`` lists the copies of the row in the mix, each with its output
     shard.  With ``columns`` the struct ``row`` of all columns of ``docs`` comes too.
+    There are ``2 ** LEVELS`` shards, and twice as many as long as one would
+    have over ``shard_words`` words on average.
 
     A null text has size 0.  A null source is a source, the last.  Rows that
     repeat a ``doc_id`` in a source are drawn together; rows without an id are
@@ -222,14 +244,17 @@ def drawn(
     base = docs.select("doc_id", source, key, word_count(F.col("text")).alias("size"))
     sized = stored(base)
     sizes = stored(sized.groupBy("source").agg(F.sum("size").alias("source_size")))
-    cuts = _cuts(sized, source_targets(sizes, weights, share))
+    targets = source_targets(sizes, weights, share)
+    words = targets.agg(F.coalesce(F.sum("target"), F.lit(0.0))).first()[0]
+    levels = tree_levels(words, shard_words)
+    cuts = _with_blocks(_cuts(sized, targets), words, levels)
     shards = _shards(sized, cuts, levels, seed)
     rows = sized
     if columns:
         rows = docs.select("doc_id", source, key, F.lit(0).cast("long").alias("size"), F.struct(*docs.columns).alias("row"))
-    # Both tables are small: one row per source, and at most 16 ** BLOCK_DIGITS rows for each.
+    # One row per source, and about SHARD_BLOCKS per shard: Spark broadcasts them only as far as their sizes allow.
     rows = rows.alias("r").join(cuts.alias("c"), _same_source("r", "c"))
-    block = F.substring("r.key", 1, BLOCK_DIGITS) == F.col("b.block")
+    block = _block(F.col("r.key"), F.col("c.blocks")) == F.col("b.block")
     rows = rows.join(shards.alias("b"), _same_source("r", "b") & block, "left")
     copies = F.col("c.rounds") + (F.col("r.key") <= F.col("c.cut")).cast("int")
     draws = F.filter(F.coalesce("b.draws", F.array().cast("array<struct<copy:int,shard:int>>")), lambda d: d["copy"] <= copies)
@@ -237,13 +262,13 @@ def drawn(
     return rows.select("r.doc_id", "r.size", "c.source_size", "c.target", draws.alias("draws"), *kept)
 
 
-def mixed(docs: DataFrame, weights=WEIGHTS, share=SHARE, levels=LEVELS, seed=SEED) -> DataFrame:
+def mixed(docs: DataFrame, weights=WEIGHTS, share=SHARE, shard_words=SHARD_WORDS, seed=SEED) -> DataFrame:
     """The mix: ``docs`` with one row per drawn copy, and ``mix_copy, mix_shard, mix_order``.
 
     ``mix_order`` is the random place of a row within its shard.  Columns of
     ``docs`` with these names are replaced.
     """
-    rows = drawn(docs, weights, share, levels, seed, columns=True).select("row", F.explode("draws").alias("d"))
+    rows = drawn(docs, weights, share, shard_words, seed, columns=True).select("row", F.explode("draws").alias("d"))
     added = ("mix_copy", "mix_shard", "mix_order")
     kept = [F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in added]
     name = F.coalesce(F.col("row")["doc_id"].cast("string"), F.col("row")["text"].cast("string"), F.lit(""))
@@ -252,7 +277,7 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share=SHARE, levels=LEVELS, seed=SEE
 
 
 def write_shards(mix: DataFrame, path: str) -> None:
-    """One folder per output shard, its rows in their random order."""
+    """One folder per output shard, its rows in their random order; a task writes a shard of bounded size."""
     mix.repartition("mix_shard").sortWithinPartitions("mix_shard", "mix_order").write.partitionBy("mix_shard").parquet(path)
 
 

@@ -59,6 +59,30 @@ def test_mix_has_a_row_per_draw(spark, tmp_path):
     assert mixing.drawn(docs.limit(0)).collect() == []
 
 
+def test_shards_grow_with_the_words(spark):
+    """More shards for more words, each with about as many words, and the same draws."""
+    rows = [(i, "w " * 50, "big" if i % 4 else f"s{i % 3}") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    few = {r["doc_id"]: r for r in mixing.drawn(docs).collect()}
+    many = {r["doc_id"]: r for r in mixing.drawn(docs, shard_words=20_000).collect()}
+    shards = {}
+    for doc_id, r in many.items():
+        assert [d["copy"] for d in r["draws"]] == [d["copy"] for d in few[doc_id]["draws"]]
+        for d in r["draws"]:
+            shards[d["shard"]] = shards.get(d["shard"], 0) + r["size"]
+    total = sum(shards.values())
+    assert total == pytest.approx(450_000, rel=0.01)
+    assert mixing.tree_levels(total, 20_000) == 5 and set(shards) == set(range(32))
+    assert all(0.6 * total / 32 < words < 1.4 * total / 32 for words in shards.values())
+    assert mixing.tree_levels(0) == mixing.tree_levels(1e6) == 3 and mixing.tree_levels(2e13) == 20
+
+
+def test_blocks_ascend_with_the_key(spark):
+    keys = spark.createDataFrame([("00000000ff",), ("0000ffff00",), ("7fffffffff",), ("80000000aa",), ("ffffffffff",)], "key string")
+    block = mixing._block(keys["key"], mixing.F.lit(1_000_003).cast("long"))
+    assert [r[0] for r in keys.sort("key").select(block).collect()] == [0, 15, 500_001, 500_001, 1_000_002]
+
+
 def test_tree_keeps_quotas_and_fills_shards(spark):
     quotas = {"a": 103, "b": 7, None: 40, "c": 1}
     table = spark.createDataFrame(list(quotas.items()), "source string, quota long")
