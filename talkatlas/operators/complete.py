@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,24 +96,24 @@ def complete_logged(
     calls_in_flight: int = 1,
     slice_prompts: int = 64,
 ) -> DataFrame:
-    """``complete`` for one prompt per row, with answers kept in a log across runs.
+    """``complete`` with answers kept in a log across runs.
 
     Prompts are asked in slices, ``slice_prompts`` for each task at a time, and
     a slice is appended to the log at ``log_path`` before the next begins.  A
     run that fails can be started again: what the log answers is not asked
     again, so a lost task costs its part of one slice at most.  Equal prompts
     are asked once and share the answer.  Calls that raised are asked again in
-    the next run.  A null prompt is not asked.
+    the next run.  A null prompt is not asked.  Of an array of prompts each one
+    is logged by itself, so a row that was answered in part goes on with the rest.
 
     ``log_path`` has to be storage that all executors share, and one run at a
     time may write to it.
     """
     require_columns(df, prompt_col)
-    if isinstance(df.schema[prompt_col].dataType, T.ArrayType):
-        raise ValueError("a logged completion takes one prompt per row")
     spark = df.sparkSession
-    key = F.sha2(F.col(prompt_col), 256)
-    asked = df.where(F.col(prompt_col).isNotNull()).select(key.alias("key"), F.col(prompt_col).alias("prompt"))
+    many = isinstance(df.schema[prompt_col].dataType, T.ArrayType)
+    each = df.select(F.explode(prompt_col).alias("prompt")) if many else df.select(F.col(prompt_col).alias("prompt"))
+    asked = each.where("prompt IS NOT NULL").select(_key(F.col("prompt")).alias("key"), "prompt")
     known = read_answers(spark, log_path).where("error IS NULL").select("key").distinct()
     pending = stored(asked.dropDuplicates(["key"]).join(known, "key", "left_anti"))
     tasks = max_tasks or spark.sparkContext.defaultParallelism
@@ -130,5 +130,26 @@ def complete_logged(
     best = F.min(F.struct(F.col("error").isNotNull().alias("failed"), "raw", "error")).alias("best")
     answers = read_answers(spark, log_path).groupBy("key").agg(best).select(F.col("key").alias("_key"), "best.raw", "best.error")
     answers = stored(answers.join(asked.select(F.col("key").alias("_key")).distinct(), "_key", "left_semi"))
-    found = join_small(df.withColumn("_key", key), answers, "_key")
-    return found.select(*(c for c in df.columns if c != prompt_col), "raw", "error")
+    kept = [c for c in df.columns if c != prompt_col]
+    if not many:
+        found = join_small(df.withColumn("_key", _key(F.col(prompt_col))), answers, "_key")
+        return found.select(*kept, "raw", "error")
+    keys = F.transform(prompt_col, _key)
+    listed = df.withColumn("_list", F.sha2(F.to_json(keys), 256))
+    found = join_small(listed, _answer_lists(listed.select("_list", keys.alias("keys")), answers), "_list")
+    # Like ``complete``, a row without prompts has no answers.
+    empty = F.array().cast("array<string>")
+    return found.select(*kept, F.coalesce("raw", empty).alias("raw"), F.coalesce("error", empty).alias("error"))
+
+
+def _key(prompt: Column) -> Column:
+    return F.sha2(prompt, 256)
+
+
+def _answer_lists(lists: DataFrame, answers: DataFrame) -> DataFrame:
+    """``_list, raw, error``: the answers of each different array of ``keys``, in its order."""
+    asked = lists.dropDuplicates(["_list"]).select("_list", F.posexplode("keys").alias("place", "_key"))
+    found = join_small(asked, answers, "_key").groupBy("_list").agg(
+        F.array_sort(F.collect_list(F.struct("place", "raw", "error"))).alias("all")
+    )
+    return stored(found.select("_list", "all.raw", "all.error"))

@@ -38,7 +38,7 @@ FACET_SPECS = (
         "language",
         "Which human languages are mainly used in the conversation? Leave out "
         "programming languages and write no language codes.",
-        rule="Full language names only, such as English or Arabic.",
+        rule="Full language names only, for instance Swedish or Korean.",
     ),
     FacetSpec(
         "task",
@@ -141,24 +141,25 @@ def extract_facets_one_by_one(
     max_tasks: int | None = None,
     calls_in_flight: int = 1,
     keep_error: bool = False,
+    log_path: str | None = None,
 ) -> DataFrame:
     """The same table with four calls per row, one per facet.
 
     With ``keep_error`` an array holds the error of each call, null where it went well.
+    With ``log_path`` each answer is kept there, and a run that is started
+    again asks only what is missing, also within a row.
 
-    The four prompts of a row travel as one array, so no shuffle is needed to
-    bring the answers back together.
+    Without a log the four prompts of a row travel as one array, so no shuffle
+    is needed to bring the answers back together.
     """
     require_columns(df, "id", "conversation_xml")
     conversation = F.col("conversation_xml")
     prompts = F.array(*[facet_prompt(conversation, spec) for spec in FACET_SPECS])
-    answers = complete(
-        df.select("id", prompts.alias("prompts")),
-        "prompts",
-        completer_factory,
-        max_tasks,
-        calls_in_flight,
-    )
+    asked = df.select("id", prompts.alias("prompts"))
+    if log_path is None:
+        answers = complete(asked, "prompts", completer_factory, max_tasks, calls_in_flight)
+    else:
+        answers = complete_logged(asked, "prompts", completer_factory, log_path, max_tasks, calls_in_flight)
     errors = [F.col("error").alias("errors")] if keep_error else []
     return answers.select(
         "id",

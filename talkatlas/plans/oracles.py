@@ -442,6 +442,7 @@ def oracle_sql() -> dict[str, str]:
         "xml_escape_pages": f"SELECT page_id, {_esc('html')} AS escaped FROM pages",
         "facets_batched": f"WITH {FACETS} SELECT * FROM facets",
         "facets_sequential": f"WITH {FACETS} SELECT * FROM facets",
+        "facets_sequential_logged": f"WITH {FACETS} SELECT * FROM facets",
         "flagship": _flagship(),
         "raw_csv_roundtrip": f"""WITH {RECORDS}
             SELECT id, concat('2025-01-', lpad((conv_id % 28 + 1)::VARCHAR, 2, '0'), 'T00:00') AS created_dttm,

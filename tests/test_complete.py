@@ -131,8 +131,44 @@ def test_failed_calls_are_asked_again(spark, tmp_path):
     again = complete_logged(df, "prompt", lambda: str.title, str(tmp_path / "log")).collect()
     assert sorted(map(tuple, again)) == [(1, "A", None), (2, "Bad", None), (2, "Bad", None)]
     assert complete_logged(df.limit(0), "prompt", upper_or_fail, str(tmp_path / "none")).collect() == []
-    with pytest.raises(ValueError, match="one prompt per row"):
-        complete_logged(spark.sql("SELECT array('a') AS p"), "p", upper_or_fail, str(tmp_path / "log"))
+
+
+def test_arrays_of_prompts_are_logged_one_by_one(spark, tmp_path):
+    calls, log = tmp_path / "calls", str(tmp_path / "log")
+    calls.write_text("")
+
+    def completer():
+        def call(prompt):
+            if prompt == "bad" and not (tmp_path / "mended").exists():
+                raise ValueError("no")
+            with calls.open("a") as out:
+                out.write(prompt + "\n")
+            return prompt.upper()
+
+        return call
+
+    rows = [(1, ["a", "bad", "a"]), (1, ["a", "bad", "a"]), (2, ["b", None]), (3, []), (4, None), (5, ["bad"]), (6, [None])]
+    df = spark.createDataFrame(rows, "id INT, prompts ARRAY<STRING>")
+    failed = "ValueError: no"
+    first = [(r["id"], r["raw"], r["error"]) for r in complete_logged(df, "prompts", completer, log, slice_prompts=1).collect()]
+    a = (1, ["A", None, "A"], [None, failed, None])
+    assert sorted(first) == [a, a, (2, ["B", None], [None, None]), (3, [], []), (4, [], []), (5, [None], [failed]), (6, [None], [None])]
+    assert sorted(calls.read_text().split()) == ["a", "b"]
+    (tmp_path / "mended").write_text("")
+    again = {r["id"]: r["raw"] for r in complete_logged(df, "prompts", completer, log).collect()}
+    assert again == {1: ["A", "BAD", "A"], 2: ["B", None], 3: [], 4: [], 5: ["BAD"], 6: [None]}
+    # Only the call that had failed was made in the second run.
+    assert sorted(calls.read_text().split()) == ["a", "b", "bad"]
+
+
+def test_four_calls_a_row_go_on_from_the_log(spark, tmp_path):
+    df, log = conversations(spark), str(tmp_path / "log")
+    plain = sorted(facets.extract_facets_one_by_one(df, stub_facet_completer, keep_error=True).collect(), key=lambda r: r["id"])
+    facets.extract_facets_one_by_one(df.where("id = 'a'"), stub_facet_completer, log_path=log)
+    assert read_answers(spark, log).count() == 4
+    logged = facets.extract_facets_one_by_one(df, stub_facet_completer, keep_error=True, log_path=log)
+    assert sorted(logged.collect(), key=lambda r: r["id"]) == plain
+    assert read_answers(spark, log).count() == 8
 
 
 def test_rare_tokens_weigh_more(spark):
