@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 _stored_paths: list[str] = []
 # A table of this many rows is small enough for the driver and for a broadcast.
 SMALL_ROWS = 4096
+# A key counts as frequent beyond this many rows; of more keys than this, the most frequent ones do.
+HOT_ROWS = 1000
+HOT_KEYS = 10_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -175,17 +178,31 @@ def join_small(
     """Join ``rows`` to a table with one row per key that is usually small.
 
     ``bound`` is a proven limit on the rows of ``small``; without one they are
-    counted.  Within the limit ``small`` is broadcast.  Beyond it, it is copied
-    once per salt, and the rows of a key are spread over the salts, so that a
-    key with a large share of all rows is not joined in one task.
+    counted.  Within the limit ``small`` is broadcast.  Beyond it both sides are
+    shuffled, and only frequent keys are copied, as far as their rows go over
+    several salts, so that a key with a large share of all rows is not joined in
+    one task and the copies are fewer than the rows.
     """
     within = bound <= SMALL_ROWS if bound is not None else is_small(small)
     if within:
         return rows.join(F.broadcast(small), on, how)
+    spread, copies = _salted(rows, small, on)
+    # Unhinted, a table that is small on disk would be broadcast whatever it holds in memory.
+    return spread.join(copies.hint("merge"), [on, "_salt"], how).drop("_salt")
+
+
+def _salted(rows: DataFrame, small: DataFrame, on: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a ``_salt``; ``small`` has a copy for each salt of a frequent key."""
     salts = salt_count(rows.sparkSession)
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = rows.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-    return spread.join(copies, [on, "_salt"], how).drop("_salt")
+    counts = rows.where(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("_n"))
+    frequent = counts.where(F.col("_n") > HOT_ROWS).orderBy(F.desc("_n"), on).limit(HOT_KEYS)
+    copies = F.least(F.ceil(F.col("_n") / F.lit(HOT_ROWS)), F.lit(salts)).cast("int")
+    frequent = F.broadcast(stored(frequent.select(on, copies.alias("_copies"))))
+    # A null key meets nothing, so its rows may go anywhere.
+    parts = F.when(F.col(on).isNull(), F.lit(salts)).otherwise(F.coalesce("_copies", F.lit(1)))
+    spread = rows.join(frequent, on, "left").withColumn("_salt", F.pmod(F.spark_partition_id(), parts))
+    each = F.explode(F.sequence(F.lit(0), F.coalesce("_copies", F.lit(1)) - 1))
+    return spread.drop("_copies"), small.join(frequent, on, "left").withColumn("_salt", each).drop("_copies")
 
 
 def top_n_per_group(
