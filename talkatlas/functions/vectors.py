@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 SCREEN_TOLERANCE = 1e-9
 # Pairs of vectors that are compared exactly in one go.
 PAIR_SLICE = 20_000
+# Queries and rows of one matrix product, and rows of which one stands for all in a limit.
+SCREEN_QUERIES = 512
+SCREEN_ROWS = 2048
+SCREEN_RUN = 32
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -97,9 +101,41 @@ def nearest_rows(
 
     Equal distances go to the earlier row.
     """
-    sq, slack = squared_screen(queries, rows)
-    limit = np.partition(sq, k - 1, axis=1)[:, k - 1] if len(rows) > k else np.full(len(queries), np.inf)
-    query, row = np.nonzero(sq <= (limit + 2 * slack)[:, None])
+    # Fewer at a time where a query asks for very many.
+    step = max(1, min(SCREEN_QUERIES, SCREEN_QUERIES * SCREEN_ROWS // max(k, 1)))
+    parts = [_nearest_rows(queries[at : at + step], rows, k) for at in range(0, len(queries), step)]
+    if not parts:
+        return np.empty(0, int), np.empty(0, int), np.empty(0)
+    query = np.concatenate([i * step + part[0] for i, part in enumerate(parts)])
+    return query, np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])
+
+
+def _nearest_rows(queries: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    query_sq, row_sq = (queries * queries).sum(axis=1), (rows * rows).sum(axis=1)
+    slack = 2 * SCREEN_TOLERANCE * (query_sq + row_sq.max(initial=0.0) + 1e-300)
+    # The k least squared distances seen so far, one per run of rows; the true ones are not above.
+    least = np.full((len(queries), k), np.inf)
+    asked = np.column_stack([-2.0 * queries, query_sq, np.ones(len(queries))])
+    found = []
+    for at in range(0, len(rows), SCREEN_ROWS):
+        block = rows[at : at + SCREEN_ROWS]
+        offered = np.column_stack([block, np.ones(len(block)), row_sq[at : at + SCREEN_ROWS]])
+        sq = asked @ offered.T
+        runs = len(block) // SCREEN_RUN
+        if runs >= 2 * k:
+            whole = sq[:, : runs * SCREEN_RUN].reshape(len(queries), SCREEN_RUN, runs).min(axis=1)
+            seen = np.concatenate([least, whole, sq[:, runs * SCREEN_RUN :]], axis=1)
+        else:
+            seen = np.concatenate([least, sq], axis=1)
+        least = np.partition(seen, k - 1, axis=1)[:, :k]
+        query, row = np.divmod(np.flatnonzero(sq <= (least.max(axis=1) + slack)[:, None]), max(len(block), 1))
+        found.append((query, row + at, sq[query, row]))
+    if not found:
+        return np.empty(0, int), np.empty(0, int), np.empty(0)
+    query, row, sq = (np.concatenate(part) for part in zip(*found, strict=True))
+    # The limits of early blocks were wider than the last.
+    kept = sq <= (least.max(axis=1) + slack)[query]
+    query, row = query[kept], row[kept]
     gap = np.empty(len(query))
     for start in range(0, len(query), PAIR_SLICE):
         part = slice(start, start + PAIR_SLICE)

@@ -2,12 +2,14 @@
 
 Exact: rows are assigned to the nearest of a bounded number of pivots.  From the cell
 radii follows an upper bound on the neighbour distance within a cell, and a row
-is sent only to the cells that it can matter to.  Cells are cut into blocks of
-bounded size on both sides, so a dense cell is many tasks.
+is sent only to the groups of cells that it can matter to, and within a task is
+compared only with the cells themselves.  Groups are cut into blocks of bounded
+size on both sides, so a dense cell is many tasks.
 
 Approximate: rows meet in the buckets of random projections, and a full bucket
-is compared block by block as well.  In both, identical vectors are compared
-once, whatever their number.
+is compared block by block as well.  Where the buckets together hold more pairs
+than the table, each pair is compared once instead, and only those that share a
+bucket count.  In both, identical vectors are compared once, whatever their number.
 """
 
 from __future__ import annotations
@@ -31,6 +33,14 @@ from talkatlas.runtime import stored, salt_count, top_n_per_group
 MAX_PIVOTS = 1024
 # Small tables have several cells as well, so that the bounds are at work there.
 MIN_PIVOTS = 16
+# Rows travel once per group of cells and once per block, so both are as few as keep the tasks
+# busy and a block at about this many components.
+MIN_GROUPS = 16
+BLOCK_COMPONENTS = 4_000_000
+# Beyond this share of all pairs in buckets, repeats counted, each pair is compared once instead.
+MOST_BUCKET_PAIRS = 1.0
+# Rows or pairs whose bounds or keys are compared in one go.
+ROUTE_SLICE = 65_536
 MAX_HOT_KEYS = 10_000
 MIN_HOT_COPIES = 1000
 
@@ -48,6 +58,7 @@ def nearest_neighbors(
     Equal distances are ordered by id.  A zero vector is at cosine distance 1
     from everything.  The work falls with the number of cells that the bounds
     rule out; on data without structure it is that of comparing all blocks.
+    A cell has about ``block_rows`` rows, as long as ``MAX_PIVOTS`` allows.
     """
     return _neighbors(df, k, metric, id_col, vector_col, partial(_search, block_rows=block_rows))
 
@@ -62,14 +73,15 @@ def approximate_neighbors(
     projections: int = 2,
     bucket_length: float = 0.2,
     seed: int = 42,
-    block_rows: int = 2048,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """``(id, neighbor_id, distance, rank)``: the ``k`` nearest rows among those that share a bucket.
 
     Each of ``tables`` keys a row by ``projections`` random projections, cut
     into steps of ``bucket_length``; under cosine vectors have length one.  More
     tables, fewer projections and longer steps find more at more cost.  All rows
-    of a bucket are compared, whatever its size, in blocks of ``block_rows``, so
+    of a bucket are compared, whatever its size, in blocks of ``block_rows`` (by
+    default of ``BLOCK_COMPONENTS`` components), so
     distances, ties and zero vectors are as in ``nearest_neighbors``; only rows
     that meet nowhere are missed, and a list can be shorter than ``k``.
     """
@@ -216,37 +228,64 @@ def _search(distinct: DataFrame, k: int, metric: str, block_rows: int) -> DataFr
         distinct.select("id", "embedding", "ids").mapInArrow(_assign_cells(shared, metric), _ordered(in_cells))
     )
     radius, sizes, theta = _cell_bounds(queries, pivots, k)
+    n_groups = max(MIN_GROUPS, spark.sparkContext.defaultParallelism)
+    group = _cell_groups(pivots, sizes, -(-n_rows // n_groups))
 
-    limits = spark.sparkContext.broadcast((pivots, radius + theta))
-    routed = queries.mapInArrow(
-        _route(limits, metric),
-        T.StructType([T.StructField("cells", T.ArrayType(T.IntegerType())), *_ordered(in_cells).fields[2:]]),
-    ).select(F.explode("cells").alias("cell"), "id", "embedding", "ids")
+    limits = spark.sparkContext.broadcast((pivots, radius + theta, group))
     # Counted and compared from one table, so that rows are routed once.
-    routed = stored(routed)
-    counts = {r["cell"]: r["count"] for r in routed.groupBy("cell").count().collect()}
-
-    query_parts = [max(1, -(-int(s) // block_rows)) for s in sizes]
-    row_parts = [max(1, -(-counts.get(i, 0) // block_rows)) for i in range(len(pivots))]
+    routed = stored(
+        queries.mapInArrow(
+            _route(limits, metric),
+            T.StructType([T.StructField("groups", T.ArrayType(T.IntegerType())), *_ordered(in_cells).fields[2:]]),
+        )
+    )
+    met = routed.select(F.explode("groups").alias("group")).groupBy("group").count()
+    counts = {r["group"]: r["count"] for r in met.collect()}
+    most = _block_rows(pivots.shape[1])
+    asking = np.bincount(group, weights=sizes)
+    query_parts = [max(1, -(-int(n) // most)) for n in asking]
+    row_parts = [max(1, -(-counts.get(g, 0) // most)) for g in range(len(asking))]
 
-    def parts_of(cell, parts):
-        return F.element_at(F.lit(parts), cell + 1)
+    def parts_of(parts):
+        return F.element_at(F.lit(parts), F.col("group") + 1)
 
     def split(side, own, own_parts, other, other_parts):
         """Number the blocks of this side and copy a row to all blocks of the other."""
-        own_block = F.pmod(F.xxhash64("id"), parts_of(F.col("cell"), own_parts).cast("bigint"))
-        other_blocks = F.sequence(F.lit(0), parts_of(F.col("cell"), other_parts) - 1)
+        own_block = F.pmod(F.xxhash64("id"), parts_of(own_parts).cast("bigint"))
+        other_blocks = F.sequence(F.lit(0), parts_of(other_parts) - 1)
         return side.withColumn(own, own_block.cast("int")).withColumn(other, F.explode(other_blocks))
 
-    left = split(queries.select("cell", "id", "embedding"), "qb", query_parts, "rb", row_parts)
-    right = split(routed, "rb", row_parts, "qb", query_parts)
-    return _best_of_blocks(distinct, left, right, ["cell", "qb", "rb"], k, metric)
+    of_cell = F.element_at(F.lit(group.tolist()), F.col("cell") + 1)
+    left = split(queries.select(of_cell.alias("group"), "id", "embedding", "cell"), "qb", query_parts, "rb", row_parts)
+    right = split(routed.select(F.explode("groups").alias("group"), "id", "embedding", "ids"), "rb", row_parts, "qb", query_parts)
+    return _best_of_blocks(distinct, left, right, ["group", "qb", "rb"], k, metric, _nearest_by_cell(limits, metric))
+
+
+def _block_rows(width: int) -> int:
+    return max(1, BLOCK_COMPONENTS // max(width, 1))
+
+
+def _cell_groups(pivots: np.ndarray, sizes: np.ndarray, most: int) -> np.ndarray:
+    """A group for each cell: neighbouring cells, until they have ``most`` rows together."""
+    group = np.full(len(pivots), -1)
+    for number in range(len(pivots)):
+        left = np.flatnonzero(group < 0)
+        if not len(left):
+            break
+        near = left[np.argsort(vectors.exact_distance(pivots[left], pivots[left[0]]), kind="stable")]
+        taken = np.searchsorted(np.cumsum(sizes[near]), most) + 1
+        group[near[:taken]] = number
+    return group
 
 
 def _best_of_blocks(
-    distinct: DataFrame, left: DataFrame, right: DataFrame, where: list[str], k: int, metric: str
+    distinct: DataFrame, left: DataFrame, right: DataFrame, where: list[str], k: int, metric: str, nearest=None
 ) -> DataFrame:
-    """``(qid, near)`` from all pairs of blocks, whose numbers are the columns ``where``."""
+    """``(qid, near)`` from all pairs of blocks, whose numbers are the columns ``where``.
+
+    ``nearest`` finds the rows of one block for the queries of another; by
+    default it is ``vectors.nearest_rows`` on their vectors.
+    """
     id_field = T.StructField("qid", distinct.schema["id"].dataType)
     out = T.StructType(
         [
@@ -258,10 +297,10 @@ def _best_of_blocks(
     pairs = (
         left.groupBy(*where)
         .cogroup(right.groupBy(*where))
-        .applyInArrow(_compare_blocks(k, metric), out)
+        .applyInArrow(_compare_blocks(k, metric, nearest or _nearest_of_all), out)
     )
-    # The same two vectors may have met more than once, at the same distance.
-    pairs = pairs.groupBy("qid", F.get("ids", F.lit(0)).alias("first")).agg(F.min("distance").alias("distance"), F.min("ids").alias("ids"))
+    # The same two vectors may have met more than once, at the same distance.  One shuffle serves all that follows.
+    pairs = pairs.repartition("qid").groupBy("qid", F.get("ids", F.lit(0)).alias("first")).agg(F.min("distance").alias("distance"), F.min("ids").alias("ids"))
     order = Window.partitionBy("qid").orderBy("distance", "first")
     best = pairs.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
     named = F.transform("ids", lambda i: F.struct(F.col("distance").alias("distance"), i.alias("id")))
@@ -277,7 +316,7 @@ def _hashed_search(
     projections: int,
     bucket_length: float,
     seed: int,
-    block_rows: int,
+    block_rows: int | None,
 ) -> DataFrame:
     """``(qid, near)``: the nearest ids of each distinct vector among the vectors of its buckets."""
     rows = stored(distinct.select("id", "embedding", "ids", array_to_vector("embedding").alias("v")))
@@ -295,25 +334,47 @@ def _hashed_search(
     ]
     entries = stored(hashed.select("id", "embedding", "ids", F.array(*keys).alias("keys")))
     members = entries.select("id", F.explode("keys").alias("bucket"))
+    most = block_rows or _block_rows(len(rows.first()["embedding"]))
     # Buckets of one row find nothing, but a row always finds itself and its copies.
-    blocks = F.ceil(F.col("n") / F.lit(block_rows)).cast("int").alias("blocks")
-    buckets = stored(members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket", blocks))
-    # Keys and block numbers first; vectors join those that meet something.
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    placed = members.join(buckets, "bucket").withColumn("own", own)
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    asks = placed.select("id", "bucket", F.col("own").alias("qb"), other.alias("rb"))
-    offers = placed.select("id", "bucket", F.col("own").alias("rb"), other.alias("qb"))
-    left = asks.join(entries.select("id", "embedding"), "id").select("bucket", "qb", "rb", "id", "embedding")
-    right = offers.join(entries.select("id", "embedding", "ids"), "id")
-    # Both sides come from one table, so the columns of this one get a name of their own.
-    right = right.select(*(F.col(c).alias(c) for c in ("bucket", "qb", "rb", "id", "embedding", "ids")))
-    met = _best_of_blocks(distinct, left, right, ["bucket", "qb", "rb"], k, metric)
+    blocks = F.ceil(F.col("n") / F.lit(most)).cast("int").alias("blocks")
+    buckets = stored(members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket", "n", blocks))
+    n_rows = entries.count()
+    held = buckets.agg(F.sum(F.col("n").cast("double") * F.col("n"))).first()[0] or 0.0
+    # An id with several vectors meets rows in the buckets of each, so it needs the join by id.
+    if held > MOST_BUCKET_PAIRS * n_rows * n_rows and entries.select("id").distinct().count() == n_rows:
+        left, right = _grid(entries, n_rows, most)
+        met = _best_of_blocks(distinct, left, right, ["qb", "rb"], k, metric, _nearest_sharing)
+    else:
+        # Keys and block numbers first; vectors join those that meet something.
+        own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+        placed = members.join(buckets.drop("n"), "bucket").withColumn("own", own)
+        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        asks = placed.select("id", "bucket", F.col("own").alias("qb"), other.alias("rb"))
+        offers = placed.select("id", "bucket", F.col("own").alias("rb"), other.alias("qb"))
+        left = asks.join(entries.select("id", "embedding"), "id").select("bucket", "qb", "rb", "id", "embedding")
+        right = offers.join(entries.select("id", "embedding", "ids"), "id")
+        # Both sides come from one table, so the columns of this one get a name of their own.
+        right = right.select(*(F.col(c).alias(c) for c in ("bucket", "qb", "rb", "id", "embedding", "ids")))
+        met = _best_of_blocks(distinct, left, right, ["bucket", "qb", "rb"], k, metric)
     itself = F.transform("ids", lambda i: F.struct(F.lit(0.0).alias("distance"), i.alias("id")))
     alone = entries.join(met.select(F.col("qid").alias("id")), "id", "left_anti").select(F.col("id").alias("qid"), itself.alias("near"))
     return met.unionByName(alone)
 
 
+def _grid(entries: DataFrame, n_rows: int, most: int) -> tuple[DataFrame, DataFrame]:
+    """Queries and rows in blocks of at most about ``most`` rows, each block of one side with all of the other."""
+    row_parts = -(-n_rows // most)
+    query_parts = max(row_parts, MIN_GROUPS, entries.sparkSession.sparkContext.defaultParallelism)
+
+    def dealt(own, own_parts, other, other_parts):
+        block = F.pmod(F.xxhash64("id"), F.lit(own_parts)).cast("int").alias(own)
+        return [block, F.explode(F.sequence(F.lit(0), F.lit(other_parts - 1))).alias(other)]
+
+    left = entries.select(*dealt("qb", query_parts, "rb", row_parts), "id", "embedding", "keys")
+    right = entries.select(*dealt("rb", row_parts, "qb", query_parts), "id", "embedding", "ids", "keys")
+    return left, right
+
+
 def _no_neighbors(distinct: DataFrame) -> DataFrame:
     itself = F.transform("ids", lambda i: F.struct(F.lit(0.0).alias("distance"), i.alias("id")))
     return distinct.select(F.col("id").alias("qid"), itself.alias("near"))
@@ -363,30 +424,97 @@ def _cell_bounds(queries: DataFrame, pivots: np.ndarray, k: int):
 
 
 def _route(limits, metric: str):
-    """The cells whose queries a row may be a neighbour of."""
+    """The groups of cells whose queries a row may be a neighbour of."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pivots, reachable = limits.value
+        pivots, reachable, group = limits.value
+        order = np.argsort(group, kind="stable")
+        starts = np.searchsorted(group[order], np.arange(group.max() + 1))
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sq, slack = vectors.squared_screen(_in_space(batch.column(3), metric), pivots)
-            gaps = np.sqrt(np.maximum(sq - slack[:, None], 0.0))
-            wanted = gaps <= reachable * (1 + vectors.SCREEN_TOLERANCE)
-            row, cell = np.nonzero(wanted)
+            wanted = _within_reach(_in_space(batch.column(3), metric), pivots, reachable)
+            wanted = np.logical_or.reduceat(wanted[:, order], starts, axis=1)
+            row, number = np.nonzero(wanted)
             offsets = np.concatenate([[0], np.cumsum(wanted.sum(axis=1))])
-            cells = pa.ListArray.from_arrays(
-                pa.array(offsets, pa.int32()), pa.array(cell, pa.int32())
+            groups = pa.ListArray.from_arrays(
+                pa.array(offsets, pa.int32()), pa.array(number, pa.int32())
             )
             yield pa.RecordBatch.from_arrays(
-                [cells, batch.column(2), batch.column(3), batch.column(4)],
-                names=["cells", "id", "embedding", "ids"],
+                [groups, batch.column(2), batch.column(3), batch.column(4)],
+                names=["groups", "id", "embedding", "ids"],
             )
 
     return run
 
 
-def _compare_blocks(k: int, metric: str):
+def _within_reach(rows: np.ndarray, pivots: np.ndarray, reachable: np.ndarray) -> np.ndarray:
+    """Which rows may be neighbours of queries of the cells of these pivots."""
+    sq, slack = vectors.squared_screen(rows, pivots)
+    gaps = np.sqrt(np.maximum(sq - slack[:, None], 0.0))
+    return gaps <= reachable * (1 + vectors.SCREEN_TOLERANCE)
+
+
+def _nearest_of_all(left: pa.Table, right: pa.Table, queries: np.ndarray, rows: np.ndarray, k: int):
+    return vectors.nearest_rows(queries, rows, k)
+
+
+def _nearest_by_cell(limits, metric: str):
+    """The nearest rows among those that the bounds of a query's cell leave open."""
+
+    def run(left: pa.Table, right: pa.Table, queries: np.ndarray, rows: np.ndarray, k: int):
+        pivots, reachable, _ = limits.value
+        cells = left["cell"].to_numpy()
+        found = []
+        for cell in np.unique(cells):
+            own = np.flatnonzero(cells == cell)
+            near = np.concatenate(
+                [
+                    at + np.flatnonzero(_within_reach(rows[at : at + ROUTE_SLICE], pivots[[cell]], reachable[[cell]])[:, 0])
+                    for at in range(0, len(rows), ROUTE_SLICE)
+                ]
+            )
+            if len(near):
+                open_rows = rows if len(near) == len(rows) else rows[near]
+                asked, taken, distance = vectors.nearest_rows(queries[own], open_rows, k)
+                found.append((own[asked], near[taken], distance))
+        if not found:
+            return np.empty(0, int), np.empty(0, int), np.empty(0)
+        return tuple(np.concatenate(part) for part in zip(*found, strict=True))
+
+    return run
+
+
+def _nearest_sharing(left: pa.Table, right: pa.Table, queries: np.ndarray, rows: np.ndarray, k: int):
+    """The nearest rows among those that share a bucket with the query."""
+    own, offered = _key_matrix(left["keys"]), _key_matrix(right["keys"])
+    # Where buckets hold much of the table, twice as many nearest rows nearly always hold enough that share one.
+    asked, taken, distance = vectors.nearest_rows(queries, rows, 2 * k)
+    shares = np.concatenate(
+        [
+            (own[asked[at : at + ROUTE_SLICE]] == offered[taken[at : at + ROUTE_SLICE]]).any(axis=1)
+            for at in range(0, len(asked), ROUTE_SLICE)
+        ]
+    )
+    asked, taken, distance = asked[shares], taken[shares], distance[shares]
+    settled = (np.bincount(asked, minlength=len(queries)) >= k) | (len(rows) <= 2 * k)
+    kept = settled[asked] & (np.arange(len(asked)) - np.searchsorted(asked, asked) < k)
+    found = [(asked[kept], taken[kept], distance[kept])]
+    by_table = np.ascontiguousarray(offered.T)
+    for query in np.flatnonzero(~settled):
+        near = np.flatnonzero(np.logical_or.reduce([keys == key for keys, key in zip(by_table, own[query], strict=True)]))
+        if len(near):
+            _, place, gap = vectors.nearest_rows(queries[[query]], rows[near], k)
+            found.append((np.full(len(place), query), near[place], gap))
+    return tuple(np.concatenate(part) for part in zip(*found, strict=True))
+
+
+def _key_matrix(column: pa.ChunkedArray) -> np.ndarray:
+    column = column.combine_chunks()
+    return column.flatten().to_numpy().reshape(len(column), -1)
+
+
+def _compare_blocks(k: int, metric: str, nearest):
     """The ``k + 1`` nearest vectors of one block for each query of another."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -404,7 +532,7 @@ def _compare_blocks(k: int, metric: str):
         queries = _in_space(column, metric)
         rows = _in_space(right["embedding"].combine_chunks(), metric)
         # Rows are sorted by id, so equal distances go by id.
-        asked, taken, distance = vectors.nearest_rows(queries, rows, k + 1)
+        asked, taken, distance = nearest(left, right, queries, rows, k + 1)
         if metric == "cosine":
             distance = 0.5 * distance * distance
         return pa.table(

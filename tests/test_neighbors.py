@@ -1,8 +1,10 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_cluster import vector_table
 
+from talkatlas.functions import vectors
 from talkatlas.operators import neighbors
 from talkatlas.operators.neighbors import approximate_neighbors, nearest_neighbors, recall
 
@@ -91,3 +93,72 @@ def test_approximate_neighbours_of_few_rows(spark):
     # The first two never meet; a zero vector is at distance 1 from everything.
     assert [tuple(r) for r in rows] == [(0, 2, 1.0, 1), (1, 2, 1.0, 1), (2, 0, 1.0, 1), (2, 1, 1.0, 2)]
     assert approximate_neighbors(df.where("false"), 3).count() == 0
+
+
+@pytest.mark.parametrize("width", [6, 1])
+def test_nearest_rows_over_many_blocks(width, monkeypatch):
+    for name, value in (("SCREEN_QUERIES", 7), ("SCREEN_ROWS", 50), ("SCREEN_RUN", 2)):
+        monkeypatch.setattr(vectors, name, value)
+    rng = np.random.default_rng(5)
+    rows = rng.integers(-3, 4, size=(333, width)).astype(float)
+    queries = np.vstack([rows[:40], rng.normal(size=(20, width))])
+    for k in (1, 4, 11, 400):
+        gaps = np.array([vectors.exact_distance(rows, q) for q in queries])
+        expected = [(i, j, gaps[i, j]) for i in range(len(queries)) for j in np.lexsort((np.arange(333), gaps[i]))[:k]]
+        assert list(zip(*vectors.nearest_rows(queries, rows, k), strict=True)) == expected
+
+
+def test_rows_travel_once_per_group_and_not_once_per_cell(spark, monkeypatch):
+    # Without structure no bound rules out anything, and 75 cells want every row.
+    values = np.random.default_rng(3).normal(size=(600, 12)).astype(np.float32)
+    df = vector_table(spark, values).drop("cluster_id")
+    sides = []
+    compare = neighbors._best_of_blocks
+
+    def spy(distinct, left, right, *rest):
+        sides.append((left.count(), right.count()))
+        return compare(distinct, left, right, *rest)
+
+    monkeypatch.setattr(neighbors, "_best_of_blocks", spy)
+    rows = nearest_neighbors(df, 4, block_rows=8).orderBy("id", "rank").collect()
+    assert sides[0][0] == 600 and sides[0][1] <= neighbors.MIN_GROUPS * 600
+    expected = brute_force(values, 4, "cosine")
+    assert [(r["id"], r["neighbor_id"]) for r in rows] == [(i, j) for i in expected for j, _ in expected[i]]
+    # Smaller blocks on both sides give the same rows.
+    monkeypatch.setattr(neighbors, "BLOCK_COMPONENTS", 12 * 30)
+    assert nearest_neighbors(df, 4, block_rows=8).orderBy("id", "rank").collect() == rows
+    assert sides[1][0] > 600
+
+
+def test_wide_buckets_are_compared_once(spark, monkeypatch):
+    values = clumped()
+    df = vector_table(spark, values).drop("cluster_id")
+    wheres = []
+    compare = neighbors._best_of_blocks
+
+    def spy(distinct, left, right, where, *rest):
+        wheres.append(where)
+        return compare(distinct, left, right, where, *rest)
+
+    monkeypatch.setattr(neighbors, "_best_of_blocks", spy)
+    search = lambda: sorted(map(tuple, approximate_neighbors(df, 4, tables=8, projections=1, bucket_length=0.9, block_rows=50).collect()))
+    once = search()
+    # The same by buckets: then no table counts as held by them.
+    monkeypatch.setattr(neighbors, "MOST_BUCKET_PAIRS", 1e9)
+    assert search() == once
+    assert wheres == [["qb", "rb"], ["bucket", "qb", "rb"]]
+
+
+def test_sharing_rows_are_found_however_few(spark):
+    rng = np.random.default_rng(8)
+    rows = rng.normal(size=(200, 5))
+    keys = rng.integers(0, 40, size=(200, 3))
+    table = pa.table({"keys": keys.tolist()})
+    found = neighbors._nearest_sharing(table, table, rows, rows, 6)
+    got = {}
+    for q, r, gap in zip(*found, strict=True):
+        got.setdefault(q, []).append((r, gap))
+    for q in range(200):
+        near = np.flatnonzero((keys == keys[q]).any(axis=1))
+        gaps = vectors.exact_distance(rows[near], rows[q])
+        assert got[q] == [(near[i], gaps[i]) for i in np.argsort(gaps, kind="stable")[:6]]
