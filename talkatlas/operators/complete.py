@@ -16,6 +16,10 @@ from talkatlas.runtime import join_small, salt_count, stored
 
 Completer = Callable[[str], str]
 ANSWERS = "key STRING, raw STRING, error STRING"
+# With version 2 of Hadoop's committer a file is in its place once its task has ended.
+COMMIT_BY_TASK = ("mapreduce.fileoutputcommitter.algorithm.version", "2")
+# So many slices at most are tasks of one job, which bounds what the driver keeps of it.
+JOB_SLICES = 4096
 
 
 def complete(
@@ -98,9 +102,9 @@ def complete_logged(
 ) -> DataFrame:
     """``complete`` with answers kept in a log across runs.
 
-    Prompts are asked in slices, ``slice_prompts`` for each task at a time, and
-    a slice is appended to the log at ``log_path`` before the next begins.  A
-    run that fails can be started again: what the log answers is not asked
+    Prompts are asked in slices of about ``slice_prompts``, each a task that
+    appends it to the log at ``log_path`` when it ends, also where the job fails
+    later.  A run that fails can be started again: what the log answers is not asked
     again, so a lost task costs its part of one slice at most.  Equal prompts
     are asked once and share the answer.  Calls that raised are asked again in
     the next run.  A null prompt is not asked.  Of an array of prompts each one
@@ -116,39 +120,64 @@ def complete_logged(
     asked = each.where("prompt IS NOT NULL").select(_key(F.col("prompt")).alias("key"), "prompt")
     known = read_answers(spark, log_path).where("error IS NULL").select("key").distinct()
     pending = stored(asked.dropDuplicates(["key"]).join(known, "key", "left_anti"))
-    tasks = max_tasks or spark.sparkContext.defaultParallelism
-    waves = -(-pending.count() // (tasks * slice_prompts))
+    slices = -(-pending.count() // slice_prompts)
+    waves = -(-slices // (max_tasks or _job_slices(spark)))
     if waves:
-        # Sorted by wave, so that each wave reads its own rows only.
-        wave = F.pmod(F.xxhash64("key"), F.lit(waves))
-        parts = min(waves, salt_count(spark))
-        dealt = stored(pending.withColumn("wave", wave).repartitionByRange(parts, "wave").sortWithinPartitions("wave"))
+        tasks = max_tasks or max(-(-slices // waves), spark.sparkContext.defaultParallelism)
+        if waves > 1:
+            # Sorted by wave, so that each wave reads its own rows only.
+            dealt = pending.withColumn("wave", F.pmod(F.xxhash64("key"), F.lit(waves)))
+            parts = min(slices, salt_count(spark))
+            pending = stored(dealt.repartitionByRange(parts, "wave", "key").sortWithinPartitions("wave"))
         for i in range(waves):
-            part = dealt.where(F.col("wave") == i).select("key", "prompt")
-            complete(part, "prompt", completer_factory, tasks, calls_in_flight).write.mode("append").parquet(log_path)
+            part = pending.where(F.col("wave") == i).select("key", "prompt") if waves > 1 else pending
+            answered = complete(part, "prompt", completer_factory, tasks, calls_in_flight)
+            answered.write.mode("append").option(*COMMIT_BY_TASK).parquet(log_path)
+    # The rows of each different prompt, or array of prompts, are counted once for the joins below.
+    if many:
+        keys = F.transform(prompt_col, _key)
+        lists = df.select(keys.alias("keys")).groupBy("keys").agg(F.count("*").alias("_n"))
+        counts = stored(lists.withColumn("_list", _list(F.col("keys"))))
+        wanted = counts.select(F.explode("keys").alias("_key"))
+    else:
+        counts = stored(df.select(_key(F.col(prompt_col)).alias("_key")).groupBy("_key").agg(F.count("*").alias("_n")))
+        wanted = counts.select("_key")
     # An answer is preferred to an error of an earlier run.
     best = F.min(F.struct(F.col("error").isNotNull().alias("failed"), "raw", "error")).alias("best")
     answers = read_answers(spark, log_path).groupBy("key").agg(best).select(F.col("key").alias("_key"), "best.raw", "best.error")
-    answers = stored(answers.join(asked.select(F.col("key").alias("_key")).distinct(), "_key", "left_semi"))
+    answers = stored(answers.join(wanted.distinct(), "_key", "left_semi"))
     kept = [c for c in df.columns if c != prompt_col]
     if not many:
-        found = join_small(df.withColumn("_key", _key(F.col(prompt_col))), answers, "_key")
+        found = join_small(df.withColumn("_key", _key(F.col(prompt_col))), answers, "_key", counts=counts)
         return found.select(*kept, "raw", "error")
-    keys = F.transform(prompt_col, _key)
-    listed = df.withColumn("_list", F.sha2(F.to_json(keys), 256))
-    found = join_small(listed, _answer_lists(listed.select("_list", keys.alias("keys")), answers), "_list")
+    listed = df.withColumn("_list", _list(keys))
+    found = join_small(listed, _answer_lists(counts, answers), "_list", counts=counts)
     # Like ``complete``, a row without prompts has no answers.
     empty = F.array().cast("array<string>")
     return found.select(*kept, F.coalesce("raw", empty).alias("raw"), F.coalesce("error", empty).alias("error"))
 
 
+def _job_slices(spark: SparkSession) -> int:
+    """How many slices one job may hold: few where a committer of other storage keeps nothing of a failed job."""
+    committers = {
+        "spark.sql.sources.commitProtocolClass": "org.apache.spark.sql.execution.datasources.SQLHadoopMapReduceCommitProtocol",
+        "spark.sql.parquet.output.committer.class": "org.apache.parquet.hadoop.ParquetOutputCommitter",
+    }
+    by_task = all(spark.conf.get(k) == v for k, v in committers.items())
+    return JOB_SLICES if by_task else spark.sparkContext.defaultParallelism
+
+
 def _key(prompt: Column) -> Column:
     return F.sha2(prompt, 256)
 
 
+def _list(keys: Column) -> Column:
+    return F.sha2(F.to_json(keys), 256)
+
+
 def _answer_lists(lists: DataFrame, answers: DataFrame) -> DataFrame:
-    """``_list, raw, error``: the answers of each different array of ``keys``, in its order."""
-    asked = lists.dropDuplicates(["_list"]).select("_list", F.posexplode("keys").alias("place", "_key"))
+    """``_list, raw, error``: the answers of each of the arrays ``keys``, in its order."""
+    asked = lists.select("_list", F.posexplode("keys").alias("place", "_key"))
     found = join_small(asked, answers, "_key").groupBy("_list").agg(
         F.array_sort(F.collect_list(F.struct("place", "raw", "error"))).alias("all")
     )

@@ -173,7 +173,12 @@ def salt_count(spark: SparkSession) -> int:
 
 
 def join_small(
-    rows: DataFrame, small: DataFrame, on: str, how: str = "left", bound: int | None = None
+    rows: DataFrame,
+    small: DataFrame,
+    on: str,
+    how: str = "left",
+    bound: int | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``rows`` to a table with one row per key that is usually small.
 
@@ -181,21 +186,25 @@ def join_small(
     counted.  Within the limit ``small`` is broadcast.  Beyond it both sides are
     shuffled, and only frequent keys are copied, as far as their rows go over
     several salts, so that a key with a large share of all rows is not joined in
-    one task and the copies are fewer than the rows.
+    one task and the copies are fewer than the rows.  ``counts`` has the rows of
+    each key as ``_n``, where they are known; without it they are counted.
     """
     within = bound <= SMALL_ROWS if bound is not None else is_small(small)
     if within:
         return rows.join(F.broadcast(small), on, how)
-    spread, copies = _salted(rows, small, on)
+    spread, copies = _salted(rows, small, on, counts)
     # Unhinted, a table that is small on disk would be broadcast whatever it holds in memory.
     return spread.join(copies.hint("merge"), [on, "_salt"], how).drop("_salt")
 
 
-def _salted(rows: DataFrame, small: DataFrame, on: str) -> tuple[DataFrame, DataFrame]:
+def _salted(
+    rows: DataFrame, small: DataFrame, on: str, counts: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Both sides with a ``_salt``; ``small`` has a copy for each salt of a frequent key."""
     salts = salt_count(rows.sparkSession)
-    counts = rows.where(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("_n"))
-    frequent = counts.where(F.col("_n") > HOT_ROWS).orderBy(F.desc("_n"), on).limit(HOT_KEYS)
+    if counts is None:
+        counts = rows.groupBy(on).agg(F.count("*").alias("_n"))
+    frequent = counts.where(F.col(on).isNotNull() & (F.col("_n") > HOT_ROWS)).orderBy(F.desc("_n"), on).limit(HOT_KEYS)
     copies = F.least(F.ceil(F.col("_n") / F.lit(HOT_ROWS)), F.lit(salts)).cast("int")
     frequent = F.broadcast(stored(frequent.select(on, copies.alias("_copies"))))
     # A null key meets nothing, so its rows may go anywhere.

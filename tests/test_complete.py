@@ -1,10 +1,13 @@
 import os
+import time
 from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from talkatlas import runtime
+from talkatlas.operators import complete as completion
 from talkatlas.operators import facets
 from talkatlas.operators.complete import complete, complete_logged, read_answers
 from talkatlas.operators.embed import embed, fit_idf_encoder, hashing_encoder
@@ -124,6 +127,65 @@ def test_a_run_goes_on_where_one_before_failed(spark, tmp_path):
     assert Counter(calls.read_text().split()) == asked
 
 
+def test_slices_of_one_job_stay_when_another_is_lost(spark, tmp_path):
+    calls, log = tmp_path / "calls", tmp_path / "log"
+    calls.write_text("")
+
+    def completer():
+        def call(prompt):
+            if prompt == "lost" and not (tmp_path / "mended").exists():
+                end = time.monotonic() + 20
+                while len(list(log.glob("*.parquet"))) < 9 and time.monotonic() < end:
+                    time.sleep(0.1)
+                os._exit(1)
+            with calls.open("a") as out:
+                out.write(prompt + "\n")
+            return prompt.upper()
+
+        return call
+
+    df = spark.createDataFrame([(f"p{i}",) for i in range(23)] + [("lost",)], "prompt STRING")
+    with pytest.raises(Exception, match="(?i)crash|exited|abort"):
+        complete_logged(df, "prompt", completer, str(log), slice_prompts=1)
+    kept = {r["raw"].lower() for r in read_answers(spark, str(log)).collect()}
+    # More than a task for each core, all of one job, which is named in its files.
+    assert len(kept) >= 9 and len({f.name[11:47] for f in log.glob("*.parquet")}) == 1
+    (tmp_path / "mended").write_text("")
+    rows = complete_logged(df, "prompt", completer, str(log), slice_prompts=1).collect()
+    assert sorted(r["raw"] for r in rows) == sorted([f"P{i}" for i in range(23)] + ["LOST"])
+    asked = Counter(calls.read_text().split())
+    assert len(asked) == 24 and all(asked[p] == 1 for p in kept)
+
+
+def test_more_slices_than_a_job_holds(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(completion, "JOB_SLICES", 10)
+    monkeypatch.setattr(runtime, "SMALL_ROWS", 3)
+    monkeypatch.setattr(runtime, "HOT_ROWS", 5)
+    lists = [[f"p{i}", f"q{i % 7}"] for i in range(24)] + [["p0", "q0"]] * 30 + [[None], [], None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lists)], "id INT, prompts ARRAY<STRING>")
+    found = complete_logged(df, "prompts", lambda: str.upper, str(tmp_path / "log"), slice_prompts=1)
+    rows = {r["id"]: r["raw"] for r in found.collect()}
+    assert rows == {i: [p and p.upper() for p in x or []] for i, x in enumerate(lists)}
+    # Four jobs for 31 different prompts.
+    assert len({f.name[11:47] for f in (tmp_path / "log").glob("*.parquet")}) == 4
+    assert read_answers(spark, str(tmp_path / "log")).count() == 31
+    flat = df.select("id", F.explode_outer("prompts").alias("prompt"))
+    again = complete_logged(flat, "prompt", upper_or_fail, str(tmp_path / "log")).collect()
+    asked = [(i, p) for i, x in enumerate(lists) for p in x or [None]]
+    assert sorted((r["id"], r["raw"] or "") for r in again) == sorted((i, (p or "").upper()) for i, p in asked)
+
+
+def test_few_slices_a_job_where_a_failed_job_leaves_nothing(spark):
+    name = "spark.sql.parquet.output.committer.class"
+    before = spark.conf.get(name)
+    assert completion._job_slices(spark) == completion.JOB_SLICES
+    spark.conf.set(name, "org.apache.hadoop.mapreduce.lib.output.FileOutputCommitter")
+    try:
+        assert completion._job_slices(spark) == spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_failed_calls_are_asked_again(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (2, "bad"), (2, "bad")], "id INT, prompt STRING")
     first = complete_logged(df, "prompt", upper_or_fail, str(tmp_path / "log"), slice_prompts=2).collect()
